@@ -50,7 +50,8 @@ def to_vector_column(df: DataFrame, array: str = "f1", vector: str = "features")
 def zip_positions(df: DataFrame, left: str, right: str, keep: list[str]) -> DataFrame:
     """One row per position of two equally long arrays."""
     zipped = F.arrays_zip(F.col(left).alias("left"), F.col(right).alias("right"))
-    out = df.select(*keep, F.posexplode(zipped).alias("pos", "pair"))
+    # The outer form, because the plain one evaluates the arrays twice.
+    out = df.select(*keep, F.posexplode_outer(zipped).alias("pos", "pair")).where("pos IS NOT NULL")
     return out.select(*keep, "pos", F.col("pair.left").alias(left), F.col("pair.right").alias(right))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import row_maximum
+from .partitions import explode_once
 
 
 def join_pairs(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -113,7 +114,7 @@ def sum_by_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def grep_counts(df: DataFrame, text: str, pattern: str) -> DataFrame:
     """Every match of a pattern with its number of occurrences, most frequent first."""
-    matches = df.select(F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("match"))
+    matches = explode_once(df, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), "match")
     return matches.groupBy("match").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "match")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tags import new_tag
+from ..operators.partitions import spread
 from ..sources.files import read_csv
 from .topics import (
     CountStage,
@@ -52,7 +53,7 @@ def raw0(
     keep_steps: bool = False,
 ) -> str:
     """Text to words. ``keep_steps`` also stores the column of every text step."""
-    done = annotate(df, text)
+    done = annotate(spread(df), text)
     kept = done if keep_steps else done.select(key, "tokens")
     return store.archive(kept, RAW, run_id or new_tag(), key=key, text=text)
 

@@ -7,9 +7,10 @@ model files leave it out.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -20,7 +21,6 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.clustering import LDA, GaussianMixture, KMeans
 from pyspark.ml.feature import IndexToString, RFormula
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import (
     AFTSurvivalRegression,
@@ -33,6 +33,8 @@ from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import vector_total
+
 SUMMARY = "measure string, term string, value double"
 
 
@@ -85,16 +87,36 @@ def formula_features(df: DataFrame, formula: str, *, index_label: bool = False):
     return model, model.transform(df)
 
 
-def _fit(df: DataFrame, formula: str, estimator: Estimator, *, classes: bool = False):
-    """Formula, then model, then (for classes) the class name of each prediction."""
+def _fit(
+    df: DataFrame,
+    formula: str,
+    estimator: Estimator,
+    summarise: Callable[[Model, DataFrame], dict[str, dict[str, float]]],
+    *,
+    classes: bool = False,
+    also: Sequence[str] = (),
+    one_pass: bool = False,
+) -> Fitted:
+    """Formula, then model, then (for classes) the class name of each prediction.
+
+    Only the columns the fit needs are kept while it passes over the data.
+    ``summarise`` gets the model and the training frame.
+    """
     shaped, frame = formula_features(df, formula, index_label=classes)
-    core = estimator.fit(frame)
-    stages = [shaped, core]
-    if classes and label_values(frame):
-        stages.append(
-            IndexToString(inputCol="prediction", outputCol="predicted_label", labels=label_values(frame))
-        )
-    return PipelineModel(stages), core, frame
+    columns = [c for c in ("features", "label") if c in frame.columns]
+    training = frame.select(*columns, *also)
+    if not one_pass:
+        training = training.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        core = estimator.fit(training)
+        stages = [shaped, core]
+        if classes and label_values(training):
+            named = IndexToString(inputCol="prediction", outputCol="predicted_label")
+            stages.append(named.setLabels(label_values(training)))
+        return Fitted(PipelineModel(stages), _table(df, **summarise(core, training)))
+    finally:
+        if not one_pass:
+            training.unpersist()
 
 
 def _table(df: DataFrame, **measures: dict[str, float]) -> DataFrame:
@@ -121,32 +143,34 @@ def glm(
     estimator = GeneralizedLinearRegression(family=family, maxIter=iterations, regParam=reg, tol=tol)
     if link:
         estimator.setLink(link)
-    label = formula.split("~")[0].strip()
-    model, core, frame = _fit(df, formula, estimator, classes=dict(df.dtypes)[label] == "string")
-    names = [*feature_names(frame), "(Intercept)"]
-    s = core.summary
-    measures = {
-        "estimate": _named(names, [*core.coefficients, core.intercept]),
-        "statistic": {
-            "dispersion": s.dispersion,
-            "null_deviance": s.nullDeviance,
-            "residual_deviance": s.deviance,
-            "null_degrees_of_freedom": s.residualDegreeOfFreedomNull,
-            "residual_degrees_of_freedom": s.residualDegreeOfFreedom,
-            "aic": s.aic,
-            "iterations": s.numIterations,
-        },
-    }
-    if reg == 0.0:
-        measures["std_error"] = _named(names, s.coefficientStandardErrors)
-        measures["t_value"] = _named(names, s.tValues)
-        measures["p_value"] = _named(names, s.pValues)
-    return Fitted(model, _table(df, **measures))
+
+    def summarise(core, training):
+        names, s = [*feature_names(training), "(Intercept)"], core.summary
+        measures = {
+            "estimate": _named(names, [*core.coefficients, core.intercept]),
+            "statistic": {
+                "dispersion": s.dispersion,
+                "null_deviance": s.nullDeviance,
+                "residual_deviance": s.deviance,
+                "null_degrees_of_freedom": s.residualDegreeOfFreedomNull,
+                "residual_degrees_of_freedom": s.residualDegreeOfFreedom,
+                "aic": s.aic,
+                "iterations": s.numIterations,
+            },
+        }
+        if reg == 0.0:
+            measures["std_error"] = _named(names, s.coefficientStandardErrors)
+            measures["t_value"] = _named(names, s.tValues)
+            measures["p_value"] = _named(names, s.pValues)
+        return measures
+
+    text_label = dict(df.dtypes).get(formula.split("~")[0].strip()) == "string"
+    return _fit(df, formula, estimator, summarise, classes=text_label)
 
 
 def deviance_residuals(fitted: Fitted) -> DataFrame:
-    """Residuals of a model just fitted (not of a loaded one)."""
-    return fitted.core.summary.residuals()
+    """One deviance residual per row of a model just fitted (not of a loaded one)."""
+    return fitted.core.summary.residuals("deviance")
 
 
 def logit(
@@ -163,41 +187,33 @@ def logit(
     estimator = LogisticRegression(
         maxIter=iterations, regParam=reg, elasticNetParam=elastic_net, tol=tol, family=family
     )
-    model, core, frame = _fit(df, formula, estimator, classes=True)
-    names = [*feature_names(frame), "(Intercept)"]
-    if core.numClasses == 2:
-        estimates = _named(names, [*core.coefficients, core.intercept])
-    else:
-        rows = core.coefficientMatrix.toArray()
-        classes = label_values(frame) or [str(i) for i in range(core.numClasses)]
-        estimates = {
-            f"{c}: {n}": v
-            for c, row, intercept in zip(classes, rows, core.interceptVector)
-            for n, v in zip(names, [*row, intercept])
+
+    def summarise(core, training):
+        names, s = [*feature_names(training), "(Intercept)"], core.summary
+        if core.numClasses == 2:
+            estimates = _named(names, [*core.coefficients, core.intercept])
+        else:
+            estimates = {
+                f"{c}: {n}": v
+                for c, row, intercept in zip(
+                    label_values(training), core.coefficientMatrix.toArray(), core.interceptVector
+                )
+                for n, v in zip(names, [*row, intercept])
+            }
+        return {
+            "estimate": estimates,
+            "statistic": {"accuracy": s.accuracy, "iterations": s.totalIterations},
         }
-    s = core.summary
-    return Fitted(
-        model,
-        _table(
-            df,
-            estimate=estimates,
-            statistic={"accuracy": s.accuracy, "iterations": s.totalIterations},
-        ),
-    )
 
+    return _fit(df, formula, estimator, summarise, classes=True)
 
-def _trees(df: DataFrame, formula: str, estimator: Estimator, classes: bool) -> Fitted:
-    model, core, frame = _fit(df, formula, estimator, classes=classes)
-    names = feature_names(frame) or [str(i) for i in range(core.numFeatures)]
-    return Fitted(
-        model,
-        _table(
-            df,
-            importance=_named(names, core.featureImportances.toArray()),
-            statistic={"features": core.numFeatures, "trees": core.getNumTrees},
-            tree_weight={str(i): w for i, w in enumerate(core.treeWeights)},
-        ),
-    )
+
+def _trees(core, training) -> dict[str, dict[str, float]]:
+    return {
+        "importance": _named(feature_names(training), core.featureImportances.toArray()),
+        "statistic": {"features": core.numFeatures, "trees": core.getNumTrees},
+        "tree_weight": {str(i): w for i, w in enumerate(core.treeWeights)},
+    }
 
 
 def gbt(
@@ -213,7 +229,7 @@ def gbt(
     """Gradient-boosted trees; ``kind`` is ``regression`` or ``classification``."""
     cls = {"regression": GBTRegressor, "classification": GBTClassifier}[kind]
     estimator = cls(maxIter=iterations, maxDepth=depth, stepSize=step, seed=seed)
-    return _trees(df, formula, estimator, kind == "classification")
+    return _fit(df, formula, estimator, _trees, classes=kind == "classification")
 
 
 def random_forest(
@@ -222,7 +238,7 @@ def random_forest(
     """Random forest; ``kind`` is ``regression`` or ``classification``."""
     cls = {"regression": RandomForestRegressor, "classification": RandomForestClassifier}[kind]
     estimator = cls(numTrees=trees, maxDepth=depth, seed=seed)
-    return _trees(df, formula, estimator, kind == "classification")
+    return _fit(df, formula, estimator, _trees, classes=kind == "classification")
 
 
 def mlp(
@@ -232,25 +248,27 @@ def mlp(
     estimator = MultilayerPerceptronClassifier(
         layers=list(layers), maxIter=iterations, blockSize=block, seed=seed
     )
-    model, core, _ = _fit(df, formula, estimator, classes=True)
-    layers = {str(i): n for i, n in enumerate(core.getLayers())}
-    s = core.summary()
-    return Fitted(
-        model,
-        _table(df, layer=layers, statistic={"weights": core.weights.size, "accuracy": s.accuracy}),
-    )
+
+    def summarise(core, training):
+        return {
+            "layer": {str(i): n for i, n in enumerate(core.getLayers())},
+            "statistic": {"weights": core.weights.size, "accuracy": core.summary().accuracy},
+        }
+
+    return _fit(df, formula, estimator, summarise, classes=True)
 
 
 def naive_bayes(df: DataFrame, formula: str, *, smoothing: float = 1.0) -> Fitted:
-    """Bernoulli naive Bayes. The summary has the prior of each class and the
-    probability of each 0/1 feature within it."""
-    model, core, frame = _fit(df, formula, NaiveBayes(modelType="bernoulli", smoothing=smoothing), classes=True)
-    names, classes = feature_names(frame), label_values(frame)
-    prior = {c: v for c, v in zip(classes, core.pi)}
-    inside = {
-        f"{c}: {n}": v for c, row in zip(classes, core.theta.toArray()) for n, v in zip(names, row)
-    }
-    return Fitted(model, _table(df, log_prior=prior, log_probability=inside))
+    """Bernoulli naive Bayes. The summary has the log of the prior of each class
+    and of the probability of each 0/1 feature within it."""
+
+    def summarise(core, training):
+        names, classes = feature_names(training), label_values(training)
+        inside = {f"{c}: {n}": v for c, row in zip(classes, core.theta.toArray()) for n, v in zip(names, row)}
+        return {"log_prior": _named(classes, core.pi), "log_probability": inside}
+
+    estimator = NaiveBayes(modelType="bernoulli", smoothing=smoothing)
+    return _fit(df, formula, estimator, summarise, classes=True, one_pass=True)
 
 
 def isotonic(df: DataFrame, label: str, feature: str, *, increasing: bool = True) -> Fitted:
@@ -268,83 +286,126 @@ def isotonic(df: DataFrame, label: str, feature: str, *, increasing: bool = True
     return Fitted(PipelineModel([core]), _table(df, fitted=at))
 
 
-def survreg(df: DataFrame, time: str, event: str, terms: str, *, iterations: int = 100, tol: float = 1e-6) -> Fitted:
+def survreg(
+    df: DataFrame, time: str, event: str, terms: str, *, iterations: int = 100, tol: float = 1e-6
+) -> Fitted:
     """Accelerated failure time (Weibull) regression, ``Surv(time, event) ~ terms``.
 
     ``event`` is 1 where the event was seen and 0 where the row is censored.
     Times must be positive.
     """
     estimator = AFTSurvivalRegression(censorCol=event, maxIter=iterations, tol=tol)
-    model, core, frame = _fit(df, f"{time} ~ {terms}", estimator)
-    estimates = _named([*feature_names(frame), "(Intercept)"], [*core.coefficients, core.intercept])
-    return Fitted(model, _table(df, estimate=estimates, statistic={"scale": core.scale}))
+
+    def summarise(core, training):
+        names = [*feature_names(training), "(Intercept)"]
+        return {
+            "estimate": _named(names, [*core.coefficients, core.intercept]),
+            "statistic": {"scale": core.scale},
+        }
+
+    return _fit(df, f"{time} ~ {terms}", estimator, summarise, also=[event])
 
 
 def kmeans(
-    df: DataFrame, formula: str, k: int, *, iterations: int = 20, init: str = "k-means||", tol: float = 1e-4, seed: int = 42
+    df: DataFrame,
+    formula: str,
+    k: int,
+    *,
+    iterations: int = 20,
+    init: str = "k-means||",
+    tol: float = 1e-4,
+    seed: int = 42,
 ) -> Fitted:
     """k-means with centres, sizes and cost in the summary."""
     estimator = KMeans(k=k, maxIter=iterations, initMode=init, tol=tol, seed=seed)
-    model, core, frame = _fit(df, formula, estimator)
-    names = feature_names(frame) or [str(i) for i in range(len(core.clusterCenters()[0]))]
-    centers = {f"{i}: {n}": v for i, c in enumerate(core.clusterCenters()) for n, v in zip(names, c)}
-    s = core.summary
-    return Fitted(
-        model,
-        _table(
-            df,
-            center=centers,
-            size={str(i): n for i, n in enumerate(s.clusterSizes)},
-            statistic={"cost": s.trainingCost, "iterations": s.numIter},
-        ),
-    )
 
+    def summarise(core, training):
+        names, s = feature_names(training), core.summary
+        return {
+            "center": {f"{i}: {n}": v for i, c in enumerate(core.clusterCenters()) for n, v in zip(names, c)},
+            "size": {str(i): n for i, n in enumerate(s.clusterSizes)},
+            "statistic": {"cost": s.trainingCost, "iterations": s.numIter},
+        }
 
-def fitted_clusters(fitted: Fitted) -> DataFrame:
-    """Training rows with their cluster (of a model just fitted)."""
-    return fitted.core.summary.predictions
+    return _fit(df, formula, estimator, summarise)
 
 
-def gaussian_mixture(df: DataFrame, formula: str, k: int, *, iterations: int = 100, tol: float = 0.01, seed: int = 42) -> Fitted:
+def gaussian_mixture(
+    df: DataFrame, formula: str, k: int, *, iterations: int = 100, tol: float = 0.01, seed: int = 42
+) -> Fitted:
     """Gaussian mixture with weights, means and covariances in the summary."""
     estimator = GaussianMixture(k=k, maxIter=iterations, tol=tol, seed=seed)
-    model, core, frame = _fit(df, formula, estimator)
-    means, covariances = {}, {}
-    for i, g in enumerate(core.gaussians):
-        means |= {f"{i}: {j}": v for j, v in enumerate(g.mean)}
-        covariances |= {f"{i}: {a},{b}": v for a, row in enumerate(g.cov.toArray()) for b, v in enumerate(row)}
-    return Fitted(
-        model,
-        _table(
-            df,
-            weight={str(i): w for i, w in enumerate(core.weights)},
-            mean=means,
-            covariance=covariances,
-            statistic={"log_likelihood": core.summary.logLikelihood},
-        ),
-    )
+
+    def summarise(core, training):
+        means, covariances = {}, {}
+        for i, g in enumerate(core.gaussians):
+            means |= {f"{i}: {j}": v for j, v in enumerate(g.mean)}
+            covariances |= {
+                f"{i}: {a},{b}": v for a, row in enumerate(g.cov.toArray()) for b, v in enumerate(row)
+            }
+        return {
+            "weight": {str(i): w for i, w in enumerate(core.weights)},
+            "mean": means,
+            "covariance": covariances,
+            "statistic": {"log_likelihood": core.summary.logLikelihood},
+        }
+
+    return _fit(df, formula, estimator, summarise)
 
 
 def als(
-    df: DataFrame, user: str, item: str, rating: str, *, rank: int = 10, iterations: int = 10, reg: float = 0.1, seed: int = 42
+    df: DataFrame,
+    user: str,
+    item: str,
+    rating: str,
+    *,
+    rank: int = 10,
+    iterations: int = 10,
+    reg: float = 0.1,
+    seed: int = 42,
 ) -> Fitted:
     """Alternating least squares. Unknown users and items are predicted as NaN."""
     estimator = ALS(
-        userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=iterations, regParam=reg, seed=seed,
+        userCol=user,
+        itemCol=item,
+        ratingCol=rating,
+        rank=rank,
+        maxIter=iterations,
+        regParam=reg,
+        seed=seed,
         coldStartStrategy="nan",
-    )
+    )
     core = estimator.fit(df)
     sizes = {"rank": core.rank, "users": core.userFactors.count(), "items": core.itemFactors.count()}
     return Fitted(PipelineModel([core]), _table(df, statistic=sizes))
 
 
-def lda(df: DataFrame, features: str, *, k: int = 10, iterations: int = 20, optimizer: str = "online", seed: int = 42) -> Fitted:
-    """Topics of count vectors that are already features, e.g. of a libsvm file."""
-    core = LDA(featuresCol=features, k=k, maxIter=iterations, optimizer=optimizer, seed=seed).fit(df)
-    likelihood = core.logLikelihood(df)
-    counted = df.agg(F.sum(F.aggregate(vector_to_array(features), F.lit(0.0), lambda a, x: a + x))).first()[0]
+def lda(
+    df: DataFrame,
+    features: str,
+    *,
+    k: int = 10,
+    iterations: int = 20,
+    optimizer: str = "online",
+    seed: int = 42,
+) -> Fitted:
+    """Topics of vectors of counts that are already features, e.g. of a libsvm
+    file. ``predict`` gives the topic distribution of each row."""
+    estimator = LDA(featuresCol=features, k=k, maxIter=iterations, optimizer=optimizer, seed=seed)
+    training = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        core = estimator.fit(training)
+        counted = training.agg(F.sum(vector_total(features))).first()[0]
+        likelihood = core.logLikelihood(training)
+    finally:
+        training.unpersist()
+    measures = {
+        "log_likelihood": likelihood,
+        "log_perplexity": -likelihood / counted,
+        "vocabulary": core.vocabSize(),
+        "counted_words": counted,
+    }
     concentration = {str(i): v for i, v in enumerate(core.estimatedDocConcentration())}
-    measures = {"log_likelihood": likelihood, "log_perplexity": -likelihood / counted, "vocabulary": core.vocabSize()}
     return Fitted(PipelineModel([core]), _table(df, statistic=measures, doc_concentration=concentration))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as words
 from ..functions.arrays import vector_total
+from ..operators.partitions import explode_once
 from ..operators.relational import limit_rows, sum_of_row_maxima
 
 # A vocabulary up to this size is sent to every task, a larger one is joined by shuffle.
@@ -49,8 +50,9 @@ def annotate(df: DataFrame, text: str = "headline_text", *, stems: bool = True)
     """
     out = (
         df.withColumn("document", words.shrink(text))
-        .withColumn("token", words.tokenize("document"))
-        .withColumn("normalized", words.normalize("token"))
+        .withColumn("token", words.tokenize(text))
+        # Tokens are runs of letters, so there is nothing left to take out of them.
+        .withColumn("normalized", F.col("token"))
         .withColumn("cleanTokens", words.remove_stop_words("normalized"))
     )
     if stems:
@@ -60,7 +62,7 @@ def annotate(df: DataFrame, text: str = "headline_text", *, stems: bool = True)
 
 def vocabulary(df: DataFrame, size: int, tokens: str = "tokens") -> DataFrame:
     """The ``size`` most frequent words; equal counts go by the word."""
-    counts = df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = explode_once(df, tokens, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), "word").limit(size)
 
 

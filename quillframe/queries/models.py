@@ -11,6 +11,8 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from ..functions.arrays import array_total
+from ..operators.partitions import spread
 from ..operators.udf import config_sweep
 from ..plans import models
 from ..session import fresh_path
@@ -23,6 +25,10 @@ def _embeddings(spark, sf):
     )
 
 
+def _lines(spark, sf):
+    return spread(table(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", "l_discount", "l_tax"))
+
+
 def _labelled(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     return table(spark, sf, "labels").join(documents, "doc_id")
@@ -35,7 +41,7 @@ def _digits(column):
 
 def _class_totals(scored, labels, names):
     """Rows per class and the sum of the predicted probabilities of the class."""
-    sums = scored.select(F.posexplode(vector_to_array("probability")).alias("i", "p")).groupBy("i").agg(F.sum("p").alias("p"))
+    sums = scored.select(F.posexplode_outer(vector_to_array("probability")).alias("i", "p")).groupBy("i").agg(F.sum("p").alias("p"))
     classes = F.array(*[F.lit(n) for n in names])
     total = sums.select(F.element_at(classes, F.col("i") + 1).alias("class"), F.round("p", 2).alias("expected"))
     sizes = scored.groupBy(F.col(labels).cast("string").alias("class")).agg(F.count(F.lit(1)).alias("n"))
@@ -57,7 +63,7 @@ def _class_totals(scored, labels, names):
 def formula_features(spark, sf):
     _, frame = models.formula_features(table(spark, sf, "part"), "p_retailprice ~ p_type + p_size")
     names = F.array(*[F.lit(n) for n in models.feature_names(frame)])
-    entries = frame.select("p_partkey", "label", F.posexplode(vector_to_array("features")).alias("i", "value"))
+    entries = frame.select("p_partkey", "label", F.posexplode_outer(vector_to_array("features")).alias("i", "value"))
     return entries.select("p_partkey", "label", F.element_at(names, F.col("i") + 1).alias("name"), "value")
 
 
@@ -81,11 +87,21 @@ WITH fit AS (
 """
 
 
-@query("glm_gaussian", _GAUSSIAN_SQL + "SELECT measure, term, printf('%.5e', value) AS value FROM found")
+@query(
+    "glm_gaussian",
+    _GAUSSIAN_SQL
+    + """
+    SELECT measure, term, printf('%.5e', value) AS value FROM found
+    UNION ALL SELECT 'residuals', 'sum_of_squares', printf('%.5e', deviance) FROM dev
+    """,
+)
 def glm_gaussian(spark, sf):
-    fitted = models.glm(table(spark, sf, "lineitem"), "l_extendedprice ~ l_quantity")
+    fitted = models.glm(_lines(spark, sf), "l_extendedprice ~ l_quantity")
     kept = fitted.summary.where("measure <> 'p_value' AND term <> 'iterations'")
-    return kept.select("measure", "term", _digits("value").alias("value"))
+    residuals = models.deviance_residuals(fitted).select(F.col("devianceResiduals").alias("r"))
+    squares = residuals.agg(F.sum(F.col("r") * F.col("r")).alias("value"))
+    both = kept.unionByName(squares.select(F.lit("residuals").alias("measure"), F.lit("sum_of_squares").alias("term"), "value"))
+    return both.select("measure", "term", _digits("value").alias("value"))
 
 
 @query(
@@ -142,7 +158,7 @@ def glm_binomial(spark, sf):
 )
 def logit_binomial(spark, sf):
     rows = _labelled(spark, sf)
-    fitted = models.logit(rows, "quality ~ n_chars + lang", reg=0.01, elastic_net=0.8, tol=1e-12, iterations=500)
+    fitted = models.logit(rows, "quality ~ n_chars + lang", reg=0.01, elastic_net=0.8, tol=1e-9, iterations=200)
     return _class_totals(fitted.predict(rows), "quality", fitted.model.stages[-1].getLabels())
 
 
@@ -152,7 +168,7 @@ def logit_binomial(spark, sf):
 )
 def logit_multinomial(spark, sf):
     rows = _embeddings(spark, sf).withColumnRenamed("label", "digit")
-    fitted = models.logit(rows, "digit ~ embedding", reg=0.01, tol=1e-10, iterations=500)
+    fitted = models.logit(rows, "digit ~ embedding", reg=0.01, tol=1e-8, iterations=200)
     return _class_totals(fitted.predict(rows), "digit", fitted.model.stages[-1].getLabels())
 
 
@@ -175,7 +191,7 @@ def gbt_classify(spark, sf):
 @query("gbt_regress", "SELECT count(*) AS n, printf('%.5e', avg(l_extendedprice)) AS mean_prediction FROM lineitem")
 def gbt_regress(spark, sf):
     # Boosting on squared error leaves the mean of the label in the predictions.
-    lines = table(spark, sf, "lineitem")
+    lines = _lines(spark, sf)
     fitted = models.gbt(lines, "l_extendedprice ~ l_quantity + l_discount + l_tax", iterations=5, depth=3)
     return fitted.predict(lines).agg(F.count(F.lit(1)).alias("n"), _digits(F.avg("prediction")).alias("mean_prediction"))
 
@@ -195,7 +211,7 @@ def forest_classify(spark, sf):
 @query("forest_regress", "SELECT count(*) AS n, count(*) AS n_inside FROM lineitem")
 def forest_regress(spark, sf):
     # A mean of leaf means stays between the smallest and the largest label.
-    lines = table(spark, sf, "lineitem")
+    lines = _lines(spark, sf)
     low, high = lines.agg(F.min("l_extendedprice"), F.max("l_extendedprice")).first()
     fitted = models.random_forest(lines, "l_extendedprice ~ l_quantity + l_discount + l_tax", trees=10)
     inside = F.col("prediction").between(low, high)
@@ -307,8 +323,9 @@ _SQUARES_SQL = """
 )
 def kmeans(spark, sf):
     # Cost around the centres plus the spread of the centres is the whole sum of squares.
-    fitted = models.kmeans(_embeddings(spark, sf), "~ embedding", 3, iterations=200, tol=0.0)
-    points = models.fitted_clusters(fitted)
+    rows = _embeddings(spark, sf)
+    fitted = models.kmeans(rows, "~ embedding", 3, iterations=200, tol=0.0)
+    points = fitted.predict(rows)
     centers = fitted.core.clusterCenters()
     sizes = {int(k): v for k, v in fitted.measures("size").items()}
     n = sum(sizes.values())
@@ -320,6 +337,29 @@ def kmeans(spark, sf):
     )
 
 
+@query(
+    "lda_posterior",
+    """
+    SELECT vec_id, 1.0::DOUBLE AS total, 10 AS n_topics,
+           (SELECT round(sum(len(list_filter(embedding, lambda x: x > 0))), 3) FROM embeddings)::DOUBLE AS counted_words
+    FROM embeddings
+    """,
+)
+def lda_posterior(spark, sf):
+    # Counts per row: 1 where an embedding entry is positive.
+    ones = F.transform("embedding", lambda x: F.when(x > 0, 1.0).otherwise(0.0))
+    rows = table(spark, sf, "embeddings").select("vec_id", array_to_vector(ones).alias("counts"))
+    fitted = models.lda(rows, "counts", k=10, iterations=10)
+    counted = fitted.measures("statistic")["counted_words"]
+    total = vector_to_array("topicDistribution")
+    return fitted.predict(rows).select(
+        "vec_id",
+        F.round(array_total(total), 6).alias("total"),
+        F.size(total).alias("n_topics"),
+        F.lit(counted).alias("counted_words"),
+    )
+
+
 @query("gaussian_mixture", _SQUARES_SQL + "SELECT CAST(i AS INTEGER) AS dimension, round(mean, 6) AS mean FROM means")
 def gaussian_mixture(spark, sf):
     # The weighted component means give back the mean of the data.
@@ -388,7 +428,7 @@ def config_sweep_query(spark, sf):
     found = config_sweep(
         points, KMeans(featuresCol="embedding", maxIter=10), configs, lambda m: m.summary.trainingCost, "k int, start string, seed int"
     )
-    spread = points.select(F.posexplode(vector_to_array("embedding")).alias("i", "x")).groupBy("i").agg(
+    spread = points.select(F.posexplode_outer(vector_to_array("embedding")).alias("i", "x")).groupBy("i").agg(
         (F.sum(F.col("x") * F.col("x")) - F.count("x") * F.avg("x") * F.avg("x")).alias("squares")
     )
     whole = spread.agg(F.sum("squares")).first()[0]

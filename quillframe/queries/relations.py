@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import relational as ops
+from ..operators.partitions import explode_once
 from ..operators.similarity import vector_top_k
 from .registry import query, table
 
@@ -53,7 +54,7 @@ def row_count(spark, sf):
     """,
 )
 def conditional_counts(spark, sf):
-    lines = table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("value"))
+    lines = explode_once(table(spark, sf, "documents"), F.split("text", "\n"), "value")
     return ops.conditional_counts(
         lines, with_a=F.col("value").contains("a"), with_b=F.col("value").contains("b")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import entries
 from ..functions import text as words
 from ..functions.stopwords import STOP_WORDS
+from ..operators.partitions import explode_once, spread
 from ..operators.relational import sum_of_row_maxima
 from ..plans.topics import TopicSettings, annotate, count_vector_stage, count_vectors, vocabulary
 from ..session import stored
@@ -102,6 +103,10 @@ WORDS_SQL = (
 )
 
 
+def _documents(spark, sf):
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query(
     "doc_shrink",
     r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS document FROM documents",
@@ -158,7 +163,7 @@ def remove_stop_words(spark, sf):
     """,
 )
 def stem_vocab(spark, sf):
-    kept = annotate(table(spark, sf, "documents"), "text", stems=False).select(F.explode("tokens").alias("word"))
+    kept = explode_once(annotate(_documents(spark, sf), "text", stems=False), "tokens", "word")
     counts = kept.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     singular = F.regexp_replace(F.regexp_replace("word", "(ss|i)es$", "$1"), "([^s])s$", "$1")
     return counts.select("word", words.stem_word("word").alias("stem"), singular.alias("singular"), "n")
@@ -177,7 +182,7 @@ def stem_vocab(spark, sf):
     """,
 )
 def text_stages(spark, sf):
-    done = annotate(table(spark, sf, "documents"), "text")
+    done = annotate(_documents(spark, sf), "text")
     return done.select(
         "doc_id",
         F.size("token").alias("n_token"),
@@ -188,7 +193,7 @@ def text_stages(spark, sf):
 
 
 def words_of(spark, sf):
-    return annotate(table(spark, sf, "documents"), "text").select("doc_id", "tokens")
+    return annotate(_documents(spark, sf), "text").select("doc_id", "tokens")
 
 
 @query("vocabulary", WORDS_SQL + "SELECT stem AS word, n FROM vocab")
@@ -198,16 +203,16 @@ def vocabulary_query(spark, sf):
 
 @query("count_vectors", WORDS_SQL + "SELECT doc_id, index, stem AS word, value FROM vectors JOIN vocab USING (index)")
 def count_vectors_query(spark, sf):
-    tokens = words_of(spark, sf)
+    tokens = words_of(spark, sf).persist()
     vocab = [r.word for r in vocabulary(tokens, 500).collect()]
     listed = F.broadcast(spark.createDataFrame(list(enumerate(vocab)), "index int, word string"))
-    entry = count_vectors(tokens, vocab, 3.0).select("doc_id", F.explode(entries("features")).alias("e"))
+    entry = explode_once(count_vectors(tokens, vocab, 3.0), entries("features"), "e", "doc_id")
     return entry.select("doc_id", "e.index", "e.value").join(listed, "index")
 
 
 @query("sum_row_max", WORDS_SQL + "SELECT sum(top) AS total FROM (SELECT max(value) AS top FROM vectors GROUP BY doc_id)")
 def sum_row_max(spark, sf):
-    tokens = words_of(spark, sf)
+    tokens = words_of(spark, sf).persist()
     vocab = [r.word for r in vocabulary(tokens, 500).collect()]
     return sum_of_row_maxima(count_vectors(tokens, vocab, 3.0))
 

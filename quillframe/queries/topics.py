@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import vector_total
 from ..functions.text import tokenize
+from ..operators.partitions import explode_once, spread
 from ..plans import jobs
 from ..plans.topics import TopicSettings, count_vector_stage, fit_topics
 from ..plans.versions import VersionStore
@@ -124,7 +125,7 @@ def staged_topic_run(spark, sf):
 
 
 def _plain_words(spark, sf):
-    return table(spark, sf, "documents").select(tokenize("text").alias("tokens"))
+    return spread(table(spark, sf, "documents").select("text")).select(tokenize("text").alias("tokens"))
 
 
 _FREQUENT_SQL = r"""
@@ -153,7 +154,7 @@ def word_vectors(spark, sf):
 )
 def synonyms_query(spark, sf):
     tokens = _plain_words(spark, sf)
-    counts = tokens.select(F.explode("tokens").alias("word")).groupBy("word").count()
+    counts = explode_once(tokens, "tokens", "word").groupBy("word").count()
     target = counts.orderBy(F.desc("count"), "word").first()["word"]
     model = fit_word_vectors(tokens)
     near = synonyms(model, target, 40).where(F.col("word") != target)

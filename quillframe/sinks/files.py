@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ..session import fresh_path
+from ..session import stored
 
 # A single output file is one task's work, so it is made only up to this many lines.
 SINGLE_FILE_LINES = 10_000_000
@@ -21,15 +20,12 @@ def write_parquet(df: DataFrame, path: str, columns: Sequence[str] | None = None
 def write_text_single(df: DataFrame, path: str, max_lines: int = SINGLE_FILE_LINES) -> int:
     """Write a one-column frame as one text file, replacing an old one.
 
-    The lines are first written in parallel and counted on the way. Up to
-    ``max_lines`` they are then put into one file; above it the output keeps
-    its many part files, with every line in it. Returns the number of lines.
+    The lines are first written in parallel as Parquet, whose footers give
+    their number. Up to ``max_lines`` they are then put into one file; above
+    it the output keeps its many part files, with every line in it. Returns
+    the number of lines.
     """
-    spark = df.sparkSession
-    seen = Observation()
-    parts = fresh_path(spark, "parts")
-    df.observe(seen, F.count(F.lit(1)).alias("lines")).write.text(parts)
-    lines = seen.get["lines"]
-    staged = spark.read.text(parts)
+    staged = stored(df, "parts")
+    lines = staged.count()
     (staged.coalesce(1) if lines <= max_lines else staged).write.mode("overwrite").text(path)
     return lines
