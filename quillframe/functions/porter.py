@@ -20,12 +20,11 @@ STEP_4 = [
 ]
 
 
-def _ending(suffixes) -> re.Pattern:
-    # The leftmost match that reaches the end is the longest suffix.
-    return re.compile(f"({'|'.join(suffixes)})$")
+def _longest_first(suffixes) -> tuple[str, ...]:
+    return tuple(sorted(suffixes, key=len, reverse=True))
 
 
-_END_2, _END_3, _END_4 = _ending(STEP_2), _ending(STEP_3), _ending(STEP_4)
+_END_2, _END_3, _END_4 = _longest_first(STEP_2), _longest_first(STEP_3), _longest_first(STEP_4)
 
 # A word is kept with its consonant y written as Y, so that y is always a vowel.
 _VOWEL = re.compile("[aeiouy]")
@@ -35,6 +34,8 @@ _CVC = re.compile("[^aeiouy][aeiouy][^aeiouywxY]$")
 
 
 def _mark_consonant_y(word: str) -> str:
+    if "y" not in word:
+        return word
     word = re.sub("^y", "Y", word)
     word = re.sub("([aeiou])y", r"\1Y", word)
     return word.replace("yy", "yY")
@@ -44,11 +45,17 @@ def _measure(part: str) -> int:
     return len(_VC.findall(part))
 
 
-def _swap(word: str, ending: re.Pattern, endings: dict[str, str]) -> str:
-    found = ending.search(word)
-    if found and _measure(word[: found.start()]) > 0:
-        return word[: found.start()] + endings[found.group()]
-    return word
+def _split(word: str, suffixes: tuple[str, ...]) -> tuple[str, str]:
+    """The word without its longest listed suffix, and that suffix."""
+    if word.endswith(suffixes):
+        suffix = next(s for s in suffixes if word.endswith(s))
+        return word[: -len(suffix)], suffix
+    return word, ""
+
+
+def _swap(word: str, suffixes: tuple[str, ...], endings: dict[str, str]) -> str:
+    root, suffix = _split(word, suffixes)
+    return root + endings[suffix] if suffix and _measure(root) > 0 else word
 
 
 def _plural(word: str) -> str:
@@ -72,11 +79,8 @@ def _past(word: str) -> str:
 
 
 def _residue(word: str) -> str:
-    found = _END_4.search(word)
-    if not found:
-        return word
-    root = word[: found.start()]
-    if _measure(root) <= 1 or (found.group() == "ion" and not root.endswith(("s", "t"))):
+    root, suffix = _split(word, _END_4)
+    if not suffix or _measure(root) <= 1 or (suffix == "ion" and not root.endswith(("s", "t"))):
         return word
     return root
 

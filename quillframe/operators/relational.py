@@ -23,17 +23,18 @@ def join_pairs(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def join_self(pairs: DataFrame, key: str, value: str) -> DataFrame:
-    """Join a frame of (key, value) pairs with itself on the key.
+    """Join a frame of (key, value) pairs with itself on the key, per left pair.
 
-    Equal pairs are first merged into one row with their number, so copies of
-    a pair never meet each other row by row: ``copies`` says how often the
-    joined pair occurs in the plain join.
+    Gives each distinct pair with its number of copies, and with the number of
+    rows it has in the joined frame. A key with n rows has n * n joined rows;
+    they are counted here without being made, from one row per key on the
+    right side. To have the joined rows themselves, use ``join_pairs`` with
+    the same frame twice.
     """
-    merged = pairs.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
-    left = merged.select(key, F.col(value).alias("left"), F.col("n").alias("n_left"))
-    right = merged.select(key, F.col(value).alias("right"), F.col("n").alias("n_right"))
-    return left.join(right, key).select(
-        key, "left", "right", (F.col("n_left") * F.col("n_right")).alias("copies")
+    merged = pairs.groupBy(key, value).agg(F.count(F.lit(1)).alias("copies"))
+    partners = merged.groupBy(key).agg(F.sum("copies").alias("partners"))
+    return merged.join(partners, key).select(
+        key, value, "copies", (F.col("copies") * F.col("partners")).alias("joined")
     )
 
 

@@ -128,7 +128,7 @@ def run_all(
     if store.entry(SCORED, run_id) is None:
         return stages.withColumn("hits", F.lit(None).cast("bigint"))
     hits = documents_with_topic(store.restore(SCORED, run_id)).count()
-    return stages.withColumn("hits", F.when(F.col("stage") == SCORED, F.lit(hits)))
+    return stages.withColumn("hits", F.when(F.col("stage") == SCORED, F.lit(hits).cast("bigint")))
 
 
 def dbclean(spark: SparkSession, store: VersionStore, word: str = "") -> list[str]:

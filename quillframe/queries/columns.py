@@ -119,20 +119,25 @@ def array_sum(spark, sf):
 @query(
     "zip_arrays",
     """
-    WITH words AS (
+    WITH split AS (
         SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}]+'), lambda w: w <> '') AS words FROM documents
     ), rows AS (
-        SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos, words[1] AS first_word FROM words
+        SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos, words[1] AS first_word FROM split
     )
-    SELECT doc_id, CAST(pos AS INTEGER) AS pos, word, CAST(length(word) AS INTEGER) AS n, first_word FROM rows
+    SELECT word, CAST(length(word) AS INTEGER) AS n, count(*) AS times, CAST(sum(pos) AS BIGINT) AS places,
+           count(*) FILTER (WHERE word = first_word) AS like_first
+    FROM rows GROUP BY word
     """,
 )
 def zip_arrays(spark, sf):
     words = table(spark, sf, "documents").select("doc_id", tokenize("text").alias("word"))
-    pairs = words.withColumn("n", F.transform("word", F.length)).withColumn(
-        "first_word", pick(F.array(F.lit(0)), F.col("word"))[0]
-    ).where(F.size("word") > 0)
-    return zip_positions(pairs, "word", "n", ["doc_id", "first_word"])
+    first = F.when(F.size("word") > 0, pick(F.array(F.lit(0)), F.col("word"))[0])
+    pairs = words.withColumn("n", F.transform("word", F.length)).withColumn("first_word", first)
+    return zip_positions(pairs, "word", "n", ["doc_id", "first_word"]).groupBy("word", "n").agg(
+        F.count(F.lit(1)).alias("times"),
+        F.sum("pos").alias("places"),
+        F.count_if(F.col("word") == F.col("first_word")).alias("like_first"),
+    )
 
 
 @query("filter_eq", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")

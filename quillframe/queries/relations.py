@@ -29,7 +29,7 @@ def join_inner(spark, sf):
     WITH pairs AS (
         SELECT CAST(o_orderkey AS VARCHAR) AS first, concat_ws(',', o_orderkey, o_custkey, o_orderstatus) AS line FROM orders
     )
-    SELECT a.first, a.line AS left, b.line AS right, count(*) AS copies
+    SELECT a.first, a.line, count(*) AS joined, CAST(sqrt(sum(CASE WHEN a.line = b.line THEN 1 ELSE 0 END)) AS BIGINT) AS copies
     FROM pairs a JOIN pairs b ON a.first = b.first GROUP BY ALL
     """,
 )

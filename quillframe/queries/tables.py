@@ -30,7 +30,7 @@ def temp_view_sql(spark, sf):
 @query("ctas", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def ctas(spark, sf):
     name = fresh_name("suppliers")
-    create_table_as(table(spark, sf, "supplier").limit(0), name)
+    create_table_as(table(spark, sf, "region"), name)
     create_table_as(table(spark, sf, "supplier"), name)
     return spark.sql(f"SELECT * FROM {name}")
 

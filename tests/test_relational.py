@@ -18,8 +18,10 @@ def test_inner_join_multiplies(spark):
 
 def test_self_join_counts_copies(spark):
     pairs = spark.createDataFrame([("a", "x")] * 3 + [("a", "y"), ("b", "z")], "k string, v string")
-    found = {(r.left, r.right): r.copies for r in ops.join_self(pairs, "k", "v").collect()}
-    assert found == {("x", "x"): 9, ("x", "y"): 3, ("y", "x"): 3, ("y", "y"): 1, ("z", "z"): 1}
+    found = {r.v: (r.copies, r.joined) for r in ops.join_self(pairs, "k", "v").collect()}
+    assert found == {"x": (3, 12), "y": (1, 4), "z": (1, 1)}
+    whole = ops.join_pairs(pairs, pairs.withColumnRenamed("v", "w"), "k")
+    assert whole.count() == sum(joined for _, joined in found.values())
 
 
 def test_subtract_keeps_other_duplicates(spark):

@@ -71,7 +71,7 @@ def test_topic_hits(tokens, optimizer):
         assert bounds.log_likelihood < 0
         assert bounds.log_perplexity == pytest.approx(model.model.logPerplexity(stage.vectors))
     assert model.words().groupBy("topic").count().count() == 2
-    assert {r.word for r in model.words(3).collect()} == {"a", "b", "c"}
+    assert {"a", "b"} <= {r.word for r in model.words(3).collect()} <= {"a", "b", "c"}
     assert model.matrix().count() == 6
     stage.release()
 
