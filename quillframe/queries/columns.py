@@ -8,10 +8,10 @@ from ..functions.arrays import VECTOR_PARTS, array_total, pick, zip_positions
 from ..functions.tags import suffix_after_first
 from ..functions.text import tokenize
 from ..operators.udf import apply_partitions, apply_rows
-from ..plans.topics import annotate, count_vectors, vocabulary
-from ..session import fresh_path
+from ..plans.topics import count_vectors, vocabulary
+from ..session import fresh_path, kept
 from .registry import query, table
-from .text import WORDS_SQL
+from .text import WORDS_SQL, documents, words_of
 
 
 @query("project", "SELECT o_orderkey, o_orderpriority FROM orders")
@@ -44,10 +44,10 @@ def add_drop_column(spark, sf):
     """,
 )
 def nested_field(spark, sf):
-    words = annotate(table(spark, sf, "documents"), "text").select("doc_id", "tokens")
-    vocab = [r.word for r in vocabulary(words, 500).collect()]
     path = fresh_path(spark, "nested")
-    count_vectors(words, vocab, 3.0).select("doc_id", "features").write.parquet(path)
+    with kept(words_of(spark, sf)) as words:
+        vocab = [r.word for r in vocabulary(words, 500).collect()]
+        count_vectors(words, vocab, 3.0).select("doc_id", "features").write.parquet(path)
     stored = spark.read.schema(f"doc_id bigint, features {VECTOR_PARTS}").parquet(path)
     return stored.select(
         "doc_id",
@@ -130,7 +130,7 @@ def array_sum(spark, sf):
     """,
 )
 def zip_arrays(spark, sf):
-    words = table(spark, sf, "documents").select("doc_id", tokenize("text").alias("word"))
+    words = documents(spark, sf).select("doc_id", tokenize("text").alias("word"))
     first = F.when(F.size("word") > 0, pick(F.array(F.lit(0)), F.col("word"))[0])
     pairs = words.withColumn("n", F.transform("word", F.length)).withColumn("first_word", first)
     return zip_positions(pairs, "word", "n", ["doc_id", "first_word"]).groupBy("word", "n").agg(

@@ -10,7 +10,7 @@ from ..functions.stopwords import STOP_WORDS
 from ..operators.partitions import explode_once, spread
 from ..operators.relational import sum_of_row_maxima
 from ..plans.topics import TopicSettings, annotate, count_vector_stage, count_vectors, vocabulary
-from ..session import stored
+from ..session import kept, stored
 from .registry import query, table
 
 _STOP_LIST = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
@@ -103,7 +103,7 @@ WORDS_SQL = (
 )
 
 
-def _documents(spark, sf):
+def documents(spark, sf):
     return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
@@ -123,7 +123,7 @@ def doc_shrink(spark, sf):
     """,
 )
 def tokenize(spark, sf):
-    tokens = table(spark, sf, "documents").select("doc_id", words.tokenize("text").alias("tokens"))
+    tokens = documents(spark, sf).select("doc_id", words.tokenize("text").alias("tokens"))
     return tokens.select("doc_id", F.size("tokens").alias("n"), F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -150,8 +150,8 @@ def normalize_tokens(spark, sf):
 )
 def remove_stop_words(spark, sf):
     raw = F.filter(F.split("text", words.NOT_LETTERS + "+"), lambda w: w != "")
-    kept = words.remove_stop_words(raw)
-    return table(spark, sf, "documents").select("doc_id", F.array_join(kept, " ").alias("tokens"))
+    left = words.remove_stop_words(raw)
+    return documents(spark, sf).select("doc_id", F.array_join(left, " ").alias("tokens"))
 
 
 @query(
@@ -163,8 +163,8 @@ def remove_stop_words(spark, sf):
     """,
 )
 def stem_vocab(spark, sf):
-    kept = explode_once(annotate(_documents(spark, sf), "text", stems=False), "tokens", "word")
-    counts = kept.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    clean = explode_once(annotate(documents(spark, sf), "text", stems=False), "tokens", "word")
+    counts = clean.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     singular = F.regexp_replace(F.regexp_replace("word", "(ss|i)es$", "$1"), "([^s])s$", "$1")
     return counts.select("word", words.stem_word("word").alias("stem"), singular.alias("singular"), "n")
 
@@ -182,7 +182,7 @@ def stem_vocab(spark, sf):
     """,
 )
 def text_stages(spark, sf):
-    done = annotate(_documents(spark, sf), "text")
+    done = annotate(documents(spark, sf), "text")
     return done.select(
         "doc_id",
         F.size("token").alias("n_token"),
@@ -193,7 +193,7 @@ def text_stages(spark, sf):
 
 
 def words_of(spark, sf):
-    return annotate(_documents(spark, sf), "text").select("doc_id", "tokens")
+    return annotate(documents(spark, sf), "text").select("doc_id", "tokens")
 
 
 @query("vocabulary", WORDS_SQL + "SELECT stem AS word, n FROM vocab")
@@ -203,18 +203,18 @@ def vocabulary_query(spark, sf):
 
 @query("count_vectors", WORDS_SQL + "SELECT doc_id, index, stem AS word, value FROM vectors JOIN vocab USING (index)")
 def count_vectors_query(spark, sf):
-    tokens = words_of(spark, sf).persist()
-    vocab = [r.word for r in vocabulary(tokens, 500).collect()]
-    listed = F.broadcast(spark.createDataFrame(list(enumerate(vocab)), "index int, word string"))
-    entry = explode_once(count_vectors(tokens, vocab, 3.0), entries("features"), "e", "doc_id")
-    return entry.select("doc_id", "e.index", "e.value").join(listed, "index")
+    with kept(words_of(spark, sf)) as tokens:
+        vocab = [r.word for r in vocabulary(tokens, 500).collect()]
+        listed = F.broadcast(spark.createDataFrame(list(enumerate(vocab)), "index int, word string"))
+        entry = explode_once(count_vectors(tokens, vocab, 3.0), entries("features"), "e", "doc_id")
+        return stored(entry.select("doc_id", "e.index", "e.value").join(listed, "index"), "entries")
 
 
 @query("sum_row_max", WORDS_SQL + "SELECT sum(top) AS total FROM (SELECT max(value) AS top FROM vectors GROUP BY doc_id)")
 def sum_row_max(spark, sf):
-    tokens = words_of(spark, sf).persist()
-    vocab = [r.word for r in vocabulary(tokens, 500).collect()]
-    return sum_of_row_maxima(count_vectors(tokens, vocab, 3.0))
+    with kept(words_of(spark, sf)) as tokens:
+        vocab = [r.word for r in vocabulary(tokens, 500).collect()]
+        return stored(sum_of_row_maxima(count_vectors(tokens, vocab, 3.0)), "maxima")
 
 
 @query(

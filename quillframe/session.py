@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,6 +51,16 @@ def fresh_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
 
+@contextmanager
+def kept(df: DataFrame):
+    """A frame that is read several times inside the block and let go after it."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and return the written table."""
     path = fresh_path(df.sparkSession, label)

@@ -12,7 +12,7 @@ from quillframe.session import local_session  # noqa: E402
 from tests.compare import difference  # noqa: E402
 
 folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-spark = local_session("compare")
+spark = local_session("compare", memory="16g")
 spark.sparkContext.setLogLevel("ERROR")
 oracles = entry.oracle_sql()
 for name, function in entry.queries().items():
