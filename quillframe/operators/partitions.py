@@ -18,7 +18,7 @@ def spread(df: DataFrame) -> DataFrame:
     ever shuffled for this. Rows are dealt round-robin, whatever their keys.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= cores * BYTES_PER_CORE or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(2 * cores)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.ml import Estimator
@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from ..session import kept
+
 
 def apply_partitions(
     df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType | str
@@ -49,12 +51,9 @@ def config_sweep(
     Each fit is a distributed job; the input is stored once for all of them.
     ``schema`` declares the configuration columns; ``measure`` is added.
     """
-    df = df.persist()
-    try:
-        rows: Iterable = [
-            (*config.values(), float(measure(estimator.copy({estimator.getParam(n): v for n, v in config.items()}).fit(df))))
-            for config in configs
-        ]
-        return df.sparkSession.createDataFrame(list(rows), f"{schema}, measure double")
-    finally:
-        df.unpersist()
+    rows = []
+    with kept(df) as data:
+        for config in configs:
+            model = estimator.copy({estimator.getParam(name): v for name, v in config.items()}).fit(data)
+            rows.append((*config.values(), float(measure(model))))
+    return df.sparkSession.createDataFrame(rows, f"{schema}, measure double")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
-from dataclasses import asdict
+from dataclasses import asdict, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,9 +167,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job in ("cv1", "count-vectors"):
         print(cv1(store, settings) or "all vectors are empty")
     elif args.job == "lda2":
-        stored = store.latest_run()
-        base = TopicSettings(**store.details(COUNTED, stored.run_id)["settings"]) if stored and stored.stage == COUNTED else settings
-        print(lda2(store, TopicSettings(**{**asdict(base), "topics": args.topics, "iterations": args.iterations})))
+        newest = store.details(COUNTED)
+        base = TopicSettings(**newest["settings"]) if newest else settings
+        print(lda2(store, replace(base, topics=args.topics, iterations=args.iterations)))
     else:
         print("\n".join(dbclean(spark, store, args.word)))
 

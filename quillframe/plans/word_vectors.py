@@ -20,7 +20,8 @@ def fit_word_vectors(
     """Skip-gram vectors of all words that occur at least ``min_count`` times.
 
     Training runs in ``partitions`` tasks, by default one per available core.
-    Spark keeps the vectors of the whole vocabulary in memory and refuses
+    Each task trains its own copy of the vectors and the copies are averaged,
+    so many tasks on little text need more ``iterations``. Spark keeps the vectors of the whole vocabulary in memory and refuses
     sizes that cannot fit: raise ``min_count`` for very large corpora.
     """
     partitions = partitions or df.sparkSession.sparkContext.defaultParallelism

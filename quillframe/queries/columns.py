@@ -99,8 +99,10 @@ def casts(spark, sf):
     "SELECT conv_id, turn, concat(conv_id, '_', replace(upper(role), 'S', 'Z')) AS suffix FROM conversations",
 )
 def suffix_after_first_query(spark, sf):
-    named = table(spark, sf, "conversations").select("conv_id", "turn", F.concat_ws("_", F.lit("turn"), "conv_id", "role").alias("name"))
-    return named.select("conv_id", "turn", F.replace(suffix_after_first("name"), F.lit("S"), F.lit("Z")).alias("suffix"))
+    name = F.concat_ws("_", F.lit("turn"), "conv_id", "role")
+    named = table(spark, sf, "conversations").select("conv_id", "turn", name.alias("name"))
+    suffix = F.replace(suffix_after_first("name"), F.lit("S"), F.lit("Z"))
+    return named.select("conv_id", "turn", suffix.alias("suffix"))
 
 
 @query("array_size", "SELECT vec_id, CAST(len(list_filter(embedding, lambda x: x > 0)) AS INTEGER) AS n FROM embeddings")

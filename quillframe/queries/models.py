@@ -41,7 +41,8 @@ def _digits(column):
 
 def _class_totals(scored, labels, names):
     """Rows per class and the sum of the predicted probabilities of the class."""
-    sums = scored.select(F.posexplode_outer(vector_to_array("probability")).alias("i", "p")).groupBy("i").agg(F.sum("p").alias("p"))
+    long = scored.select(F.posexplode_outer(vector_to_array("probability")).alias("i", "p"))
+    sums = long.groupBy("i").agg(F.sum("p").alias("p"))
     classes = F.array(*[F.lit(n) for n in names])
     total = sums.select(F.element_at(classes, F.col("i") + 1).alias("class"), F.round("p", 2).alias("expected"))
     sizes = scored.groupBy(F.col(labels).cast("string").alias("class")).agg(F.count(F.lit(1)).alias("n"))
@@ -100,8 +101,8 @@ def glm_gaussian(spark, sf):
     kept = fitted.summary.where("measure <> 'p_value' AND term <> 'iterations'")
     residuals = models.deviance_residuals(fitted).select(F.col("devianceResiduals").alias("r"))
     squares = residuals.agg(F.sum(F.col("r") * F.col("r")).alias("value"))
-    both = kept.unionByName(squares.select(F.lit("residuals").alias("measure"), F.lit("sum_of_squares").alias("term"), "value"))
-    return both.select("measure", "term", _digits("value").alias("value"))
+    named = squares.select(F.lit("residuals").alias("measure"), F.lit("sum_of_squares").alias("term"), "value")
+    return kept.unionByName(named).select("measure", "term", _digits("value").alias("value"))
 
 
 @query(
@@ -383,7 +384,8 @@ def gaussian_mixture(spark, sf):
 )
 def als(spark, sf):
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    ratings = table(spark, sf, "lineitem").join(orders, "l_orderkey").groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
+    bought = table(spark, sf, "lineitem").join(orders, "l_orderkey").groupBy("o_custkey", "l_partkey")
+    ratings = bought.agg(F.sum("l_quantity").alias("quantity"))
     fitted = models.als(ratings, "o_custkey", "l_partkey", "quantity", rank=5, iterations=3, reg=0.01)
     sizes = fitted.measures("statistic")
     return fitted.predict(ratings).agg(
@@ -426,7 +428,11 @@ def config_sweep_query(spark, sf):
     points = _embeddings(spark, sf)
     configs = [{"k": k, "initMode": m, "seed": s} for k in (2, 3, 5) for m in ("random", "k-means||") for s in (1, 2)]
     found = config_sweep(
-        points, KMeans(featuresCol="embedding", maxIter=10), configs, lambda m: m.summary.trainingCost, "k int, start string, seed int"
+        points,
+        KMeans(featuresCol="embedding", maxIter=10),
+        configs,
+        lambda m: m.summary.trainingCost,
+        "k int, start string, seed int",
     )
     spread = points.select(F.posexplode_outer(vector_to_array("embedding")).alias("i", "x")).groupBy("i").agg(
         (F.sum(F.col("x") * F.col("x")) - F.count("x") * F.avg("x") * F.avg("x")).alias("squares")

@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.arrays import array_total, to_array_column, to_vector_column
-from ..functions.tags import is_tag, make_tag, parse_tag
+from ..functions.tags import is_tag, make_tag, name_tag, parse_tag
 from ..plans.versions import VersionStore, catalog_names, latest_versions, orphan_tables, sweep_orphans
 from ..session import fresh_name, fresh_path
 from ..sinks.files import write_parquet, write_text_single
@@ -192,16 +192,18 @@ def sweep_orphans_query(spark, sf):
     stored, counts = {f: f"{base}_{tag}".lower() for f, tag in tags.items()}, None
     for flag, name in stored.items():
         create_table_as(lines.where(F.col("l_returnflag") == flag), name)
-        one = scan_table(spark, name).agg(F.lit(name).alias("name"), F.lit(flag).alias("l_returnflag"), F.count(F.lit(1)).alias("n"))
+        one = scan_table(spark, name).agg(
+            F.lit(name).alias("name"), F.lit(flag).alias("l_returnflag"), F.count(F.lit(1)).alias("n")
+        )
         counts = one if counts is None else counts.unionByName(one)
     counted = fresh_path(spark, "counts")
     counts.write.parquet(counted)
     runs = spark.createDataFrame([(tags["A"],)], "run_id string")
-    others = catalog_names(spark).where(~F.col("name").startswith(base)).select(F.upper(F.regexp_extract("name", r"_(\d{8}t\d{6}z)$", 1)).alias("run_id"))
-    dropped = sweep_orphans(spark, runs.unionByName(others), dry_run=False)
-    mine = [name for name in dropped if name.startswith(base)]
+    # Version tables of anyone else in this catalog count as known and stay.
+    others = catalog_names(spark).where(~F.col("name").startswith(base)).select(name_tag("name").alias("run_id"))
+    dropped = sweep_orphans(spark, runs.unionByName(others.where("run_id IS NOT NULL")), dry_run=False)
     return spark.read.parquet(counted).select(
-        F.when(F.col("name").isin(mine), "dropped").otherwise("kept").alias("fate"), "l_returnflag", "n"
+        F.when(F.col("name").isin(dropped), "dropped").otherwise("kept").alias("fate"), "l_returnflag", "n"
     )
 
 

@@ -173,3 +173,11 @@ def test_jdbc_options():
 def test_shared_dir_is_the_sessions(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    from quillframe.queries import QUERIES
+
+    plan = QUERIES["scan_parquet"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_totalprice,100000.0)" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
