@@ -43,3 +43,13 @@ def name_tag(col: Column | str) -> Column:
     Catalog names come back in lower case, tags are in upper case.
     """
     return F.nullif(F.regexp_extract(F.upper(col), r"_(\d{8}T\d{6}Z)$", 1), F.lit(""))
+
+
+def tag_number(tag: Column) -> Column:
+    """The 14 digits of a tag as one number, in time order."""
+    return F.concat(F.substring(tag, 1, 8), F.substring(tag, 10, 6)).cast("bigint")
+
+
+def number_tag(number: Column | str) -> Column:
+    digits = F.lpad((F.col(number) if isinstance(number, str) else number).cast("string"), 14, "0")
+    return F.concat(F.substring(digits, 1, 8), F.lit("T"), F.substring(digits, 9, 6), F.lit("Z"))

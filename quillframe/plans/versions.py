@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tags import is_tag, name_tag, new_tag
+from ..functions.tags import is_tag, name_tag, new_tag, number_tag, tag_number
 
 MANIFEST = "run_id string, stage string, path string, row_count bigint, details string, written_at timestamp"
 
@@ -98,7 +98,9 @@ def latest_versions(names: DataFrame, *keys: str, prefix: str | None = None) ->
     """Newest version tag among table names, optionally per key column."""
     if prefix is not None:
         names = names.where(F.col("name").startswith(prefix + "_"))
-    return names.groupBy(*keys).agg(F.max(name_tag("name")).alias("tag"))
+    # Compared as numbers, because Spark hash-aggregates those and sorts for texts.
+    newest = names.groupBy(*keys).agg(F.max(tag_number(name_tag("name"))).alias("newest"))
+    return newest.select(*keys, number_tag("newest").alias("tag"))
 
 
 def orphan_tables(names: DataFrame, runs: DataFrame) -> DataFrame:

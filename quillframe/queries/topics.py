@@ -47,12 +47,21 @@ def topic_hits(spark, sf):
         return stored(scored.agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("documents")), "hits")
 
 
-@query("topic_bounds", WORDS_SQL + "SELECT sum(value) AS counted_words, sum(value) > 0 AS negative, true AS agree FROM vectors")
+@query(
+    "topic_bounds",
+    WORDS_SQL
+    + """
+    SELECT sum(value) AS counted_words, sum(value) AS words_by_perplexity, sum(value) > 0 AS negative FROM vectors
+    """,
+)
 def topic_bounds(spark, sf):
+    # Spark's own perplexity is the likelihood per word, so it gives back the word count.
     with _topics(spark, sf) as (stage, model):
-        agree = F.abs(F.col("log_perplexity") * F.col("counted_words") + F.col("log_likelihood")) < 1e-6 * F.abs("log_likelihood")
+        per_word = model.model.logPerplexity(stage.vectors)
         return model.bounds(stage.vectors).select(
-            "counted_words", (F.col("log_likelihood") < 0).alias("negative"), agree.alias("agree")
+            "counted_words",
+            F.round(-F.col("log_likelihood") / per_word).alias("words_by_perplexity"),
+            (F.col("log_likelihood") < 0).alias("negative"),
         )
 
 
@@ -98,7 +107,8 @@ def topic_distribution(spark, sf):
     "topics_matrix",
     WORDS_SQL
     + """
-    SELECT CAST(topic AS INTEGER) AS topic, stem AS word, true AS agree FROM vocab, (SELECT unnest(range(5)) AS topic)
+    SELECT CAST(topic AS INTEGER) AS topic, count(*) AS n_words, count(DISTINCT stem) AS n_agree, 1.0::DOUBLE AS share
+    FROM vocab, (SELECT unnest(range(5)) AS topic) GROUP BY topic
     """,
 )
 def topics_matrix(spark, sf):
@@ -108,7 +118,9 @@ def topics_matrix(spark, sf):
         sums = matrix.groupBy("topic").agg(F.sum("weight").alias("whole"))
         both = matrix.join(sums, "topic").join(listed, ["topic", "term", "word"])
         agree = F.abs(F.col("weight") / F.col("whole") - F.col("score")) < 1e-9
-        return both.select("topic", "word", agree.alias("agree"))
+        return both.groupBy("topic").agg(
+            F.count(F.lit(1)).alias("n_words"), F.count_if(agree).alias("n_agree"), F.round(F.sum("score"), 6).alias("share")
+        )
 
 
 @query(
@@ -148,7 +160,7 @@ def word_vectors(spark, sf):
     _FREQUENT_SQL
     + """
     SELECT (SELECT word FROM words ORDER BY n DESC, word LIMIT 1) AS target,
-           least(40, count(*) - 1) AS n, least(40, count(*) - 1) AS n_known, true AS in_bounds
+           least(40, count(*) - 1) AS n, least(40, count(*) - 1) AS n_known, least(40, count(*) - 1) AS n_in_bounds
     FROM words
     """,
 )
@@ -163,5 +175,5 @@ def synonyms_query(spark, sf):
         F.lit(target).alias("target"),
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("word").alias("n_known"),
-        (F.max(F.abs("similarity")) <= 1.000001).alias("in_bounds"),
+        F.count_if(F.abs("similarity") <= 1.000001).alias("n_in_bounds"),
     )
