@@ -40,10 +40,12 @@ def normalize(tokens: Column | str) -> Column:
     return F.filter(F.transform(tokens, lambda t: F.regexp_replace(t, NOT_LETTERS, "")), lambda t: t != "")
 
 
-def remove_stop_words(tokens: Column | str, words: Sequence[str] = STOP_WORDS) -> Column:
-    """Drop stop words, whatever their case."""
-    lowered = sorted({w.lower() for w in words})
-    return F.filter(tokens, lambda t: ~F.lower(t).isin(lowered))
+def remove_stop_words(
+    tokens: Column | str, words: Sequence[str] = STOP_WORDS, *, lowered: bool = False
+) -> Column:
+    """Drop stop words, whatever their case; ``lowered`` says the tokens are in lower case."""
+    stop = sorted({w.lower() for w in words})
+    return F.filter(tokens, lambda t: ~(t if lowered else F.lower(t)).isin(stop))
 
 
 # Stems seen by this task; emptied when it has grown large.

@@ -20,12 +20,13 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import LDA, GaussianMixture, KMeans
-from pyspark.ml.feature import IndexToString, RFormula
+from pyspark.ml.feature import IndexToString, RFormula, SQLTransformer
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import (
     AFTSurvivalRegression,
     GBTRegressor,
     GeneralizedLinearRegression,
+    GeneralizedLinearRegressionModel,
     IsotonicRegression,
     RandomForestRegressor,
 )
@@ -48,7 +49,7 @@ class Fitted:
     @property
     def core(self) -> Model:
         """The model itself, without formula and label steps."""
-        return next(s for s in reversed(self.model.stages) if not isinstance(s, IndexToString))
+        return next(s for s in reversed(self.model.stages) if not isinstance(s, (IndexToString, SQLTransformer)))
 
     def predict(self, df: DataFrame) -> DataFrame:
         return self.model.transform(df)
@@ -111,7 +112,12 @@ def _fit(
         core = estimator.fit(training)
         stages = [shaped, core]
         if classes and label_values(training):
-            named = IndexToString(inputCol="prediction", outputCol="predicted_label")
+            index = "prediction"
+            if isinstance(core, GeneralizedLinearRegressionModel):
+                # Its prediction is the probability of class 1.
+                index = "predicted_index"
+                stages.append(SQLTransformer(statement=f"SELECT *, round(prediction) AS {index} FROM __THIS__"))
+            named = IndexToString(inputCol=index, outputCol="predicted_label")
             stages.append(named.setLabels(label_values(training)))
         return Fitted(PipelineModel(stages), _table(df, **summarise(core, training)))
     finally:

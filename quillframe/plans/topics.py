@@ -53,7 +53,7 @@ def annotate(df: DataFrame, text: str = "headline_text", *, stems: bool = True)
         .withColumn("token", words.tokenize(text))
         # Tokens are runs of letters, so there is nothing left to take out of them.
         .withColumn("normalized", F.col("token"))
-        .withColumn("cleanTokens", words.remove_stop_words("normalized"))
+        .withColumn("cleanTokens", words.remove_stop_words("normalized", lowered=True))
     )
     if stems:
         out = out.withColumn("stem", words.stem_tokens("cleanTokens"))

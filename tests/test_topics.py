@@ -3,11 +3,13 @@
 import pytest
 
 from quillframe.functions.arrays import vector_total
-from quillframe.operators.relational import sum_of_row_maxima
+from quillframe.operators.partitions import spread
+from quillframe.operators.relational import limit_rows, sum_of_row_maxima
 from quillframe.operators.udf import config_sweep
 from quillframe.plans import jobs
 from quillframe.plans.topics import (
     TopicSettings,
+    annotate,
     count_vector_stage,
     count_vectors,
     documents_with_topic,
@@ -56,6 +58,16 @@ def test_document_limit(tokens):
     stage.release()
 
 
+def test_document_limit_reaches_the_scan(spark, tmp_path):
+    spark.range(50).selectExpr("id", "concat('word', id) AS text").write.parquet(f"{tmp_path}/t")
+    done = annotate(spread(spark.read.parquet(f"{tmp_path}/t")), "text").select("id", "tokens")
+    limited = limit_rows(done, 7, "id")
+    plan = limited._jdf.queryExecution().executedPlan().toString()
+    # Text steps come after the filter, so no other text is read into them.
+    assert plan.index("stem_tokens") < plan.index("Filter") < plan.index("FileScan")
+    assert limited.count() == 7
+
+
 @pytest.mark.parametrize("optimizer", ["online", "em"])
 def test_topic_hits(tokens, optimizer):
     settings = TopicSettings(topics=2, iterations=5, optimizer=optimizer)
