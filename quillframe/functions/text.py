@@ -17,6 +17,7 @@ from . import porter
 from .stopwords import STOP_WORDS
 
 LETTERS = r"\p{L}+"
+NOT_BLANK = r"\S+"
 NOT_LETTERS = r"[^\p{L}]"
 
 # Python workers get these functions with the task, so the package need not be
@@ -30,9 +31,9 @@ def shrink(col: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.col(col) if isinstance(col, str) else col, r"\s+", " "))
 
 
-def tokenize(col: Column | str) -> Column:
-    """Lower-cased runs of letters in document order."""
-    return F.regexp_extract_all(F.lower(col), F.lit(LETTERS), F.lit(0))
+def tokenize(col: Column | str, pattern: str = LETTERS) -> Column:
+    """Lower-cased matches of ``pattern``, by default runs of letters, in document order."""
+    return F.regexp_extract_all(F.lower(col), F.lit(pattern), F.lit(0))
 
 
 def normalize(tokens: Column | str) -> Column:

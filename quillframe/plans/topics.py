@@ -43,16 +43,20 @@ class TopicSettings:
         return self.terms or self.topics
 
 
-def annotate(df: DataFrame, text: str = "headline_text", *, stems: bool = True) -> DataFrame:
+def annotate(
+    df: DataFrame, text: str = "headline_text", *, stems: bool = True, token_pattern: str = words.LETTERS
+) -> DataFrame:
     """Add a column per text step; ``tokens`` is the final array of words.
 
+    ``token_pattern=NOT_BLANK`` keeps words such as don't in one piece (dont).
     Spark computes only the columns that are used later.
     """
+    # Runs of letters have nothing left to take out.
+    normalized = F.col("token") if token_pattern == words.LETTERS else words.normalize("token")
     out = (
         df.withColumn("document", words.shrink(text))
-        .withColumn("token", words.tokenize(text))
-        # Tokens are runs of letters, so there is nothing left to take out of them.
-        .withColumn("normalized", F.col("token"))
+        .withColumn("token", words.tokenize(text, token_pattern))
+        .withColumn("normalized", normalized)
         .withColumn("cleanTokens", words.remove_stop_words("normalized", lowered=True))
     )
     if stems:

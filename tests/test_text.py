@@ -46,6 +46,14 @@ def test_steps(spark):
     assert annotate(df, stems=False).where("id = 1").first().tokens == ["cats", "running", "running"]
 
 
+def test_blank_separated_tokens(spark):
+    df = spark.createDataFrame([("Don't stop -- well-known cats!",)], "headline_text string")
+    row = annotate(df, token_pattern=text.NOT_BLANK).first()
+    assert row.token == ["don't", "stop", "--", "well-known", "cats!"]
+    assert row.normalized == ["dont", "stop", "wellknown", "cats"]
+    assert row.tokens == ["dont", "stop", "wellknown", "cat"]
+
+
 def test_normalize_and_stop_case(spark):
     df = spark.createDataFrame([(["don't", "!!", "The", "déjà-vu", "x1"],)], "t array<string>")
     assert df.select(text.normalize("t")).first()[0] == ["dont", "The", "déjàvu", "x"]
