@@ -93,7 +93,14 @@ def test_clusters(spark):
     assert sorted(fitted.measures("size").values()) == [4, 4, 4]
     assert fitted.measures("statistic")["cost"] == pytest.approx(15.0)
     assert models.fitted_clusters(fitted).count() == 12
-    mixture = models.gaussian_mixture(df, "~ x + y", 2)
+
+
+def test_mixture(spark):
+    rows = [(10.0 * (i % 2) + math.sin(7 * i), math.cos(5 * i)) for i in range(80)]
+    mixture = models.gaussian_mixture(spark.createDataFrame(rows, "x double, y double"), "~ x + y", 2)
+    weight, mean = mixture.measures("weight"), mixture.measures("mean")
+    middle = sum(x for x, _ in rows) / len(rows)
+    assert sum(weight[c] * mean[f"{c}: 0"] for c in weight) == pytest.approx(middle)
     assert sum(mixture.measures("weight").values()) == pytest.approx(1)
 
 
