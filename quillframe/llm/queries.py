@@ -87,3 +87,23 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
     rows = judge(table(spark, folder, "documents", "doc_id", "text"))
     return rows.drop("text")
+
+
+#: Rules of the url query: (verdict, host, path prefix).
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@query("op3_url_filters")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    from .url_templates import Rule, filter_urls
+
+    return filter_urls(table(spark, folder, "pages", "page_id", "url"), [Rule(*r) for r in URL_RULES]).drop("url")
+
+
+@query("op8_importance_resampling")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    from .importance import Resampler
+
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    model = Resampler(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "labels", "doc_id", "quality", "toxic"), good)
+    return model.scores.select(F.col("_id").alias("doc_id"), "n_features", "log_weight", model.kept().alias("kept"))
