@@ -107,3 +107,19 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     model = Resampler(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "labels", "doc_id", "quality", "toxic"), good)
     return model.scores.select(F.col("_id").alias("doc_id"), "n_features", "log_weight", model.kept().alias("kept"))
+
+
+@query("op5_bpe_automaton")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    from .bpe_automaton import encode
+
+    rows = encode(table(spark, folder, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_warc_capture_index")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    from .warc_index import archive_and_read
+
+    rows = archive_and_read(table(spark, folder, "pages", "page_id", "url", "html"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
