@@ -123,3 +123,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
     rows = archive_and_read(table(spark, folder, "pages", "page_id", "url", "html"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op1_html_template")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    from .html_template import extract
+
+    rows = extract(table(spark, folder, "pages", "page_id", "url", "html"))
+    return rows.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
