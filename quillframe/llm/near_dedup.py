@@ -8,9 +8,11 @@ listed once for each symbol left out, so such a pair meets under an equal key
 for certain. Pairs that meet are compared by signature and confirmed on the
 full shingle sets.
 
-Equal sets are one class from the start. Within a key no two classes are paired
-that are linked already: all members are first confirmed against one hub, then
-against another, and only classes still apart after that are paired with each other.
+Equal sets are one class from the start, and classes that are linked already are
+not compared again: the members of a key are first confirmed against one hub,
+then each against the closest member of another component, and only what is
+still apart after that against all close members of other components. No pairs
+of a key are listed but those that the signatures leave to be confirmed.
 """
 
 from __future__ import annotations
@@ -184,12 +186,89 @@ def _sets(df: DataFrame, id_col: str, text: str, wanted: DataFrame, size: int) -
     return picked.select("id", "text", "set_hash").mapInArrow(run, "id bigint, set binary").dropDuplicates(["id"])
 
 
-def _hubs(shared: DataFrame, pick) -> DataFrame:
-    """Each member of a key with the key's hub."""
-    hub = shared.groupBy("key").agg(pick("id").alias("b"))
+def _hubs(shared: DataFrame) -> DataFrame:
+    """Each member of a key with the key's hub, the member that meets most others over all its keys.
+
+    The centre of a family is the hub of nearly all keys of its members, so a
+    member has few hubs however many keys it shares.
+    """
+    weight = shared.groupBy("id").agg(F.sum("n").alias("w"))
+    hub = shared.join(weight, "id").groupBy("key").agg(F.max_by("id", "w").alias("b"))
     return shared.join(hub, "key").where("id <> b").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
 
+#: Members of a key that are compared in one task at a time; larger keys are cut into blocks, and each pair of blocks is a task's work.
+BLOCK_MEMBERS = 4096
+
+
+def _across(apart: DataFrame, classes: DataFrame, far: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) within ``far`` symbols of members of a key that are in different components.
+
+    With ``nearest`` a member gives its closest pair only, with a member of a component that has more members of the key.
+    Members of one component are not compared with each other.
+    """
+    sizes = apart.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).cast("int").alias("blocks"))
+    rows = apart.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "component", "id").join(classes.select("id", "sig"), "id")
+    cut = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "component")
+
+    def compare(key, ids, comps, own, sig):
+        """Pairs of one group; the rows of a component stand together."""
+        cuts = np.flatnonzero(np.diff(comps)) + 1
+        starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(ids)]])
+        order = np.argsort(ends - starts, kind="stable")
+        place = np.concatenate([np.arange(starts[r], ends[r]) for r in order])
+        ids, own, sig = ids[place], own[place], sig[place]
+        stop = 0
+        for size in (ends - starts)[order]:
+            start, stop = stop, stop + size
+            for at in range(start, stop):
+                if stop == len(ids):
+                    break
+                far_from = (sig[stop:] != sig[at]).sum(axis=1)
+                if key[1] != key[2]:
+                    far_from[own[stop:] == own[at]] = far + 1
+                if nearest:
+                    k = int(far_from.argmin())
+                    if far_from[k] <= far:
+                        yield ids[at], ids[stop + k]
+                else:
+                    for other in np.flatnonzero(far_from <= far):
+                        yield ids[at], ids[stop + other]
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            held = yield from groups(table, False)
+        if held is not None:
+            yield from groups(held, True)
+
+    def groups(table, last):
+        """Work on all groups but the last, which may go on in the next batch; returns its rows."""
+        if not table.num_rows:
+            return None
+        columns = {c: table.column(c).to_numpy() for c in ("key", "i", "j", "own", "component", "id")}
+        change = (np.diff(columns["key"]) != 0) | (np.diff(columns["i"]) != 0) | (np.diff(columns["j"]) != 0)
+        starts = np.concatenate([[0], np.flatnonzero(change) + 1])
+        ends = np.concatenate([starts[1:], [table.num_rows]])
+        if not last:
+            starts, ends = starts[:-1], ends[:-1]
+        done = int(ends[-1]) if len(ends) else 0
+        if done:
+            sig = np.frombuffer(b"".join(table.column("sig").slice(0, done).to_pylist()), np.uint16).reshape(done, -1)
+            pairs = set()
+            for s, e in zip(starts, ends):
+                key = (columns["key"][s], columns["i"][s], columns["j"][s])
+                for a, b in compare(key, columns["id"][s:e], columns["component"][s:e], columns["own"][s:e], sig[s:e]):
+                    pairs.add((min(a, b), max(a, b)))
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
+        return None if last else table.slice(done)
+
+    return cut.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", settings: DedupSettings = DedupSettings()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row.
 
@@ -222,21 +301,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
 def _links(df: DataFrame, id_col: str, text: str, classes: DataFrame, settings: DedupSettings) -> DataFrame:
     """Confirmed links (a, b) that connect all classes that links connect."""
     keys = index_keys(classes, settings)
-    many = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    shared = stored(keys.join(many, "key", "left_semi"), "shared-keys")
+    many = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(keys.join(many, "key"), "shared-keys")
     wanted = classes.join(shared.select("id").distinct(), "id", "left_semi")
     sets = stored(_sets(df, id_col, text, wanted, settings.shingle), "sets")
-
-    def confirm(pairs):
-        return stored(_confirmed(_close(pairs, classes, settings.far), sets, settings.percent), "links")
-
-    tried = stored(_hubs(shared, F.min), "pairs")
-    links = confirm(tried)
-    for pick in (F.max, None):
-        apart = _apart(shared, components(links))
-        pairs = _hubs(apart, pick) if pick else _between(apart)
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionAll(confirm(pairs))
+    tried = stored(_hubs(shared), "pairs")
+    links = stored(_confirmed(_close(tried, classes, settings.far), sets, settings.percent), "links")
+    # What the hubs left apart: twice each member's closest pair of every key, then all that are close enough.
+    for nearest in (True, True, False):
+        apart = stored(_apart(shared, components(links)), "apart")
+        pairs = stored(_across(apart, classes, settings.far, nearest).join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = links.unionAll(stored(_confirmed(pairs, sets, settings.percent), "links"))
         tried = tried.unionAll(pairs)
     return links
 
@@ -246,10 +321,3 @@ def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
     placed = shared.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     return placed.join(several, "key", "left_semi")
-
-
-def _between(apart: DataFrame) -> DataFrame:
-    """Pairs of a key's members that are in different components."""
-    one = apart.select("key", F.col("id").alias("a"), F.col("component").alias("ca"))
-    two = apart.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-    return one.join(two, "key").where("ca <> cb AND a < b").select("a", "b").distinct()

@@ -125,10 +125,9 @@ def build(df: DataFrame, id_col: str = "doc_id", text: str = "text", terms: froz
     source = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     # Each run of rows of a task is a shard, so the scan is not shuffled.
     source.mapInArrow(cut, schema).withColumn("kind", F.when(F.col("term").isNull(), "docs").otherwise("postings")).write.partitionBy("kind").option("compression", "zstd").parquet(path)
-    return PhraseIndex(
-        spark.read.schema(schema).parquet(f"{path}/kind=docs").select("shard", "row", "start", "n_words", "doc_id"),
-        spark.read.schema(schema).parquet(f"{path}/kind=postings").select("shard", "term", "n", "deltas"),
-    )
+    # Read twice, so that the two parts can be joined; an empty index has neither folder.
+    docs, postings = (spark.read.schema(f"{schema}, kind string").parquet(path).where(F.col("kind") == kind) for kind in ("docs", "postings"))
+    return PhraseIndex(docs.select("shard", "row", "start", "n_words", "doc_id"), postings.select("shard", "term", "n", "deltas"))
 
 
 def _windows(phrase: list[bytes], size: int, counts) -> set[int]:
@@ -150,8 +149,9 @@ def _inside(values: np.ndarray, postings: np.ndarray) -> np.ndarray:
 
 
 def _exact(phrase, size, postings) -> Iterator[tuple[int, int]]:
-    """(first, last) positions of stretches that consist of matched windows."""
+    """(first, last) positions of the longest stretches that consist of matched windows."""
     size = min(size, len(phrase))
+    found = set()
     for a in sorted(_windows(phrase, size, lambda w: len(postings.get(w, ())))):
         here = postings[phrase[a]]
         left, right = np.zeros(len(here), np.int64), np.zeros(len(here), np.int64)
@@ -164,7 +164,18 @@ def _exact(phrase, size, postings) -> Iterator[tuple[int, int]]:
                 alive = alive[_inside(here[alive] + step * d, postings[phrase[p]])]
                 reach[alive] = d
         for i in np.flatnonzero(left + right + 1 >= size):
-            yield int(here[i] - left[i]), int(here[i] + right[i])
+            # Stretches around several anchors of one alignment are joined below.
+            found.add((int(here[i]) - a, int(here[i] - left[i]), int(here[i] + right[i])))
+    held = None
+    for start, first, last in sorted(found):
+        if held and held[0] == start and first <= held[2] + 1:
+            held = (start, held[1], max(last, held[2]))
+            continue
+        if held:
+            yield held[1:]
+        held = (start, first, last)
+    if held:
+        yield held[1:]
 
 
 def _near(phrase, slop, postings) -> Iterator[tuple[int, int]]:
