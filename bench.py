@@ -52,7 +52,7 @@ HEADLINE = [
 
 def topics_100_iterations(spark, folder):
     """The longest published setting: a topic fit of 100 iterations on all documents."""
-    settings = TopicSettings(documents=0, iterations=100)
+    settings = TopicSettings(iterations=100)
     documents = spread(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"))
     stage = count_vector_stage(annotate(documents, "text").select("doc_id", "tokens"), settings, "doc_id")
     return documents_with_topic(fit_topics(stage, settings).distribution(stage.vectors))

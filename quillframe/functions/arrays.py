@@ -18,12 +18,15 @@ def array_total(col: Column | str) -> Column:
 
 
 def vector_total(col: str) -> Column:
-    return array_total(vector_to_array(F.col(col)))
+    return array_total(F.unwrap_udt(F.col(col))["values"])
 
 
 def row_maximum(col: str) -> Column:
-    """Largest entry of a vector column."""
-    return F.array_max(vector_to_array(F.col(col)))
+    """Largest entry of a vector column, read from the stored entries; null for a vector of size 0."""
+    parts = F.unwrap_udt(F.col(col))
+    top, length = F.array_max(parts["values"]), F.size(parts["values"])
+    # Entries that a sparse vector leaves out are zeros.
+    return F.when((parts["type"] == 1) | (length == parts["size"]), top).otherwise(F.greatest(F.lit(0.0), top))
 
 
 def entries(col: str) -> Column:
@@ -31,10 +34,20 @@ def entries(col: str) -> Column:
 
     Works within the row, so it needs no shuffle.
     """
-    pairs = F.transform(
-        vector_to_array(F.col(col)), lambda v, i: F.struct(i.alias("index"), v.alias("value"))
+    parts = F.unwrap_udt(F.col(col))
+    dense = F.transform(parts["values"], lambda v, i: F.struct(i.alias("index"), v.alias("value")))
+    sparse = F.zip_with(parts["indices"], parts["values"], lambda i, v: F.struct(i.alias("index"), v.alias("value")))
+    return F.filter(F.when(parts["type"] == 1, dense).otherwise(sparse), lambda p: p["value"] != 0)
+
+
+def to_parts_column(df: DataFrame, vector: str = "features", parts: str = "f2") -> DataFrame:
+    """Replace a vector column by a struct (size, indices, values) of its non-zero entries."""
+    found, raw = entries(vector), F.unwrap_udt(F.col(vector))
+    size = F.coalesce(raw["size"], F.size(raw["values"]))
+    made = F.struct(
+        size.alias("size"), F.transform(found, lambda p: p["index"]).alias("indices"), F.transform(found, lambda p: p["value"]).alias("values")
     )
-    return F.filter(pairs, lambda p: p["value"] != 0)
+    return df.withColumn(parts, made).drop(vector)
 
 
 def to_array_column(df: DataFrame, vector: str = "features", array: str = "f1") -> DataFrame:

@@ -6,20 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# With this many bytes for every core, files give each core several tasks anyway.
-BYTES_PER_CORE = 512 * 1024 * 1024
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a small input out to all cores before heavy row work.
 
-    A few files with few row groups would keep most cores idle. Inputs with
-    many files or many bytes are returned as they are, so nothing large is
+    A few files with few row groups would keep most cores idle. Inputs with a
+    partition for every core are returned as they are, so nothing large is
     ever shuffled for this. Rows are dealt round-robin, whatever their keys.
+    Only row-wise work should follow: fits take their partitions as a parameter.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= cores * BYTES_PER_CORE or len(df.inputFiles()) >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(2 * cores)
 

@@ -66,26 +66,29 @@ def set_difference(df: DataFrame, other: DataFrame) -> DataFrame:
     return df.subtract(other.select(df.columns))
 
 
-def limit_rows(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The first ``n`` rows by ``key``, or all rows when ``n`` is not positive.
+def limit_rows(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """The first ``n`` rows by ``keys``, or all rows when ``n`` is not positive.
 
-    Only keys are compared to find the cut; the rows stay where they are, so
-    what follows still runs on all partitions. Ties at the cut are filled up
-    to exactly ``n`` rows.
+    Rows with equal keys go by a hash of their whole content, so the choice does
+    not depend on the partitions. Only keys and hashes are compared to find the
+    cut; the rows stay where they are, so what follows still runs on all partitions.
     """
     if n <= 0:
         return df
-    col = F.col(key)
-    first = df.select(col.alias("key")).orderBy(F.asc_nulls_first("key")).limit(n)
-    per_key = first.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    found, cut = per_key.agg(F.sum("n"), F.max(F.struct("key", "n"))).first()
+    place = F.struct(*[F.col(k) for k in keys], F.xxhash64(*df.columns).alias("_content"))
+    placed = df.withColumn("_place", place)
+    first = placed.select("_place").orderBy("_place").limit(n)
+    per_place = first.groupBy("_place").agg(F.count(F.lit(1)).alias("n"))
+    found, cut = per_place.agg(F.sum("n"), F.max(F.struct("_place", "n"))).first()
     if found is None or found < n:
         return df
-    at_cut = col.isNull() if cut.key is None else col == F.lit(cut.key)
-    upto = col.isNull() if cut.key is None else col.isNull() | (col <= F.lit(cut.key))
-    if df.where(at_cut).count() == cut.n:
-        return df.where(upto)
-    return df.where(upto & ~F.coalesce(at_cut, F.lit(False))).unionByName(df.where(at_cut).limit(cut.n))
+    kinds = placed.schema["_place"].dataType.fields
+    at = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut["_place"], kinds)])
+    same = placed.where(F.col("_place") == at)
+    if same.count() == cut.n:
+        return placed.where(F.col("_place") <= at).drop("_place")
+    # Rows at the cut are alike in every column, so it does not matter which of them are taken.
+    return placed.where(F.col("_place") < at).unionByName(same.limit(cut.n)).drop("_place")
 
 
 def rows_at_max(df: DataFrame, by: str) -> DataFrame:

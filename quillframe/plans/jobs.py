@@ -88,8 +88,8 @@ def lda2(store: VersionStore, settings: TopicSettings | None = None, *, run_id:
     vectors = store.restore(COUNTED, found.run_id).persist()
     try:
         fitted = fit_topics(CountStage(vectors, details["vocabulary"], details["row_maxima"]), settings)
-        path = f"{store.root}/model/run_id={found.run_id}"
-        fitted.model.write().overwrite().save(path)
+        path = store.attempt("model", found.run_id)
+        fitted.model.write().save(path)
         likelihood, perplexity, counted = fitted.bounds(vectors).first()
         return store.archive(
             fitted.distribution(vectors),
@@ -132,8 +132,13 @@ def run_all(
 
 
 def dbclean(spark: SparkSession, store: VersionStore, word: str = "") -> list[str]:
-    """Name the version tables no run knows; drop them when ``word`` is delete."""
-    return sweep_orphans(spark, store.manifest(), dry_run=word.lower() != "delete")
+    """Name the version tables no run knows and the folders of failed attempts; remove them when ``word`` is delete.
+
+    A store without a manifest has no run to compare with, so there only tables are looked at.
+    """
+    dry_run = word.lower() != "delete"
+    tables = sweep_orphans(spark, store.manifest(), dry_run=dry_run)
+    return tables + (store.sweep(dry_run=dry_run) if store.latest_run() else [])
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -144,32 +149,28 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--input", help="delimited text file with a header")
     parser.add_argument("--key", default="publish_date")
     parser.add_argument("--text", default="headline_text")
-    defaults = TopicSettings()
-    parser.add_argument("--vocabulary-size", type=int, default=defaults.vocabulary_size)
-    parser.add_argument("--min-tf", type=float, default=defaults.min_tf)
-    parser.add_argument("--documents", type=int, default=defaults.documents)
-    parser.add_argument("--topics", type=int, default=defaults.topics)
-    parser.add_argument("--iterations", type=int, default=defaults.iterations)
+    parser.add_argument("--schema", help="columns of the input; without it the key is an integer and all else text")
+    parser.add_argument("--run-id", help="the run to go on with, by default the newest; for raw0 the new run's name")
+    # What is not given comes from the run's stored settings, or else from the class.
+    kinds = {"vocabulary_size": int, "min_tf": float, "documents": int, "topics": int, "iterations": int, "terms": int, "optimizer": str, "subsampling": float, "seed": int}
+    for name, kind in kinds.items():
+        parser.add_argument("--" + name.replace("_", "-"), type=kind)
     args = parser.parse_args(argv)
+    given = {name: value for name in kinds if (value := getattr(args, name)) is not None}
     spark = SparkSession.builder.appName(f"quillframe {args.job}").getOrCreate()
     store = VersionStore(spark, args.store)
-    settings = TopicSettings(
-        vocabulary_size=args.vocabulary_size,
-        min_tf=args.min_tf,
-        documents=args.documents,
-        topics=args.topics,
-        iterations=args.iterations,
-    )
     if args.job in ("raw0", "stage0"):
         if not args.input:
             parser.error("raw0 needs --input")
-        print(raw0(store, read_csv(spark, args.input), key=args.key, text=args.text))
+        lines = read_csv(spark, args.input, schema=args.schema) if args.schema else spark.read.csv(args.input, header=True)
+        lines = lines if args.schema else lines.withColumn(args.key, F.col(args.key).cast("bigint"))
+        print(raw0(store, lines, key=args.key, text=args.text, run_id=args.run_id))
     elif args.job in ("cv1", "count-vectors"):
-        print(cv1(store, settings) or "all vectors are empty")
+        print(cv1(store, TopicSettings(**given), run_id=args.run_id) or "all vectors are empty")
     elif args.job == "lda2":
-        newest = store.details(COUNTED)
-        base = TopicSettings(**newest["settings"]) if newest else settings
-        print(lda2(store, replace(base, topics=args.topics, iterations=args.iterations)))
+        newest = store.details(COUNTED, args.run_id)
+        base = TopicSettings(**newest["settings"]) if newest else TopicSettings()
+        print(lda2(store, replace(base, **given), run_id=args.run_id))
     else:
         print("\n".join(dbclean(spark, store, args.word)))
 

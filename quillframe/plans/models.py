@@ -230,20 +230,32 @@ def gbt(
     iterations: int = 20,
     depth: int = 5,
     step: float = 0.1,
+    bins: int = 32,
     seed: int = 42,
 ) -> Fitted:
     """Gradient-boosted trees; ``kind`` is ``regression`` or ``classification``."""
     cls = {"regression": GBTRegressor, "classification": GBTClassifier}[kind]
-    estimator = cls(maxIter=iterations, maxDepth=depth, stepSize=step, seed=seed)
+    estimator = cls(maxIter=iterations, maxDepth=depth, stepSize=step, maxBins=bins, seed=seed)
     return _fit(df, formula, estimator, _trees, classes=kind == "classification")
 
 
 def random_forest(
-    df: DataFrame, formula: str, kind: str = "regression", *, trees: int = 20, depth: int = 5, seed: int = 42
+    df: DataFrame,
+    formula: str,
+    kind: str = "regression",
+    *,
+    trees: int = 20,
+    depth: int = 5,
+    bins: int = 32,
+    bootstrap: bool = True,
+    features: str = "auto",
+    seed: int = 42,
 ) -> Fitted:
-    """Random forest; ``kind`` is ``regression`` or ``classification``."""
+    """Random forest; ``kind`` is ``regression`` or ``classification``, ``features`` how many are tried per split."""
     cls = {"regression": RandomForestRegressor, "classification": RandomForestClassifier}[kind]
-    estimator = cls(numTrees=trees, maxDepth=depth, seed=seed)
+    estimator = cls(
+        numTrees=trees, maxDepth=depth, maxBins=bins, bootstrap=bootstrap, featureSubsetStrategy=features, seed=seed
+    )
     return _fit(df, formula, estimator, _trees, classes=kind == "classification")
 
 
@@ -282,14 +294,15 @@ def isotonic(df: DataFrame, label: str, feature: str, *, increasing: bool = True
 
     Rows with the same feature value are merged into their mean with their
     number as weight. This gives the same fit, and what is sorted and pooled
-    is one row per feature value.
+    is one row per feature value. Spark's pooling ends on the driver, so the
+    feature values of the pooled pieces must fit there.
     """
     merged = df.groupBy(F.col(feature).cast("double").alias("features")).agg(
         F.avg(label).alias("label"), F.count(F.lit(1)).cast("double").alias("weight")
     )
     core = IsotonicRegression(isotonic=increasing, weightCol="weight").fit(merged).setFeaturesCol(feature)
-    at = {repr(float(b)): p for b, p in zip(core.boundaries, core.predictions)}
-    return Fitted(PipelineModel([core]), _table(df, fitted=at))
+    # The boundaries stay in the saved model: there may be one per feature value.
+    return Fitted(PipelineModel([core]), _table(df, statistic={"boundaries": core.boundaries.size}))
 
 
 def survreg(
@@ -373,9 +386,15 @@ def als(
     rank: int = 10,
     iterations: int = 10,
     reg: float = 0.1,
+    user_blocks: int = 10,
+    item_blocks: int = 10,
     seed: int = 42,
 ) -> Fitted:
-    """Alternating least squares. Unknown users and items are predicted as NaN."""
+    """Alternating least squares. Unknown users and items are predicted as NaN.
+
+    The blocks are the tasks of a fit: raise them with the users and items.
+    The frame is read several times: give it as a stored table.
+    """
     estimator = ALS(
         userCol=user,
         itemCol=item,
@@ -383,6 +402,8 @@ def als(
         rank=rank,
         maxIter=iterations,
         regParam=reg,
+        numUserBlocks=user_blocks,
+        numItemBlocks=item_blocks,
         seed=seed,
         coldStartStrategy="nan",
     )
@@ -398,11 +419,12 @@ def lda(
     k: int = 10,
     iterations: int = 20,
     optimizer: str = "online",
+    subsampling: float = 1.0,
     seed: int = 42,
 ) -> Fitted:
     """Topics of vectors of counts that are already features, e.g. of a libsvm
     file. ``predict`` gives the topic distribution of each row."""
-    estimator = LDA(featuresCol=features, k=k, maxIter=iterations, optimizer=optimizer, seed=seed)
+    estimator = LDA(featuresCol=features, k=k, maxIter=iterations, optimizer=optimizer, subsamplingRate=subsampling, seed=seed)
     training = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         core = estimator.fit(training)

@@ -12,16 +12,14 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, DistributedLDAModel, LDAModel, LocalLDAModel
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as words
 from ..functions.arrays import vector_total
 from ..operators.partitions import explode_once
 from ..operators.relational import limit_rows, sum_of_row_maxima
-
-# A vocabulary up to this size is sent to every task, a larger one is joined by shuffle.
-BROADCAST_WORDS = 200_000
+from ..session import stored
 
 
 @dataclass(frozen=True)
@@ -30,12 +28,14 @@ class TopicSettings:
     # At least this often in a document; below 1 it is a share of the document's words.
     min_tf: float = 3.0
     # Documents to use, in key order; not positive means all.
-    documents: int = 10_000
+    documents: int = 0
     topics: int = 5
     iterations: int = 10
     # Terms to list per topic; by default as many as there are topics.
     terms: int | None = None
     optimizer: str = "online"
+    # Share of the documents that an iteration of the online optimizer reads.
+    subsampling: float = 1.0
     seed: int = 42
 
     @property
@@ -70,6 +70,16 @@ def vocabulary(df: DataFrame, size: int, tokens: str = "tokens") -> DataFrame:
     return counts.orderBy(F.desc("n"), "word").limit(size)
 
 
+def stem_vocabulary(df: DataFrame, size: int, tokens: str = "cleanTokens") -> DataFrame:
+    """The ``size`` most frequent stems of unstemmed words.
+
+    Words are counted before they are stemmed, so Python sees each distinct word once.
+    """
+    counts = explode_once(df, tokens, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    stems = counts.groupBy(words.stem_word("word").alias("word")).agg(F.sum("n").alias("n"))
+    return stems.orderBy(F.desc("n"), "word").limit(size)
+
+
 def count_vectorizer(vocab: list[str], min_tf: float) -> CountVectorizerModel:
     model = CountVectorizerModel.from_vocabulary(vocab, inputCol="tokens", outputCol="features")
     return model.setMinTF(min_tf)
@@ -97,22 +107,18 @@ def count_vector_stage(
 ) -> CountStage | None:
     """Vocabulary and count vectors of the first documents by ``key``.
 
-    ``df`` has ``tokens``; they are read twice, so they are kept unless they
-    already come from a stored table (``store_tokens=False``). Returns None
-    when all vectors are empty.
+    ``df`` has ``tokens``; they are read twice, so they are written to the
+    shared folder unless they already come from a stored table
+    (``store_tokens=False``). Returns None when all vectors are empty.
     """
     chosen = limit_rows(df.select(key, "tokens"), settings.documents, key)
     if store_tokens:
-        chosen = chosen.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        vocab = [row.word for row in vocabulary(chosen, settings.vocabulary_size).collect()]
-        if not vocab:
-            return None
-        vectors = count_vectors(chosen, vocab, settings.min_tf).persist(StorageLevel.MEMORY_AND_DISK)
-        total = sum_of_row_maxima(vectors).first()["total"]
-    finally:
-        if store_tokens:
-            chosen.unpersist()
+        chosen = stored(chosen, "tokens")
+    vocab = [row.word for row in vocabulary(chosen, settings.vocabulary_size).collect()]
+    if not vocab:
+        return None
+    vectors = count_vectors(chosen, vocab, settings.min_tf).persist(StorageLevel.MEMORY_AND_DISK)
+    total = sum_of_row_maxima(vectors).first()["total"]
     if total > 0:
         return CountStage(vectors, vocab, total)
     vectors.unpersist()
@@ -154,19 +160,19 @@ class TopicModel:
         return rows.join(self._words(rows), "term").select("topic", "rank", "term", "word", "score")
 
     def _words(self, rows: DataFrame) -> DataFrame:
-        table = rows.sparkSession.createDataFrame(list(enumerate(self.vocabulary)), "term int, word string")
-        return F.broadcast(table) if len(self.vocabulary) <= BROADCAST_WORDS else table
+        return rows.sparkSession.createDataFrame(list(enumerate(self.vocabulary)), "term int, word string")
 
     def matrix(self) -> DataFrame:
-        """Every (topic, term, word, weight), as large as the model itself."""
-        weights = self.model.topicsMatrix().toArray()
-        rows = [
-            (topic, term, word, float(weights[term, topic]))
-            for term, word in enumerate(self.vocabulary)
-            for topic in range(weights.shape[1])
-        ]
-        spark = SparkSession.getActiveSession()
-        return spark.createDataFrame(rows, "topic int, term int, word string, weight double")
+        """Every (topic, term, word, weight); the weights of a topic add up to one.
+
+        One row per topic comes from the model and is exploded by the tasks.
+        """
+        size = len(self.vocabulary)
+        weights = F.map_from_arrays("termIndices", "termWeights")
+        rows = self.terms(size).select("topic", weights.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("term"))
+        # Terms that a topic does not list weigh nothing in it.
+        rows = rows.select("topic", "term", F.coalesce(F.try_element_at("w", F.col("term")), F.lit(0.0)).alias("weight"))
+        return rows.join(self._words(rows), "term").select("topic", "term", "word", "weight")
 
     def distribution(self, vectors: DataFrame) -> DataFrame:
         """Add ``topicDistribution``; it is all zero for an empty vector."""
@@ -179,6 +185,7 @@ def fit_topics(stage: CountStage, settings: TopicSettings) -> TopicModel:
         maxIter=settings.iterations,
         seed=settings.seed,
         optimizer=settings.optimizer,
+        subsamplingRate=settings.subsampling,
         featuresCol="features",
     )
     return TopicModel(lda.fit(stage.vectors), stage.vocabulary, settings)

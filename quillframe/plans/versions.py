@@ -1,13 +1,16 @@
 """Stored stage tables with one version per run, and clean-up of old tables.
 
-Every run writes its own folder and then one manifest row. A version exists
-only once its manifest row does, so a failed write is never the current one.
+Every attempt writes a folder of its own and then one manifest row that names
+it. A version exists only once its manifest row does, so a failed write is never
+the current one, and no write touches the files of a version that exists.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import re
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +34,39 @@ class VersionStore:
                 raise
             return self.spark.createDataFrame([], MANIFEST)
 
+    def attempt(self, stage: str, run_id: str) -> str:
+        """A folder for one attempt to write a version."""
+        return f"{self.root}/{stage}/run_id={run_id}/{uuid.uuid4().hex}"
+
+    def leftovers(self) -> list[str]:
+        """Folders of attempts that no manifest row names; refused without a manifest."""
+        rows = self.manifest().select("path", "details").collect()
+        if not rows:
+            raise LookupError(f"{self.root} has no manifest, so nothing tells what is left over")
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        files = root.getFileSystem(conf)
+        known = {r.path for r in rows} | {json.loads(r.details).get("model") for r in rows}
+        known = {files.makeQualified(jvm.org.apache.hadoop.fs.Path(p)).toString() for p in known if p}
+        there = files.globStatus(jvm.org.apache.hadoop.fs.Path(root, "*/run_id=*/*")) or []
+        found = [s.getPath() for s in there if s.isDirectory() and re.fullmatch("[0-9a-f]{32}", s.getPath().getName())]
+        return sorted(p.toString() for p in found if p.toString() not in known)
+
+    def sweep(self, *, dry_run: bool = True) -> list[str]:
+        """Name the leftover folders; without ``dry_run`` remove them."""
+        found = self.leftovers()
+        if not dry_run:
+            jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+            for name in found:
+                path = jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(conf).delete(path, True)
+        return found
+
     def archive(self, df: DataFrame, stage: str, run_id: str | None = None, **details) -> str:
         """Write a frame as the version ``run_id`` of a stage and return the run id."""
         run_id = run_id or new_tag()
-        path = f"{self.root}/{stage}/run_id={run_id}"
-        df.write.mode("overwrite").parquet(path)
+        path = self.attempt(stage, run_id)
+        df.write.mode("errorifexists").parquet(path)
         row = (
             run_id,
             stage,

@@ -14,17 +14,17 @@ def fit_word_vectors(
     size: int = 100,
     min_count: int = 5,
     iterations: int = 1,
-    partitions: int | None = None,
+    partitions: int = 8,
     seed: int = 42,
 ) -> Word2VecModel:
     """Skip-gram vectors of all words that occur at least ``min_count`` times.
 
-    Training runs in ``partitions`` tasks, by default one per available core.
-    Each task trains its own copy of the vectors and the copies are averaged,
-    so many tasks on little text need more ``iterations``. Spark keeps the vectors of the whole vocabulary in memory and refuses
+    Training runs in ``partitions`` tasks, the same on every cluster, so that
+    the vectors do not depend on its size. Each task trains its own copy of the
+    vectors and the copies are averaged, so many tasks need more ``iterations``.
+    The frame is read once per pass: give it as a stored table. Spark keeps the vectors of the whole vocabulary in memory and refuses
     sizes that cannot fit: raise ``min_count`` for very large corpora.
     """
-    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
     return Word2Vec(
         vectorSize=size,
         minCount=min_count,

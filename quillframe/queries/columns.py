@@ -9,7 +9,7 @@ from ..functions.tags import suffix_after_first
 from ..functions.text import tokenize
 from ..operators.udf import apply_partitions, apply_rows
 from ..plans.topics import count_vectors, vocabulary
-from ..session import fresh_path, kept
+from ..session import fresh_path, stored
 from .registry import query, table
 from .text import WORDS_SQL, documents, words_of
 
@@ -45,11 +45,11 @@ def add_drop_column(spark, sf):
 )
 def nested_field(spark, sf):
     path = fresh_path(spark, "nested")
-    with kept(words_of(spark, sf)) as words:
-        vocab = [r.word for r in vocabulary(words, 500).collect()]
-        count_vectors(words, vocab, 3.0).select("doc_id", "features").write.parquet(path)
-    stored = spark.read.schema(f"doc_id bigint, features {VECTOR_PARTS}").parquet(path)
-    return stored.select(
+    words = stored(words_of(spark, sf), "words")
+    vocab = [r.word for r in vocabulary(words, 500).collect()]
+    count_vectors(words, vocab, 3.0).select("doc_id", "features").write.parquet(path)
+    parts = spark.read.schema(f"doc_id bigint, features {VECTOR_PARTS}").parquet(path)
+    return parts.select(
         "doc_id",
         F.size(F.col("features.indices")).alias("n_entries"),
         array_total(F.col("features.values")).alias("total"),
@@ -187,5 +187,5 @@ def partition_udf(spark, sf):
 
 @query("row_udf", "SELECT doc_id, CAST(length(source) + length(lang) AS BIGINT) AS n FROM documents")
 def row_udf(spark, sf):
-    lengths = apply_rows(lambda a, b: len(a) + len(b), "bigint")
+    lengths = apply_rows(lambda a, b: a.str.len() + b.str.len(), "bigint")
     return table(spark, sf, "documents").select("doc_id", lengths("source", "lang").alias("n"))

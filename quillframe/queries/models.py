@@ -15,7 +15,7 @@ from ..functions.arrays import array_total
 from ..operators.partitions import spread
 from ..operators.udf import config_sweep
 from ..plans import models
-from ..session import fresh_path
+from ..session import fresh_path, stored
 from .registry import query, table
 
 
@@ -176,7 +176,7 @@ def logit_multinomial(spark, sf):
 @query(
     "gbt_classify",
     """
-    SELECT CAST(quality AS VARCHAR) AS quality, count(*) AS n, count(*) AS n_scored
+    SELECT CAST(quality AS VARCHAR) AS quality, count(*) AS n, count(*) AS n_scored, max(count(*)) OVER () AS largest, TRUE AS as_good
     FROM labels JOIN documents USING (doc_id) GROUP BY quality
     """,
 )
@@ -184,9 +184,13 @@ def gbt_classify(spark, sf):
     rows = _labelled(spark, sf)
     scored = models.gbt(rows, "quality ~ n_chars + lang", "classification", iterations=5, depth=3).predict(rows)
     good = F.col("predicted_label").isin("0", "1") & vector_to_array("probability")[0].between(0, 1)
-    return scored.groupBy(F.col("quality").cast("string").alias("quality")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(good).alias("n_scored")
+    label = F.col("quality").cast("string")
+    found = scored.groupBy(label.alias("quality")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(good).alias("n_scored"), F.count_if(F.col("predicted_label") == label).alias("right")
     )
+    found = stored(found, "classes")
+    largest, total = found.agg(F.max("n"), F.sum("right")).first()
+    return found.select("quality", "n", "n_scored", F.lit(largest).alias("largest"), F.lit(total >= largest).alias("as_good"))
 
 
 @query("gbt_regress", "SELECT count(*) AS n, printf('%.5e', avg(l_extendedprice)) AS mean_prediction FROM lineitem")
@@ -199,14 +203,47 @@ def gbt_regress(spark, sf):
 
 @query(
     "forest_classify",
-    "SELECT count(*) AS n, count(*)::DOUBLE AS total, CAST(count(DISTINCT label) AS INTEGER) AS n_classes FROM embeddings",
+    """SELECT count(*) AS n, count(*)::DOUBLE AS total, CAST(count(DISTINCT label) AS INTEGER) AS n_classes,
+       (SELECT max(n) FROM (SELECT count(*) AS n FROM embeddings GROUP BY label)) AS largest, TRUE AS as_good FROM embeddings""",
 )
 def forest_classify(spark, sf):
     rows = _embeddings(spark, sf).withColumnRenamed("label", "digit")
     scored = models.random_forest(rows, "digit ~ embedding", "classification", trees=10).predict(rows)
     p = vector_to_array("probability")
     total = F.sum(F.aggregate(p, F.lit(0.0), lambda a, x: a + x))
-    return scored.agg(F.count(F.lit(1)).alias("n"), F.round(total, 4).alias("total"), F.max(F.size(p)).alias("n_classes"))
+    largest = rows.groupBy("digit").count().agg(F.max("count")).first()[0]
+    right = F.count_if(F.col("predicted_label") == F.col("digit").cast("string"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.round(total, 4).alias("total"), F.max(F.size(p)).alias("n_classes"),
+        F.lit(largest).cast("bigint").alias("largest"), (right >= largest).alias("as_good"),
+    )
+
+
+_STUMP_SQL = """
+WITH v AS (SELECT l_quantity AS q, count(*) AS n, sum(l_extendedprice) AS s FROM lineitem GROUP BY l_quantity
+), c AS (SELECT q, sum(n) OVER (ORDER BY q) AS nl, sum(s) OVER (ORDER BY q) AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s FROM v
+), best AS (SELECT * FROM c WHERE nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1)
+SELECT printf('%.5e', sl / nl) AS leaf, CAST(nl AS BIGINT) AS n FROM best
+UNION ALL SELECT printf('%.5e', (s - sl) / (n - nl)), CAST(n - nl AS BIGINT) FROM best
+"""
+
+
+def _leaves(scored):
+    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).select(_digits(F.col("prediction")).alias("leaf"), "n")
+
+
+@query("gbt_stump", _STUMP_SQL)
+def gbt_stump(spark, sf):
+    # One tree of one split: its leaves are the split with the least sum of squares.
+    lines = _lines(spark, sf)
+    return _leaves(models.gbt(lines, "l_extendedprice ~ l_quantity", iterations=1, depth=1, bins=256).predict(lines))
+
+
+@query("forest_stump", _STUMP_SQL)
+def forest_stump(spark, sf):
+    lines = _lines(spark, sf)
+    fitted = models.random_forest(lines, "l_extendedprice ~ l_quantity", trees=1, depth=1, bins=256, bootstrap=False, features="all")
+    return _leaves(fitted.predict(lines))
 
 
 @query("forest_regress", "SELECT count(*) AS n, count(*) AS n_inside FROM lineitem")
@@ -221,7 +258,8 @@ def forest_regress(spark, sf):
 
 @query(
     "mlp_classify",
-    "SELECT count(*) AS n, count(*)::DOUBLE AS total, CAST(count(DISTINCT label) AS INTEGER) AS n_classes FROM embeddings",
+    """SELECT count(*) AS n, count(*)::DOUBLE AS total, CAST(count(DISTINCT label) AS INTEGER) AS n_classes,
+       (SELECT max(n) FROM (SELECT count(*) AS n FROM embeddings GROUP BY label)) AS largest, TRUE AS as_good FROM embeddings""",
 )
 def mlp_classify(spark, sf):
     rows = _embeddings(spark, sf).withColumnRenamed("label", "digit")
@@ -229,7 +267,12 @@ def mlp_classify(spark, sf):
     scored = models.mlp(rows, "digit ~ embedding", [64, 16, classes], iterations=30).predict(rows)
     p = vector_to_array("probability")
     total = F.sum(F.aggregate(p, F.lit(0.0), lambda a, x: a + x))
-    return scored.agg(F.count(F.lit(1)).alias("n"), F.round(total, 4).alias("total"), F.max(F.size(p)).alias("n_classes"))
+    largest = rows.groupBy("digit").count().agg(F.max("count")).first()[0]
+    right = F.count_if(F.col("predicted_label") == F.col("digit").cast("string"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.round(total, 4).alias("total"), F.max(F.size(p)).alias("n_classes"),
+        F.lit(largest).cast("bigint").alias("largest"), (right >= largest).alias("as_good"),
+    )
 
 
 @query(
@@ -379,16 +422,31 @@ def gaussian_mixture(spark, sf):
     WITH ratings AS (
         SELECT o_custkey, l_partkey, sum(l_quantity) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL
     )
-    SELECT count(*) AS n, count(*) AS n_scored, count(DISTINCT o_custkey) AS users, count(DISTINCT l_partkey) AS items FROM ratings
+    SELECT count(*) AS n, count(*) AS n_scored, count(DISTINCT o_custkey) AS users, count(DISTINCT l_partkey) AS items,
+           count(DISTINCT o_custkey) AS n_solved FROM ratings
     """,
 )
 def als(spark, sf):
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     bought = table(spark, sf, "lineitem").join(orders, "l_orderkey").groupBy("o_custkey", "l_partkey")
-    ratings = bought.agg(F.sum("l_quantity").alias("quantity"))
+    ratings = stored(bought.agg(F.sum("l_quantity").alias("quantity")), "ratings")
     fitted = models.als(ratings, "o_custkey", "l_partkey", "quantity", rank=5, iterations=3, reg=0.01)
     sizes = fitted.measures("statistic")
+    # The users' vectors are solved last: for each, the errors times the items' vectors add up to the penalty.
+    core = fitted.model.stages[-1]
+    users = core.userFactors.select(F.col("id").alias("o_custkey"), F.col("features").alias("u"))
+    items = core.itemFactors.select(F.col("id").alias("l_partkey"), F.col("features").alias("v"))
+    both = ratings.join(users, "o_custkey").join(items, "l_partkey")
+    dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda t, x: t + x)
+    terms = both.select("o_custkey", "u", "quantity", (F.col("quantity") - dot).alias("error"), F.posexplode("v").alias("at", "x"))
+    pull = terms.groupBy("o_custkey", "at").agg(
+        F.sum(F.col("error") * F.col("x")).alias("pull"), F.sum(F.abs(F.col("quantity") * F.col("x"))).alias("size"),
+        F.count(F.lit(1)).alias("n"), F.max(F.element_at("u", F.col("at") + 1)).alias("own"),
+    )
+    gap = F.abs(F.col("pull") - 0.01 * F.col("n") * F.col("own")) / (F.col("size") + 0.01 * F.col("n") * F.abs("own") + 1e-9)
+    solved = pull.groupBy("o_custkey").agg(F.max(gap).alias("gap")).where("gap < 1e-3").count()
     return fitted.predict(ratings).agg(
+        F.lit(solved).cast("bigint").alias("n_solved"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(~F.isnan("prediction")).alias("n_scored"),
         F.lit(int(sizes["users"])).cast("bigint").alias("users"),
@@ -420,22 +478,31 @@ def ks_test(spark, sf):
     "config_sweep",
     _SQUARES_SQL
     + """
-    SELECT CAST(k AS INTEGER) AS k, start, CAST(seed AS INTEGER) AS seed, (SELECT sum(squares) FROM means) > 0 AS below
+    SELECT CAST(k AS INTEGER) AS k, start, CAST(seed AS INTEGER) AS seed, (SELECT sum(squares) FROM means) > 0 AS below, TRUE AS no_worse
     FROM (SELECT unnest([2, 3, 5]) AS k), (SELECT unnest(['random', 'k-means||']) AS start), (SELECT unnest([1, 2]) AS seed)
     """,
 )
 def config_sweep_query(spark, sf):
     points = _embeddings(spark, sf)
     configs = [{"k": k, "initMode": m, "seed": s} for k in (2, 3, 5) for m in ("random", "k-means||") for s in (1, 2)]
+    costs = []
+
+    def cost(model):
+        """Squared distances to the nearest centre; a last step of the fit cannot have made them larger."""
+        values = vector_to_array("embedding")
+        squares = [
+            F.aggregate(F.zip_with(values, F.lit(c.tolist()), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, x: t + x)
+            for c in model.clusterCenters()
+        ]
+        found = points.agg(F.sum(F.least(*squares))).first()[0]
+        costs.append(found <= model.summary.trainingCost * (1 + 1e-6))
+        return found
+
     found = config_sweep(
-        points,
-        KMeans(featuresCol="embedding", maxIter=10),
-        configs,
-        lambda m: m.summary.trainingCost,
-        "k int, start string, seed int",
+        points, KMeans(featuresCol="embedding", maxIter=10), configs, cost, "k int, start string, seed int", {"initMode": "start"}
     )
     spread = points.select(F.posexplode_outer(vector_to_array("embedding")).alias("i", "x")).groupBy("i").agg(
         (F.sum(F.col("x") * F.col("x")) - F.count("x") * F.avg("x") * F.avg("x")).alias("squares")
     )
     whole = spread.agg(F.sum("squares")).first()[0]
-    return found.select("k", "start", "seed", (F.col("measure") < whole).alias("below"))
+    return found.select("k", "start", "seed", (F.col("measure") < whole).alias("below"), F.lit(all(costs)).alias("no_worse"))

@@ -109,13 +109,15 @@ def regex_grep_count(spark, sf):
     "limit_or_all",
     """
     SELECT 'first' AS part, doc_id, n_chars FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 100)
+    UNION ALL SELECT 'tied', doc_id, n_chars FROM (SELECT * FROM documents ORDER BY lang, source, doc_id LIMIT 37)
     UNION ALL SELECT 'all', doc_id, n_chars FROM documents
     """,
 )
 def limit_or_all(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "n_chars")
-    first = ops.limit_rows(documents, 100, "doc_id").withColumn("part", F.lit("first"))
-    return first.unionByName(ops.limit_rows(documents, 0, "doc_id").withColumn("part", F.lit("all")))
+    documents = table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source")
+    parts = {"first": (100, "doc_id"), "tied": (37, "lang", "source", "doc_id"), "all": (0, "doc_id")}
+    found = [ops.limit_rows(documents, n, *keys).select(F.lit(part).alias("part"), "doc_id", "n_chars") for part, (n, *keys) in parts.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query("rows_at_max", "SELECT event_id, value FROM events WHERE value = (SELECT max(value) FROM events)")

@@ -9,7 +9,7 @@ from ..functions.arrays import array_total, to_array_column, to_vector_column
 from ..functions.tags import is_tag, make_tag, name_tag, parse_tag
 from ..plans.versions import VersionStore, catalog_names, latest_versions, orphan_tables, sweep_orphans
 from ..session import fresh_name, fresh_path
-from ..sinks.files import write_parquet, write_text_single
+from ..sinks.files import write_parquet, write_text
 from ..sinks.tables import create_empty_table, create_table_as, load_into_table, register_view, scan_table
 from ..operators.relational import group_count, rename
 from .registry import query, table
@@ -106,19 +106,14 @@ def write_parquet_round_trip(spark, sf):
 
 
 @query(
-    "write_text_single",
-    """
-    SELECT concat_ws(',', user_id, count(*)) AS value, 1::BIGINT AS files
-    FROM events GROUP BY user_id
-    """,
+    "write_text",
+    "SELECT concat_ws(',', user_id, count(*)) AS value FROM events GROUP BY user_id",
 )
-def write_text_single_query(spark, sf):
-    path = fresh_path(spark, "single")
+def write_text_query(spark, sf):
+    path = fresh_path(spark, "text")
     counts = group_count(table(spark, sf, "events"), "user_id")
-    write_text_single(counts.select(F.concat_ws(",", "user_id", "count").alias("value")), path)
-    lines = spark.read.text(path)
-    files = lines.select(F.input_file_name()).distinct().count()
-    return lines.withColumn("files", F.lit(files).cast("bigint"))
+    write_text(counts.select(F.concat_ws(",", "user_id", "count").alias("value")), path)
+    return spark.read.text(path)
 
 
 @query("load_into_table", "SELECT p_partkey AS key, p_name AS value FROM part")

@@ -9,8 +9,8 @@ from ..functions import text as words
 from ..functions.stopwords import STOP_WORDS
 from ..operators.partitions import explode_once, spread
 from ..operators.relational import sum_of_row_maxima
-from ..plans.topics import TopicSettings, annotate, count_vector_stage, count_vectors, vocabulary
-from ..session import kept, stored
+from ..plans.topics import TopicSettings, annotate, count_vector_stage, count_vectors, stem_vocabulary, vocabulary
+from ..session import stored
 from .registry import query, table
 
 _STOP_LIST = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
@@ -198,23 +198,23 @@ def words_of(spark, sf):
 
 @query("vocabulary", WORDS_SQL + "SELECT stem AS word, n FROM vocab")
 def vocabulary_query(spark, sf):
-    return vocabulary(words_of(spark, sf), 500)
+    return stem_vocabulary(annotate(documents(spark, sf), "text", stems=False), 500)
 
 
 @query("count_vectors", WORDS_SQL + "SELECT doc_id, index, stem AS word, value FROM vectors JOIN vocab USING (index)")
 def count_vectors_query(spark, sf):
-    with kept(words_of(spark, sf)) as tokens:
-        vocab = [r.word for r in vocabulary(tokens, 500).collect()]
-        listed = F.broadcast(spark.createDataFrame(list(enumerate(vocab)), "index int, word string"))
-        entry = explode_once(count_vectors(tokens, vocab, 3.0), entries("features"), "e", "doc_id")
-        return stored(entry.select("doc_id", "e.index", "e.value").join(listed, "index"), "entries")
+    tokens = stored(words_of(spark, sf), "words")
+    vocab = [r.word for r in vocabulary(tokens, 500).collect()]
+    listed = F.broadcast(spark.createDataFrame(list(enumerate(vocab)), "index int, word string"))
+    entry = explode_once(count_vectors(tokens, vocab, 3.0), entries("features"), "e", "doc_id")
+    return entry.select("doc_id", "e.index", "e.value").join(listed, "index")
 
 
 @query("sum_row_max", WORDS_SQL + "SELECT sum(top) AS total FROM (SELECT max(value) AS top FROM vectors GROUP BY doc_id)")
 def sum_row_max(spark, sf):
-    with kept(words_of(spark, sf)) as tokens:
-        vocab = [r.word for r in vocabulary(tokens, 500).collect()]
-        return stored(sum_of_row_maxima(count_vectors(tokens, vocab, 3.0)), "maxima")
+    tokens = stored(words_of(spark, sf), "words")
+    vocab = [r.word for r in vocabulary(tokens, 500).collect()]
+    return sum_of_row_maxima(count_vectors(tokens, vocab, 3.0))
 
 
 @query(
@@ -227,7 +227,7 @@ def sum_row_max(spark, sf):
     """,
 )
 def count_vector_stage_query(spark, sf):
-    stage = count_vector_stage(words_of(spark, sf), TopicSettings(documents=0), "doc_id")
+    stage = count_vector_stage(words_of(spark, sf), TopicSettings(), "doc_id")
     if stage is None:
         return spark.createDataFrame([], "doc_id bigint, n_entries int, top double")
     found = stage.vectors.select("doc_id", entries("features").alias("e"))

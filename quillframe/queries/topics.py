@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+from pyspark.ml.clustering import LDA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.arrays import vector_total
 from ..functions.text import tokenize
 from ..operators.partitions import explode_once, spread
+from ..operators.udf import config_sweep
 from ..plans import jobs
 from ..plans.topics import TopicSettings, count_vector_stage, fit_topics
 from ..plans.versions import VersionStore
@@ -22,7 +24,7 @@ from ..session import fresh_path, stored
 from .registry import query, table
 from .text import WORDS_SQL, words_of
 
-SETTINGS = TopicSettings(documents=0)
+SETTINGS = TopicSettings()
 
 
 @contextmanager
@@ -112,14 +114,15 @@ def topic_distribution(spark, sf):
     """,
 )
 def topics_matrix(spark, sf):
-    # The listed term scores are the matrix weights divided by their topic's sum.
+    # The weights are the fitted matrix divided by its topic's sum; here the matrix is read beside them.
     with _topics(spark, sf) as (stage, model):
-        matrix, listed = model.matrix(), model.words(len(stage.vocabulary))
-        sums = matrix.groupBy("topic").agg(F.sum("weight").alias("whole"))
-        both = matrix.join(sums, "topic").join(listed, ["topic", "term", "word"])
-        agree = F.abs(F.col("weight") / F.col("whole") - F.col("score")) < 1e-9
+        fitted = model.model.topicsMatrix().toArray()
+        shares = (fitted / fitted.sum(axis=0)).T.tolist()
+        rows = spark.createDataFrame(list(enumerate(shares)), "topic int, shares array<double>")
+        both = model.matrix().join(rows, "topic")
+        agree = F.abs(F.col("weight") - F.element_at("shares", F.col("term") + 1)) < 1e-9
         return both.groupBy("topic").agg(
-            F.count(F.lit(1)).alias("n_words"), F.count_if(agree).alias("n_agree"), F.round(F.sum("score"), 6).alias("share")
+            F.count(F.lit(1)).alias("n_words"), F.count_if(agree).alias("n_agree"), F.round(F.sum("weight"), 6).alias("share")
         )
 
 
@@ -136,8 +139,29 @@ def staged_topic_run(spark, sf):
     return jobs.run_all(store, table(spark, sf, "documents"), SETTINGS, key="doc_id", text="text")
 
 
+@query(
+    "topic_sweep",
+    WORDS_SQL
+    + """
+    SELECT CAST(k AS INTEGER) AS k, sum(value) FILTER (WHERE doc_id % 5 <> 0) AS fitted_words,
+           sum(value) FILTER (WHERE doc_id % 5 = 0) AS held_out_words, TRUE AS positive
+    FROM vectors, (SELECT unnest([2, 5, 10]) AS k) GROUP BY k
+    """,
+)
+def topic_sweep(spark, sf):
+    # Perplexity of a fifth of the documents under models of the others.
+    stage = count_vector_stage(words_of(spark, sf), SETTINGS, "doc_id")
+    held_out, fitted = stage.vectors.where("doc_id % 5 = 0"), stage.vectors.where("doc_id % 5 <> 0")
+    words = [df.agg(F.sum(vector_total("features"))).first()[0] for df in (fitted, held_out)]
+    estimator = LDA(maxIter=SETTINGS.iterations, seed=SETTINGS.seed, subsamplingRate=1.0)
+    found = config_sweep(fitted, estimator, [{"k": k} for k in (2, 5, 10)], lambda m: m.logPerplexity(held_out), "k int")
+    stage.release()
+    return found.select("k", F.lit(words[0]).alias("fitted_words"), F.lit(words[1]).alias("held_out_words"), (F.col("measure") > 0).alias("positive"))
+
+
 def _plain_words(spark, sf):
-    return spread(table(spark, sf, "documents").select("text")).select(tokenize("text").alias("tokens"))
+    words = spread(table(spark, sf, "documents").select("text")).select(tokenize("text").alias("tokens"))
+    return stored(words, "plain-words")
 
 
 _FREQUENT_SQL = r"""

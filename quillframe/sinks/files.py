@@ -6,26 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ..session import stored
-
-# A single output file is one task's work, so it is made only up to this many lines.
-SINGLE_FILE_LINES = 10_000_000
-
 
 def write_parquet(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
     """Replace what is at ``path`` with the chosen columns."""
     (df.select(*columns) if columns else df).write.mode("overwrite").parquet(path)
 
 
-def write_text_single(df: DataFrame, path: str, max_lines: int = SINGLE_FILE_LINES) -> int:
-    """Write a one-column frame as one text file, replacing an old one.
+def write_text(df: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Replace what is at ``path`` with a one-column frame as text, written in parallel.
 
-    The lines are first written in parallel as Parquet, whose footers give
-    their number. Up to ``max_lines`` they are then put into one file; above
-    it the output keeps its many part files, with every line in it. Returns
-    the number of lines.
+    ``partitions=1`` asks for a single file, which is then one task's work.
     """
-    staged = stored(df, "parts")
-    lines = staged.count()
-    (staged.coalesce(1) if lines <= max_lines else staged).write.mode("overwrite").text(path)
-    return lines
+    (df if partitions is None else df.repartition(partitions)).write.mode("overwrite").text(path)

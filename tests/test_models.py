@@ -82,9 +82,9 @@ def test_isotonic_pools(spark):
 
 
 def test_survreg(spark):
-    df = spark.createDataFrame([(float(t), float(s), float(r)) for t, s, r in [(59, 1, 1), (115, 1, 1), (156, 1, 1), (421, 0, 2), (431, 1, 1), (448, 0, 1), (464, 1, 2), (475, 1, 2), (477, 0, 1), (563, 1, 2)]], "futime double, fustat double, rx double")
-    fitted = models.survreg(df, "futime", "fustat", "rx")
-    assert set(fitted.measures("estimate")) == {"rx", "(Intercept)"} and fitted.measures("statistic")["scale"] > 0
+    df = spark.createDataFrame([(float(t), float(s), float(r)) for t, s, r in [(40 + 37 * i + (i * i) % 11, i % 4 != 3, 1 + i % 2) for i in range(12)]], "days double, seen double, dose double")
+    fitted = models.survreg(df, "days", "seen", "dose")
+    assert set(fitted.measures("estimate")) == {"dose", "(Intercept)"} and fitted.measures("statistic")["scale"] > 0
 
 
 def test_clusters(spark):
@@ -105,10 +105,10 @@ def test_mixture(spark):
 
 
 def test_als_and_unknown_user(spark):
-    data = [(0, 0, 4.0), (0, 1, 2.0), (1, 1, 3.0), (1, 2, 4.0), (2, 1, 1.0), (2, 2, 5.0)]
-    df = spark.createDataFrame(data, "userId int, movieId int, rating double")
-    fitted = models.als(df, "userId", "movieId", "rating", iterations=5, reg=0.01)
-    assert all(abs(r.prediction - r.rating) < 0.5 for r in fitted.predict(df).collect())
+    data = [(u, i, float(1 + (u + 1) * (i + 2) % 5)) for u in range(4) for i in range(u % 2, 5, 2)]
+    df = spark.createDataFrame(data, "buyer int, part int, grade double")
+    fitted = models.als(df, "buyer", "part", "grade", iterations=10, reg=0.01)
+    assert all(abs(r.prediction - r.grade) < 0.5 for r in fitted.predict(df).collect())
     new = spark.createDataFrame([(9, 0, 1.0)], df.schema)
     assert math.isnan(fitted.predict(new).first().prediction)
 
@@ -121,6 +121,7 @@ def test_lda_on_vectors(spark):
 
 
 def test_ks(spark):
+    # A published sample whose statistic is known.
     df = spark.createDataFrame([(x,) for x in (0.1, 0.15, 0.2, 0.3, 0.25, -1.0, -0.5)], "test double")
     found = models.ks_test(df, "test").first()
     assert found.statistic == pytest.approx(0.38209, abs=1e-5) and found.p_value == pytest.approx(0.19849, abs=1e-5)
@@ -133,3 +134,9 @@ def test_sweep(spark):
     found = config_sweep(df, KMeans(), [{"k": 2, "seed": 1}, {"k": 4, "seed": 1}], lambda m: m.summary.trainingCost, "k int, seed int")
     by_k = {r.k: r.measure for r in found.collect()}
     assert by_k[4] < by_k[2]
+    # Values go by their names, whatever the order of a configuration.
+    turned = config_sweep(df, KMeans(), [{"seed": 9, "k": 3}], lambda m: m.summary.trainingCost, "k int, seed int").first()
+    assert (turned.k, turned.seed) == (3, 9)
+    for wrong in ({"k": 3}, {"k": 3, "seed": 1, "maxIter": 2}):
+        with pytest.raises(ValueError):
+            config_sweep(df, KMeans(), [wrong], lambda m: 0.0, "k int, seed int")

@@ -52,6 +52,12 @@ def test_limit_is_exact_with_ties_and_nulls(spark, n):
     assert got == (want if n <= 0 else want[:n])
 
 
+def test_limit_does_not_depend_on_partitions(spark):
+    df = spark.range(40).selectExpr("id % 3 AS k", "id", "concat('t', id) AS text")
+    picks = [sorted(r.id for r in ops.limit_rows(df.repartition(n), 5, "k").collect()) for n in (3, 8)]
+    assert picks[0] == picks[1] and len(picks[0]) == 5
+
+
 def test_limit_on_only_nulls_and_no_rows(spark):
     nulls = spark.createDataFrame([(None,)] * 4, "k string")
     assert ops.limit_rows(nulls, 3, "k").count() == 3

@@ -105,3 +105,19 @@ def test_tag_time_does_not_depend_on_the_zone(spark):
         assert df.select(F.unix_timestamp(tags.parse_tag("tag"))).first()[0] == 1678588200
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_sparse_vectors_stay_sparse(spark):
+    from pyspark.ml.linalg import Vectors
+    from pyspark.sql import functions as F
+
+    from quillframe.functions.arrays import entries, row_maximum, to_parts_column, vector_total
+
+    vectors = [Vectors.sparse(5, [1, 3], [2.0, -1.0]), Vectors.dense([0.0, 4.0, 0.0]), Vectors.sparse(3, [], []), Vectors.sparse(2, [0, 1], [-3.0, -2.0]), Vectors.sparse(2, [0], [-3.0]), Vectors.dense([])]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], ["i", "v"])
+    rows = df.select("i", row_maximum("v").alias("top"), vector_total("v").alias("total"), entries("v").alias("e")).orderBy("i").collect()
+    assert [r.top for r in rows] == [2.0, 4.0, 0.0, -2.0, 0.0, None]
+    assert [r.total for r in rows] == [1.0, 4.0, 0.0, -5.0, -3.0, 0.0]
+    assert [[tuple(p) for p in r.e] for r in rows] == [[(1, 2.0), (3, -1.0)], [(1, 4.0)], [], [(0, -3.0), (1, -2.0)], [(0, -3.0)], []]
+    parts = to_parts_column(df, "v", "p").orderBy("i").select(F.col("p.size"), F.col("p.indices"), F.col("p.values")).collect()
+    assert [tuple(p) for p in parts[:2]] == [(5, [1, 3], [2.0, -1.0]), (3, [1], [4.0])]

@@ -165,6 +165,23 @@ def test_staged_run_without_hits(spark, tmp_path):
     assert store.entry("stage1") is None
 
 
+def test_all_documents_by_default(spark):
+    df = spark.range(10_500).selectExpr("id", "array('cat', 'cat', 'cat', 'dog') AS tokens")
+    stage = count_vector_stage(df, TopicSettings(), "id")
+    assert stage.vectors.count() == 10_500
+    stage.release()
+
+
+def test_words_are_counted_before_they_are_stemmed(spark):
+    from quillframe.plans.topics import stem_vocabulary, vocabulary
+
+    df = spark.createDataFrame([("cats running cat run",), ("dogs runs cat",)], "text string")
+    once = stem_vocabulary(annotate(df, "text", stems=False), 3)
+    assert once.collect() == vocabulary(annotate(df, "text"), 3).collect()
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in plan[plan.index("Generate") :]
+
+
 def test_job_line(spark, tmp_path, capsys):
     (tmp_path / "in.csv").write_text("publish_date,headline_text\n" + "\n".join(f"{d},{t}" for d, t in HEADLINES))
     base = ["--store", f"{tmp_path}/store"]
@@ -174,6 +191,14 @@ def test_job_line(spark, tmp_path, capsys):
     jobs.main(["dbclean", *base])
     store = VersionStore(spark, f"{tmp_path}/store")
     assert store.entry("transformed").row_count == 3
+    # What is not given is kept from the run; a named run is gone on with.
+    run = "20230101T000000Z"
+    jobs.main(["raw0", *base, "--input", f"{tmp_path}/in.csv", "--schema", "publish_date INT, headline_text STRING", "--run-id", run])
+    jobs.main(["raw0", *base, "--input", f"{tmp_path}/in.csv"])
+    jobs.main(["cv1", *base, "--run-id", run, "--topics", "2", "--iterations", "3", "--seed", "9"])
+    jobs.main(["lda2", *base, "--run-id", run, "--terms", "4"])
+    settings = store.details("transformed", run)["settings"]
+    assert (settings["topics"], settings["iterations"], settings["seed"], settings["terms"]) == (2, 3, 9, 4)
     assert capsys.readouterr().out
     with pytest.raises(SystemExit):
         jobs.main(["unknown", *base])

@@ -47,6 +47,24 @@ def test_failed_write_is_not_current(spark, tmp_path):
     assert store.entry("s").run_id == "20230101T000000Z"
 
 
+def test_failed_rewrite_keeps_the_old_version(spark, tmp_path):
+    store = VersionStore(spark, f"{tmp_path}/store")
+    tag = "20230101T000000Z"
+    store.archive(spark.range(3), "s", tag)
+    with pytest.raises(Exception):
+        store.archive(spark.range(3).selectExpr("raise_error('stop') AS id"), "s", tag)
+    assert store.restore("s", tag).count() == 3
+    store.archive(spark.range(5), "s", tag)
+    paths = [r.path for r in store.manifest().collect()]
+    assert sorted(spark.read.parquet(p).count() for p in paths) == [3, 5] and store.restore("s", tag).count() == 5
+    left = store.leftovers()
+    assert len(left) == 1 and left[0] in dbclean(spark, store)
+    assert left[0] in dbclean(spark, store, "delete") and store.leftovers() == []
+    assert store.restore("s", tag).count() == 5
+    with pytest.raises(LookupError):
+        VersionStore(spark, f"{tmp_path}/none").leftovers()
+
+
 def test_orphans(spark):
     names = spark.createDataFrame(
         [("stage0_20230101t000000z",), ("stage1_20230101t000000z",), ("stage0_20230201t000000z",), ("my_table",), ("plain",)], "name string"
