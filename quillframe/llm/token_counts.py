@@ -24,6 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .common import arrow_bounded, renamed, slices
 
 CACHE_SCHEMA = "content_digest string, tokenizer_digest string, n_tokens bigint"
@@ -119,8 +120,8 @@ def count_tokens(df: DataFrame, cache: str, tokenizer: str, ranks: str | None =
                 )
 
     misses.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache)
-    counts = (
-        read_cache(spark, cache).where(F.col("tokenizer_digest") == kind).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
-    )
+    counts = read_cache(spark, cache).where(F.col("tokenizer_digest") == kind).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # Written first, so that the join reads plain tables and the rows of a hot text can be split.
+    counts = stored(counts, "token-counts")
     rows = df.withColumns({"content_digest": F.sha2(full, 256), "n_bytes": F.octet_length(full).cast("bigint")})
     return renamed(rows, ["n_tokens"]).join(counts, "content_digest", "left")
