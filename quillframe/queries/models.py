@@ -438,9 +438,11 @@ def als(spark, sf):
     items = core.itemFactors.select(F.col("id").alias("l_partkey"), F.col("features").alias("v"))
     both = ratings.join(users, "o_custkey").join(items, "l_partkey")
     dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda t, x: t + x)
-    terms = both.select("o_custkey", "u", "quantity", (F.col("quantity") - dot).alias("error"), F.posexplode("v").alias("at", "x"))
+    # Factors are stored as floats, so the gap is measured against the size of what is added up.
+    reach = F.aggregate(F.zip_with("u", "v", lambda a, b: F.abs(a.cast("double") * b)), F.lit(0.0), lambda t, x: t + x)
+    terms = both.select("o_custkey", "u", "quantity", (F.col("quantity") - dot).alias("error"), reach.alias("reach"), F.posexplode("v").alias("at", "x"))
     pull = terms.groupBy("o_custkey", "at").agg(
-        F.sum(F.col("error") * F.col("x")).alias("pull"), F.sum(F.abs(F.col("quantity") * F.col("x"))).alias("size"),
+        F.sum(F.col("error") * F.col("x")).alias("pull"), F.sum((F.abs("quantity") + F.col("reach")) * F.abs("x")).alias("size"),
         F.count(F.lit(1)).alias("n"), F.max(F.element_at("u", F.col("at") + 1)).alias("own"),
     )
     gap = F.abs(F.col("pull") - 0.01 * F.col("n") * F.col("own")) / (F.col("size") + 0.01 * F.col("n") * F.abs("own") + 1e-9)
