@@ -11,8 +11,10 @@ full shingle sets.
 Equal sets are one class from the start, and classes that are linked already are
 not compared again: the members of a key are first confirmed against one hub,
 then each against the closest member of another component, and only what is
-still apart after that against all close members of other components. No pairs
-of a key are listed but those that the signatures leave to be confirmed.
+still apart after that against all close members of other components. In that
+last step no pairs are listed: the members that have an open pair are gathered
+by key and blocks of a key, with their full sets, and confirmed there. A pair
+that shares several keys is worked on under the first of them only.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -112,7 +114,7 @@ def sketch(df: DataFrame, id_col: str, text: str, settings: DedupSettings) -> Da
 
 
 def index_keys(classes: DataFrame, settings: DedupSettings) -> DataFrame:
-    """(key, id): for each chunk and each choice of ``errors`` (0 or 1) left-out symbols a 64-bit key."""
+    """(key, slot, id): for each chunk and each choice of ``errors`` (0 or 1) left-out symbols a 64-bit key; slot numbers the choice."""
     width, chunks, errors = settings.chunk_symbols, settings.chunks, settings.errors
     kept = [[s for s in range(width) if s != out] for out in range(width)] if errors else [list(range(width))]
 
@@ -127,9 +129,10 @@ def index_keys(classes: DataFrame, settings: DedupSettings) -> DataFrame:
                     key = np.full(len(ids), c * width + out + 1, np.uint64)
                     for s in symbols:
                         key = (key ^ (key >> np.uint64(32))) * _MIX + sig[:, c, s]
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids)], ["key", "id"])
+                    slot = np.full(len(ids), c * width + out, np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(slot), pa.array(ids)], ["key", "slot", "id"])
 
-    return classes.select("id", "sig").mapInArrow(run, "key bigint, id bigint")
+    return classes.select("id", "sig").mapInArrow(run, "key bigint, slot int, id bigint")
 
 
 def _close(pairs: DataFrame, classes: DataFrame, far: int) -> DataFrame:
@@ -199,43 +202,23 @@ def _hubs(shared: DataFrame) -> DataFrame:
 
 #: Members of a key that are compared in one task at a time; larger keys are cut into blocks, and each pair of blocks is a task's work.
 BLOCK_MEMBERS = 4096
+#: The same where the full sets are at hand, and the bytes of sets of a block.
+BLOCK_SETS = 1024
+BLOCK_BYTES = 16 << 20
 
 
-def _across(apart: DataFrame, classes: DataFrame, far: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b) within ``far`` symbols of members of a key that are in different components.
+def _blocked(rows: DataFrame, blocks: Column) -> DataFrame:
+    """The rows of each key dealt to pairs of blocks (i, j) by their id; every two rows of a key meet in one pair of blocks."""
+    sizes = rows.groupBy("key").agg(F.greatest(F.lit(1), F.ceil(blocks).cast("int")).alias("blocks"))
+    dealt = rows.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("blocks", "other")
 
-    With ``nearest`` a member gives its closest pair only, with a member of a component that has more members of the key.
-    Members of one component are not compared with each other.
-    """
-    sizes = apart.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).cast("int").alias("blocks"))
-    rows = apart.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "component", "id").join(classes.select("id", "sig"), "id")
-    cut = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "component")
-
-    def compare(key, ids, comps, own, sig):
-        """Pairs of one group; the rows of a component stand together."""
-        cuts = np.flatnonzero(np.diff(comps)) + 1
-        starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(ids)]])
-        order = np.argsort(ends - starts, kind="stable")
-        place = np.concatenate([np.arange(starts[r], ends[r]) for r in order])
-        ids, own, sig = ids[place], own[place], sig[place]
-        stop = 0
-        for size in (ends - starts)[order]:
-            start, stop = stop, stop + size
-            for at in range(start, stop):
-                if stop == len(ids):
-                    break
-                far_from = (sig[stop:] != sig[at]).sum(axis=1)
-                if key[1] != key[2]:
-                    far_from[own[stop:] == own[at]] = far + 1
-                if nearest:
-                    k = int(far_from.argmin())
-                    if far_from[k] <= far:
-                        yield ids[at], ids[stop + k]
-                else:
-                    for other in np.flatnonzero(far_from <= far):
-                        yield ids[at], ids[stop + other]
+
+def _by_group(dealt: DataFrame, work, schema: str) -> DataFrame:
+    """``work(key, columns, group)`` for the rows of every (key, i, j), sorted by component; it gives record batches."""
+    cut = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "component")
+    numbers = [c for c, kind in dealt.dtypes if kind != "binary"]
 
     def run(batches):
         held = None
@@ -249,24 +232,120 @@ def _across(apart: DataFrame, classes: DataFrame, far: int, nearest: bool) -> Da
         """Work on all groups but the last, which may go on in the next batch; returns its rows."""
         if not table.num_rows:
             return None
-        columns = {c: table.column(c).to_numpy() for c in ("key", "i", "j", "own", "component", "id")}
+        columns = {c: table.column(c).to_numpy() for c in numbers}
         change = (np.diff(columns["key"]) != 0) | (np.diff(columns["i"]) != 0) | (np.diff(columns["j"]) != 0)
         starts = np.concatenate([[0], np.flatnonzero(change) + 1])
         ends = np.concatenate([starts[1:], [table.num_rows]])
-        if not last:
-            starts, ends = starts[:-1], ends[:-1]
-        done = int(ends[-1]) if len(ends) else 0
-        if done:
-            sig = np.frombuffer(b"".join(table.column("sig").slice(0, done).to_pylist()), np.uint16).reshape(done, -1)
-            pairs = set()
-            for s, e in zip(starts, ends):
-                key = (columns["key"][s], columns["i"][s], columns["j"][s])
-                for a, b in compare(key, columns["id"][s:e], columns["component"][s:e], columns["own"][s:e], sig[s:e]):
-                    pairs.add((min(a, b), max(a, b)))
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
-        return None if last else table.slice(done)
-
-    return cut.mapInArrow(run, "a bigint, b bigint").distinct()
+        for s, e in zip(starts, ends) if last else zip(starts[:-1], ends[:-1]):
+            group = {c: values[s:e] for c, values in columns.items()}
+            yield from work((columns["key"][s], columns["i"][s], columns["j"][s]), group, table.slice(s, e - s))
+        return None if last else table.slice(starts[-1])
+
+    return cut.mapInArrow(run, schema)
+
+
+def _symbols(group: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(group.num_rows, -1)
+
+
+def _meetings(key, columns, sig):
+    """(member, others, differs) for each member of a group and the members of other components that it has not met yet.
+
+    Members of one component, and in a pair of blocks those of one block, do not
+    meet; a member meets those of components that have at least as many members
+    here. ``differs`` has a row per other member and a column per symbol.
+    """
+    comps, own = columns["component"], columns["own"]
+    cuts = np.flatnonzero(np.diff(comps)) + 1
+    starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(comps)]])
+    order = np.argsort(ends - starts, kind="stable")
+    place = np.concatenate([np.arange(starts[r], ends[r]) for r in order])
+    stop = 0
+    for size in (ends - starts)[order]:
+        start, stop = stop, stop + size
+        later = place[stop:]
+        for at in place[start:stop]:
+            others = later if key[1] == key[2] else later[own[later] != own[at]]
+            if len(others):
+                yield at, others, sig[others] != sig[at]
+
+
+def _nearest(apart: DataFrame, classes: DataFrame, far: int) -> DataFrame:
+    """Pairs (a, b): each member's closest one of another component of a key, if within ``far`` symbols."""
+    rows = apart.select("key", "component", "id")
+    dealt = _blocked(rows, F.count("*") / BLOCK_MEMBERS).join(classes.select("id", "sig"), "id")
+
+    def work(key, columns, group):
+        ids, pairs = columns["id"], set()
+        for at, others, differs in _meetings(key, columns, _symbols(group)):
+            distance = differs.sum(axis=1)
+            k = int(distance.argmin())
+            if distance[k] <= far:
+                pairs.add((min(ids[at], ids[others[k]]), max(ids[at], ids[others[k]])))
+        yield pa.RecordBatch.from_arrays([pa.array([p[n] for p in pairs], pa.int64()) for n in (0, 1)], ["a", "b"])
+
+    return _by_group(dealt, work, "a bigint, b bigint").distinct()
+
+
+def _open(at, others, differs, columns, settings: DedupSettings) -> np.ndarray:
+    """Which of ``others`` may be linked with ``at`` and first meet it under this group's slot, as places in ``others``.
+
+    A pair that shares several keys is so worked on under one of them. Sets of
+    too different sizes cannot be linked.
+    """
+    n, slot = columns["n"], columns["slot"]
+    small, large = np.minimum(n[others], n[at]), np.maximum(n[others], n[at])
+    near = np.flatnonzero((differs.sum(axis=1) <= settings.far) & (100 * small >= settings.percent * large))
+    chunked = differs[near].reshape(len(near), settings.chunks, settings.chunk_symbols)
+    equal = chunked.sum(axis=2) <= settings.errors
+    chunk = equal.argmax(axis=1)
+    out = chunked[np.arange(len(near)), chunk].argmax(axis=1)
+    return near[equal.any(axis=1) & (chunk * settings.chunk_symbols + out == slot[at])]
+
+
+def _unsettled(apart: DataFrame, classes: DataFrame, settings: DedupSettings) -> DataFrame:
+    """(key, slot, component, id) of the members that have an open pair in the key: rows of members, not of pairs."""
+    dealt = _blocked(apart, F.count("*") / BLOCK_MEMBERS).join(classes.select("id", "n", "sig"), "id")
+
+    def work(key, columns, group):
+        marked = np.zeros(group.num_rows, bool)
+        for at, others, differs in _meetings(key, columns, _symbols(group)):
+            found = _open(at, others, differs, columns, settings)
+            if len(found):
+                marked[at] = True
+                marked[others[found]] = True
+        chosen = group.select(["key", "slot", "component", "id"]).filter(pa.array(marked))
+        yield from chosen.to_batches()
+
+    return _by_group(dealt, work, "key bigint, slot int, component bigint, id bigint").distinct()
+
+
+def _settled(unsettled: DataFrame, classes: DataFrame, sets: DataFrame, settings: DedupSettings) -> DataFrame:
+    """Links (a, b) among the open pairs, confirmed on full sets inside the group; a group gives only links that join components."""
+    members = unsettled.join(classes.select("id", "n", "sig"), "id")
+    blocks = F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") * 8 / BLOCK_BYTES)
+    dealt = _blocked(members, blocks).join(sets, "id")
+
+    def work(key, columns, group):
+        ids, joined = columns["id"], columns["component"].copy()
+        held = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("set").combine_chunks()]
+        sizes = np.array([len(x) for x in held])
+        links = []
+        for at, others, differs in _meetings(key, columns, _symbols(group)):
+            found = others[_open(at, others, differs, columns, settings)]
+            found = found[joined[found] != joined[at]]
+            if not len(found):
+                continue
+            mine, theirs = held[at], np.concatenate([held[k] for k in found])
+            place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+            common = np.add.reduceat(mine[place] == theirs, np.cumsum(sizes[found]) - sizes[found], dtype=np.int64)
+            for other in found[100 * common >= settings.percent * (len(mine) + sizes[found] - common)]:
+                if joined[other] != joined[at]:
+                    joined[joined == joined[other]] = joined[at]
+                    links.append((ids[at], ids[other]))
+        yield pa.RecordBatch.from_arrays([pa.array([p[n] for p in links], pa.int64()) for n in (0, 1)], ["a", "b"])
+
+    return _by_group(dealt, work, "a bigint, b bigint")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", settings: DedupSettings = DedupSettings()) -> DataFrame:
@@ -280,8 +359,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     """
     sketches = stored(sketch(df, id_col, text, settings), "sketches")
     named = sketches.where("doc_id IS NOT NULL AND set_hash IS NOT NULL")
-    firsts = named.groupBy("set_hash").agg(F.min(F.struct("doc_id", "sig")).alias("f"))
-    classes = stored(firsts.select(F.monotonically_increasing_id().alias("id"), F.col("f.doc_id").alias("doc"), "set_hash", "f.sig"), "classes")
+    firsts = named.groupBy("set_hash").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("f"))
+    classes = stored(firsts.select(F.monotonically_increasing_id().alias("id"), F.col("f.doc_id").alias("doc"), "set_hash", F.col("f.n_shingles").alias("n"), "f.sig"), "classes")
     links = _links(df, id_col, text, classes, settings)
     # A repeated id with several sets ties their classes.
     repeated = named.groupBy("doc_id").agg(F.min("set_hash").alias("low"), F.max("set_hash").alias("high")).where("low <> high")
@@ -308,16 +387,18 @@ def _links(df: DataFrame, id_col: str, text: str, classes: DataFrame, settings:
     tried = stored(_hubs(shared), "pairs")
     links = stored(_confirmed(_close(tried, classes, settings.far), sets, settings.percent), "links")
     # What the hubs left apart: twice each member's closest pair of every key, then all that are close enough.
-    for nearest in (True, True, False):
+    for _ in range(2):
         apart = stored(_apart(shared, components(links)), "apart")
-        pairs = stored(_across(apart, classes, settings.far, nearest).join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = stored(_nearest(apart, classes, settings.far).join(tried, ["a", "b"], "left_anti"), "pairs")
         links = links.unionAll(stored(_confirmed(pairs, sets, settings.percent), "links"))
         tried = tried.unionAll(pairs)
-    return links
+    apart = stored(_apart(shared, components(links)), "apart")
+    unsettled = stored(_unsettled(apart, classes, settings), "unsettled")
+    return links.unionAll(stored(_settled(unsettled, classes, sets, settings), "links"))
 
 
 def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, id, component) of the keys whose members are in more than one component."""
-    placed = shared.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    """(key, slot, id, component) of the keys whose members are in more than one component."""
+    placed = shared.join(found, "id", "left").select("key", "slot", "id", F.coalesce("component", "id").alias("component"))
     several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     return placed.join(several, "key", "left_semi")
