@@ -95,6 +95,24 @@ def test_near_family_with_a_hot_group(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near(rows)
 
 
+def test_near_family_is_confirmed_in_blocks(spark, monkeypatch):
+    """Texts that share 60 to 95 % of a base: what hubs leave apart is confirmed in groups of a few members."""
+    for name, members in (("BLOCK_MEMBERS", 32), ("BLOCK_SETS", 8)):
+        monkeypatch.setattr(near_dedup, name, members)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(120):
+        words = [f"t{k}" for k in range(200)]
+        for at in rng.choice(200, int(rng.integers(4, 26)), replace=False):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = near_dedup.near_duplicates(frame, settings=near_dedup.DedupSettings(shingle=2)).collect()
+    want = brute.near(rows)
+    assert 1 < len({c for _, c in want.values()}) < 120
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_pigeonhole_finds_all_within_the_distance(spark):
     rng = np.random.default_rng(3)
     settings = near_dedup.DedupSettings()
