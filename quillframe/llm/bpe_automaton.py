@@ -27,8 +27,10 @@ from pyspark.sql import DataFrame
 
 from .common import arrow_bounded, ddl, renamed, slices
 
-#: Words whose encoding a task remembers; the table starts anew when full.
+#: Pairs of tokens whose transition a worker remembers; the table starts anew when full.
 MEMORY = 400_000
+#: The same for words and for runs between blanks, with their encoding.
+WORDS = 1 << 17
 NEVER = float("inf")
 END = "\n"
 
@@ -188,7 +190,7 @@ class WordTokenizer:
         if found is None:
             found = self.automaton.encode(word.encode().decode("latin-1").translate(self._letters))
             if len(word) < 64:
-                if len(self._words) >= MEMORY:
+                if len(self._words) >= WORDS:
                     self._words.clear()
                 self._words[word] = found
         return found
@@ -207,7 +209,7 @@ class WordTokenizer:
         ids = [i for w in words for i in self._word(w)]
         found = struct.pack(f"<{len(ids)}I", *ids), " ".join(self.automaton.decode(ids))
         if len(chunk) < 64:
-            if len(self._chunks) >= MEMORY:
+            if len(self._chunks) >= WORDS:
                 self._chunks.clear()
             self._chunks[chunk] = found
         return found
