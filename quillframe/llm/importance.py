@@ -97,11 +97,12 @@ def weigh(df: DataFrame, ratio: np.ndarray, text: str, id_col: str, settings: Im
 
     def run(batches):
         for batch in batches:
-            found = [features(v.as_py(), bits) for v in batch.column(text)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([len(f) for f in found], pa.int64()), pa.array([float(ratio[f].sum()) for f in found], pa.float64())],
-                [*columns, "n_features", "log_weight"],
-            )
+            counts, weights = [], []
+            for value in batch.column(text):
+                found = features(value.as_py(), bits)
+                counts.append(len(found))
+                weights.append(float(ratio[found].sum()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(weights, pa.float64())], [*columns, "n_features", "log_weight"])
 
     noise = -F.log(-F.log(row_uniform(settings.seed + 2, F.col(f"`{id_col}`").cast("bigint"))))
     return rows.mapInArrow(run, f"{ddl(rows)}, n_features bigint, log_weight double").withColumn("perturbed", F.col("log_weight") + noise)
