@@ -212,6 +212,23 @@ def test_importance(spark, docs, nothing):
     assert empty.weighed(nothing).where(empty.kept()).count() == 0
 
 
+def test_one_outlier_does_not_set_the_cut():
+    targets, others = np.array([-9.0, *np.linspace(0, 1, 99)]), np.linspace(-3, -1, 50)
+    assert importance.best_cut(targets, others, 10) == 0
+    assert importance.best_cut(np.repeat(targets, 30), others, 10) == 0
+
+
+def test_importance_rejects_low_quality_and_toxic(spark):
+    """The share of each label that is kept; before, the sum of one long target let 10 % of the first and 84 % of the second pass."""
+    folder = "/root/testdata/sf0.01"
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = importance.Resampler(spark.read.parquet(f"{folder}/documents.parquet"), labels, good)
+    rows = model.scores.withColumn("kept", model.kept().cast("int")).join(labels, F.col("_id") == F.col("doc_id"))
+    share = lambda which: rows.where(which).agg(F.avg("kept")).first()[0]
+    assert share(good) >= 0.98 and share("quality = 0") <= 0.05 and share("toxic = 1") <= 0.4
+
+
 @pytest.mark.parametrize("values", [[1.0] * 30, [float(i % 7) for i in range(50)], [-1e300, 0.0, 1e-300, 5.0, 1e300], [i / 3 for i in range(200)]])
 def test_kth_greatest(spark, values):
     frame = spark.createDataFrame([(v,) for v in values], "v double")
