@@ -3,31 +3,39 @@
 Every page is cut into tokens: structural elements, known by their path, and
 blocks of text, known by path and words. A token's occurrence vector says how
 often it stands in each page of the host; tokens with equal vectors form an
-equivalence class. Large classes in at least half of a host's pages whose
-tokens are ordered alike are valid; nested by their paths they are the host's
-template, and what lies between their tokens are slots. The slot that holds the
-host's varying text is the main one; constant short blocks are template text.
-A page gives the blocks of its main slot, without the parts that are marked as
-navigation, notices, adverts, forms, comments and the like.
+equivalence class. Classes of at least two elements or words in at least half
+of a host's pages are looked at in every page: a token is ordered if it follows
+its class's order, and nested if all it has in the page lies in one gap between
+tokens of the host's root class, the same gap from page to page. Tokens that
+are so in enough pages form the template, if their class still has its size.
+Text of the template is constant.
+
+What lies between is slots: the elements that hold blocks, lists and tables
+counted to the element around them. A slot all of whose blocks are constant is
+template; every other slot varies, and a page gives the blocks of all of those
+in page order, without the parts that are marked as navigation, notices,
+adverts, forms, comments and the like. Pages that mark their article or main
+elements give those, whatever the host's other pages look like.
 
 Vectors are never gathered: each is kept as its number of pages and two
 commutative hashes, combined before the shuffle, so a host with a third of all
 pages is a few rows per task. Classes in half of the pages bound a template by
-the size of two pages. Hosts with one page, and pages without their host's main
-slot, are judged by their own blocks. Null and empty pages have an empty text.
+the size of two pages. Hosts with one page have no template, and a page without
+anything that varies (a copy of most others) gives all its blocks. Null and
+empty pages have an empty text.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -65,7 +73,7 @@ class Block:
     path: tuple[str, ...]
     text: str
     aside: bool
-    nodes: tuple[int, ...]
+    at: int  # elements that begin before it
 
 
 @dataclass
@@ -87,7 +95,7 @@ def parse(source: str) -> Page:
         text.clear()
         if words:
             inner = [s for s in stack if s[3] >= 0]
-            page.blocks.append(Block(tuple(s[1] for s in inner), words, any(s[2] for s in stack), tuple(s[3] for s in inner)))
+            page.blocks.append(Block(tuple(s[1] for s in inner), words, any(s[2] for s in stack), len(page.nodes)))
 
     def close(tag):
         for i in range(len(stack) - 1, -1, -1):
@@ -199,105 +207,186 @@ def choose(letters: dict[tuple[str, ...], int]) -> tuple[str, ...]:
         at = best
 
 
-def main_text(source: str | None, slot: tuple[str, ...] | None, constant: frozenset[int]) -> str:
-    """Blocks of the page's main slot, joined by an empty line."""
-    page = parse(source or "")
-    here = [b for b in page.blocks if not b.aside and _hash("text", "/".join(b.path), b.text) not in constant]
-    if not here:
-        return ""
-    if slot is None or not any(b.path[: len(slot)] == slot for b in here):
-        own = Page([b for b in here], page.nodes)
-        slot = choose(_by_path(own))
-    return "\n\n".join(b.text for b in here if b.path[: len(slot)] == slot)
+#: Elements that shape text inside a slot.
+LISTS = frozenset("ul ol dl table".split())
 
 
-TOKEN_SCHEMA = "host string, token bigint, path string, place double, one bigint, two bigint, letters bigint"
+def _text_token(block: Block) -> int:
+    return _hash("text", "/".join(block.path), block.text)
+
+
+def _slot(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The element that a block's path counts to."""
+    while path and path[-1].split(".")[0] in LISTS:
+        path = path[:-1]
+    return path
+
+
+def main_text(source: str | None, constant: frozenset[int]) -> str:
+    """Blocks of the page's article and main elements, else of its slots that vary, joined by an empty line."""
+    here = [b for b in parse(source or "").blocks if not b.aside]
+    marked = [b for b in here if any(map(_is_main, b.path))]
+    if not marked:
+        varying = {_slot(b.path) for b in here if _text_token(b) not in constant} if constant else ()
+        marked = [b for b in here if _slot(b.path) in varying] or here
+        slot = choose(_by_path(Page(marked)))
+        marked = [b for b in marked if b.path[: len(slot)] == slot]
+    return "\n\n".join(b.text for b in marked)
+
+
+def sequence(page: Page) -> list[tuple[int, int, bool]]:
+    """(token, size, whether it is text) of a page in its order; text counts by its words. Text of articles is no token."""
+    out, blocks = [], iter(page.blocks)
+    block = next(blocks, None)
+    for i in range(len(page.nodes) + 1):
+        while block is not None and block.at <= i:
+            if not block.aside and len(block.text) <= 80 and not any(map(_is_main, block.path)):
+                out.append((_text_token(block), block.text.count(" ") + 1, True))
+            block = next(blocks, None)
+        if i < len(page.nodes):
+            out.append((_hash("node", "/".join(page.nodes[i][0])), 1, False))
+    return out
+
+
+TOKEN_SCHEMA = "host string, token bigint, size bigint, text boolean, times bigint, place double, one bigint, two bigint"
+NESTED_SCHEMA = "host string, token bigint, gap bigint, pages bigint"
+
+
+def _record_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
+    fields = [part.split() for part in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), kinds[k]) for c, (_, k) in zip(columns, fields)], [n for n, _ in fields])
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """Tokens of every page of (host, html, uid): path is null for text blocks; one and two are hashes of the page and the count."""
+    """Tokens of every page of (host, html, uid); one and two are hashes of the page and of how often the token stands in it."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "html"):
                 rows = []
                 for host, source, uid in zip(*(part.column(c).to_pylist() for c in ("host", "html", "uid"))):
-                    page = parse(source or "")
-                    letters = _by_path(page)
                     counts: dict[int, list] = {}
-                    for i, (path, aside) in enumerate(page.nodes):
-                        name = "/".join(path)
-                        entry = counts.setdefault(_hash("node", name), [0, name, i, 0 if aside else letters.get(path, 0)])
-                        entry[0] += 1
-                    for i, b in enumerate(page.blocks):
-                        if not b.aside and len(b.text) <= 80 and not any(map(_is_main, b.path)):
-                            counts.setdefault(_hash("text", "/".join(b.path), b.text), [0, None, i, len(b.text)])[0] += 1
-                    for token, (n, name, place, size) in counts.items():
+                    for place, (token, size, text) in enumerate(sequence(parse(source or ""))):
+                        counts.setdefault(token, [0, place, size, text])[0] += 1
+                    for token, (n, place, size, text) in counts.items():
                         mixed = xxhash.xxh3_64_intdigest(f"{uid}:{n}")
-                        rows.append((host, token, name, float(place), mixed >> 33, (mixed & 0x7FFFFFFF), size))
-                kinds = [pa.string(), pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
-                columns = list(zip(*rows)) if rows else [[]] * len(kinds)
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], [p.split()[0] for p in TOKEN_SCHEMA.split(", ")])
+                        rows.append((host, token, size, text, n, float(place), mixed >> 33, mixed & 0x7FFFFFFF))
+                yield _record_batch(rows, TOKEN_SCHEMA)
 
     return pages.select("host", "html", "uid").mapInArrow(run, TOKEN_SCHEMA)
 
 
-def deduce(pages: DataFrame, share: float = 0.5, text_share: float = 0.8, text_pages: int = 10) -> DataFrame:
-    """(host, slot, constant): the main slot's path and the hashes of the template's text blocks.
+def _rising(values: list[int]) -> set[int]:
+    """Places of a longest rising subsequence."""
+    ends: list[int] = []
+    tails: list[int] = []
+    before = [-1] * len(values)
+    for i, v in enumerate(values):
+        at = bisect.bisect_left(tails, v)
+        before[i] = ends[at - 1] if at else -1
+        tails[at : at + 1], ends[at : at + 1] = [v], [i]
+    i, out = ends[-1] if ends else -1, set()
+    while i >= 0:
+        out.add(i)
+        i = before[i]
+    return out
+
+
+def gaps(tokens: list[int], classes: dict[int, tuple[int, int]]) -> dict[int, int]:
+    """The gap of the root class that each token of a page lies in, -1 for tokens out of their class's order or in several gaps.
 
-    ``share`` of a host's pages must hold a class's tokens; a text block is
-    template text if it stands in ``text_share`` of at least ``text_pages`` pages.
+    ``classes`` has each token's class, 0 for the root, and its rank there.
+    """
+    times: Counter[int] = Counter()
+    by_class: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+    for at, token in enumerate(tokens):
+        if token in classes:
+            c, rank = classes[token]
+            # The n-th of each token of a class belong to its n-th occurrence.
+            by_class[c].append(((times[token] << 32) + rank, at, token))
+            times[token] += 1
+    out: dict[int, int] = {}
+    root: list[int] = []
+    for c in sorted(by_class, key=lambda c: c != 0):
+        found = by_class[c]
+        ordered = _rising([f[0] for f in found])
+        if c == 0:
+            root = [found[i][1] for i in sorted(ordered)]
+            ranks = [found[i][0] + 1 for i in sorted(ordered)]
+        for i, (_, at, token) in enumerate(found):
+            before = bisect.bisect_left(root, at)
+            gap = -1 if i not in ordered else 0 if c == 0 or not before else ranks[before - 1]
+            out[token] = gap if out.get(token, gap) == gap else -1
+    return out
+
+
+def nested(pages: DataFrame, classes: DataFrame) -> DataFrame:
+    """In how many pages of (host, html) a token is in order and in a gap; ``classes`` is (host, token, class, rank)."""
+    each = stored(classes.groupBy("host").agg(F.collect_list(F.struct("token", "class", "rank")).alias("classes")), "page-classes")
+    joined = pages.select("host", "html").join(_few(each), "host")
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "html"):
+                found: Counter[tuple] = Counter()
+                for host, source, known in zip(*(part.column(c).to_pylist() for c in ("host", "html", "classes"))):
+                    tokens = [t for t, _, _ in sequence(parse(source or ""))]
+                    for token, gap in gaps(tokens, {k["token"]: (k["class"], k["rank"]) for k in known}).items():
+                        if gap >= 0:
+                            found[host, token, gap] += 1
+                yield _record_batch([(*k, n) for k, n in found.items()], NESTED_SCHEMA)
+
+    counts = joined.select("host", "html", "classes").mapInArrow(run, NESTED_SCHEMA).groupBy("host", "token", "gap").agg(F.sum("pages").alias("held"))
+    return counts.groupBy("host", "token").agg(F.max("held").alias("held"))
+
+
+def deduce(pages: DataFrame, share: float = 0.5, text_share: float = 0.8, text_pages: int = 10, size: int = 2) -> DataFrame:
+    """(host, constant): the hashes of the text blocks of each host's template.
+
+    ``share`` of a host's pages must hold a class's tokens, in order and nested,
+    and ``text_share`` of them a text block; a class has ``size`` elements or words.
     """
     tokens = page_tokens(pages).groupBy("host", "token").agg(
-        F.count("*").alias("n"), F.sum("one").alias("one"), F.sum("two").alias("two"), F.sum("letters").alias("letters"), F.avg("place").alias("place"), F.max("path").alias("path")
+        F.count("*").alias("n"), F.sum("one").alias("one"), F.sum("two").alias("two"), F.max("size").alias("size"), F.max("text").alias("text"), F.max("times").alias("times"), F.avg("place").alias("place")
     )
-    size = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    often = stored(tokens.where("n > 1").join(size, "host").where(F.col("n") >= share * F.col("pages")), "page-tokens")
-    classes = often.groupBy("host", "n", "one", "two").agg(F.count("*").alias("members"))
-    valid = often.join(classes, ["host", "n", "one", "two"])
-
-    def template(key, rows: pd.DataFrame) -> pd.DataFrame:
-        # Bounded: every row stands in at least `share` of the host's pages.
-        nodes = rows[rows["path"].notna()].sort_values(["members", "n", "place"], ascending=[False, False, True])
-        letters: dict[tuple[str, ...], int] = {}
-        for r in nodes.itertuples():
-            path = tuple(r.path.split("/"))
-            # A class is nested in the template if the elements around its tokens are in it.
-            if len(path) == 1 or path[:-1] in letters:
-                letters[path] = int(r.letters)
-        if len(letters) < len(nodes):
-            for r in nodes.sort_values("path", key=lambda c: c.str.count("/")).itertuples():
-                path = tuple(r.path.split("/"))
-                if len(path) == 1 or path[:-1] in letters:
-                    letters[path] = int(r.letters)
-        texts = rows[rows["path"].isna() & (rows["pages"] >= text_pages) & (rows["n"] >= text_share * rows["pages"]) & (rows["members"] >= 2)]
-        return pd.DataFrame([("/".join(choose(letters)), [int(t) for t in texts["token"]])], columns=["slot", "constant"]).assign(host=key[0])
-
-    return valid.groupBy("host").applyInPandas(template, "slot string, constant array<bigint>, host string")
+    number = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    often = stored(tokens.where("n > 1").join(number, "host").where(F.col("n") >= share * F.col("pages")), "page-tokens")
+    vector = Window.partitionBy("host", "n", "one", "two")
+    large = often.withColumn("members", F.sum("size").over(vector)).where(F.col("members") >= size)
+    # Bounded: every row stands in at least `share` of the host's pages. The root class stands once in each of the most pages.
+    by_class = Window.partitionBy("host").orderBy((F.col("times") > 1).cast("int"), F.desc("n"), F.desc("members"), "one", "two")
+    ranked = large.withColumn("class", F.dense_rank().over(by_class) - 1).withColumn("rank", F.row_number().over(Window.partitionBy("host", "class").orderBy("place", "token")))
+    ranked = stored(ranked.select("host", "token", F.col("class").cast("bigint"), F.col("rank").cast("bigint"), "size", "text", "pages"), "page-ranks")
+    held = ranked.join(nested(pages, ranked), ["host", "token"]).where(F.col("held") >= share * F.col("pages"))
+    valid = held.withColumn("members", F.sum("size").over(Window.partitionBy("host", "class"))).where(F.col("members") >= size)
+    return valid.where(F.col("text") & (F.col("pages") >= text_pages) & (F.col("held") >= text_share * F.col("pages"))).groupBy("host").agg(F.collect_list("token").alias("constant"))
 
 
 #: Hosts whose templates may be sent to every task; beyond, pages are joined to them by host.
 TEMPLATE_HOSTS = 10_000
 
 
+def _few(templates: DataFrame) -> DataFrame:
+    return F.broadcast(templates) if templates.count() <= TEMPLATE_HOSTS else templates
+
+
 def extract(df: DataFrame, id_col: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """Add ``text`` to every row; an existing column of that name is replaced."""
     arrow_bounded(df.sparkSession)
     host, _ = host_and_path(F.col(f"`{url}`"))
     keyed = df.select(host.alias("host"), F.col(f"`{source}`").alias("html"), F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{url}`"), F.col(f"`{source}`")).alias("uid"))
     templates = stored(deduce(keyed), "page-templates")
-    side = templates.select(F.col("host").alias("_host"), F.col("slot").alias("_slot"), F.col("constant").alias("_constant"))
-    rows = renamed(df, ["text", "_host", "_slot", "_constant"]).withColumn("_host", host)
-    rows = rows.join(F.broadcast(side) if templates.count() <= TEMPLATE_HOSTS else side, "_host", "left")
+    side = templates.select(F.col("host").alias("_host"), F.col("constant").alias("_constant"))
+    rows = renamed(df, ["text", "_host", "_constant"]).withColumn("_host", host)
+    rows = rows.join(_few(side), "_host", "left")
     columns = rows.columns
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, source):
-                texts = [
-                    main_text(t, None if s is None else tuple(x for x in s.split("/") if x), frozenset(c or ()))
-                    for t, s, c in zip(*(part.column(n).to_pylist() for n in (source, "_slot", "_constant")))
-                ]
+                texts = [main_text(t, frozenset(c or ())) for t, c in zip(*(part.column(n).to_pylist() for n in (source, "_constant")))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*columns, "text"])
 
-    return rows.mapInArrow(run, f"{ddl(rows)}, text string").drop("_host", "_slot", "_constant")
+    return rows.mapInArrow(run, f"{ddl(rows)}, text string").drop("_host", "_constant")

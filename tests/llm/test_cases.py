@@ -303,5 +303,30 @@ def test_html(spark, tag):
     assert html_template.extract(frame.where("false")).count() == 0
 
 
+def extracted(spark, pages):
+    frame = spark.createDataFrame([(i, f"http://{h}/{i}", t) for i, (h, t) in enumerate(pages)], "page_id bigint, url string, html string")
+    return [r.text.split("\n\n") for r in html_template.extract(frame).orderBy("page_id").collect()]
+
+
+def test_html_template_needs_ordered_nested_classes():
+    """Tokens out of their class's order, or in another gap of the root class, are told from the rest."""
+    classes = {10: (0, 1), 11: (0, 2), 12: (0, 3), 20: (1, 1), 21: (1, 2)}
+    assert html_template.gaps([10, 20, 21, 11, 5, 12], classes) == {10: 0, 11: 0, 12: 0, 20: 2, 21: 2}
+    assert html_template.gaps([10, 11, 20, 21, 20, 21, 12], classes) == {10: 0, 11: 0, 12: 0, 20: 3, 21: 3}
+    assert html_template.gaps([10, 20, 11, 20, 21, 21, 12], classes)[20] == -1
+    swapped = html_template.gaps([10, 12, 11], classes)
+    assert swapped[10] == 0 and sorted([swapped[11], swapped[12]]) == [-1, 0]
+
+
+def test_html_constant_text_of_any_length(spark, n):
+    """Unmarked notices go at every host size; copies of one page keep their text."""
+    legal = "All that is written here belongs to those who wrote it, " * 5
+    page = "<html><body><div class='top'><p>Our place</p></div><div class='text'><p>%s</p></div><div class='end'><p>" + legal + "</p></div></body></html>"
+    pages = [("l.org", page % f"Words of page {i}") for i in range(n)] + [("c.org", page % "Copied words")] * n
+    got = extracted(spark, pages)
+    assert got[:n] == [[f"Words of page {i}"] for i in range(n)]
+    assert all(text == ["Our place", "Copied words", legal.strip()] for text in got[n:])
+
+
 def test_digest_of_nothing():
     assert hashlib.sha256(b"").hexdigest() == brute.bpe([(1, None)])[1][1]
