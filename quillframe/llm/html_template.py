@@ -182,31 +182,6 @@ def _hash(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\x00".join(parts).encode()) - (1 << 63)
 
 
-def _by_path(page: Page) -> dict[tuple[str, ...], int]:
-    """Letters of article text below each path."""
-    sums: dict[tuple[str, ...], int] = defaultdict(int)
-    for b in page.blocks:
-        if not b.aside:
-            for i in range(1, len(b.path) + 1):
-                sums[b.path[:i]] += len(b.text)
-    return sums
-
-
-def choose(letters: dict[tuple[str, ...], int]) -> tuple[str, ...]:
-    """The main slot: the article or main element with most text, else the smallest element with most of it."""
-    marked = {p: n for p, n in letters.items() if p and _is_main(p[-1]) and not any(_is_main(s) for s in p[:-1])}
-    if marked and max(marked.values()) > 0:
-        return max(marked, key=lambda p: (marked[p], p))
-    at: tuple[str, ...] = ()
-    total = sum(n for p, n in letters.items() if len(p) == 1)
-    while True:
-        below = {p: n for p, n in letters.items() if len(p) == len(at) + 1 and p[: len(at)] == at}
-        best = max(below, key=lambda p: (below[p], p), default=None)
-        if best is None or below[best] < 0.7 * (letters.get(at, total) if at else total):
-            return at
-        at = best
-
-
 #: Elements that shape text inside a slot.
 LISTS = frozenset("ul ol dl table".split())
 
@@ -229,8 +204,6 @@ def main_text(source: str | None, constant: frozenset[int]) -> str:
     if not marked:
         varying = {_slot(b.path) for b in here if _text_token(b) not in constant} if constant else ()
         marked = [b for b in here if _slot(b.path) in varying] or here
-        slot = choose(_by_path(Page(marked)))
-        marked = [b for b in marked if b.path[: len(slot)] == slot]
     return "\n\n".join(b.text for b in marked)
 
 

@@ -318,6 +318,16 @@ def test_html_template_needs_ordered_nested_classes():
     assert swapped[10] == 0 and sorted([swapped[11], swapped[12]]) == [-1, 0]
 
 
+def test_html_keeps_every_slot_that_varies(spark):
+    """An introduction beside the body is kept, and so are pages of another layout."""
+    body = " ".join(WORDS[:60])
+    pages = [("s.org", f"<html><body><div class='content'><div class='intro'><p>Intro {i} {body[:89]}</p></div><div class='body'><p>Body {i} {body}</p></div></div></body></html>") for i in range(6)]
+    pages.append(("s.org", f"<html><body><div class='content'><div class='body'><p>Short</p></div></div><div class='other'><p>Other {body}</p></div></body></html>"))
+    got = extracted(spark, pages)
+    assert got[0] == [f"Intro 0 {body[:89]}", f"Body 0 {body}"]
+    assert got[6] == ["Short", f"Other {body}"]
+
+
 def test_html_constant_text_of_any_length(spark, n):
     """Unmarked notices go at every host size; copies of one page keep their text."""
     legal = "All that is written here belongs to those who wrote it, " * 5
