@@ -213,7 +213,7 @@ def sequence(page: Page) -> list[tuple[int, int, bool]]:
     block = next(blocks, None)
     for i in range(len(page.nodes) + 1):
         while block is not None and block.at <= i:
-            if not block.aside and len(block.text) <= 80 and not any(map(_is_main, block.path)):
+            if not block.aside and not any(map(_is_main, block.path)):
                 out.append((_text_token(block), block.text.count(" ") + 1, True))
             block = next(blocks, None)
         if i < len(page.nodes):
@@ -315,7 +315,7 @@ def nested(pages: DataFrame, classes: DataFrame) -> DataFrame:
     return counts.groupBy("host", "token").agg(F.max("held").alias("held"))
 
 
-def deduce(pages: DataFrame, share: float = 0.5, text_share: float = 0.8, text_pages: int = 10, size: int = 2) -> DataFrame:
+def deduce(pages: DataFrame, share: float = 0.5, text_share: float = 0.8, size: int = 2) -> DataFrame:
     """(host, constant): the hashes of the text blocks of each host's template.
 
     ``share`` of a host's pages must hold a class's tokens, in order and nested,
@@ -334,7 +334,7 @@ def deduce(pages: DataFrame, share: float = 0.5, text_share: float = 0.8, text_p
     ranked = stored(ranked.select("host", "token", F.col("class").cast("bigint"), F.col("rank").cast("bigint"), "size", "text", "pages"), "page-ranks")
     held = ranked.join(nested(pages, ranked), ["host", "token"]).where(F.col("held") >= share * F.col("pages"))
     valid = held.withColumn("members", F.sum("size").over(Window.partitionBy("host", "class"))).where(F.col("members") >= size)
-    return valid.where(F.col("text") & (F.col("pages") >= text_pages) & (F.col("held") >= text_share * F.col("pages"))).groupBy("host").agg(F.collect_list("token").alias("constant"))
+    return valid.where(F.col("text") & (F.col("held") >= text_share * F.col("pages"))).groupBy("host").agg(F.collect_list("token").alias("constant"))
 
 
 #: Hosts whose templates may be sent to every task; beyond, pages are joined to them by host.

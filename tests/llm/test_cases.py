@@ -318,6 +318,14 @@ def test_html_template_needs_ordered_nested_classes():
     assert swapped[10] == 0 and sorted([swapped[11], swapped[12]]) == [-1, 0]
 
 
+def test_html_template_text_moves_between_slots(spark):
+    """A text that changes its place from page to page has no gap in the template, so it stays; one that keeps it goes."""
+    cell = lambda i, k: "<p>Roaming words everywhere</p>" if i % 4 == k else ""
+    pages = [("m.org", "<html><body>" + "".join(f"<div>{cell(i, k)}<section class='{"abcd"[k] * 3}'><p>own {i} {k}</p></section></div>" for k in range(4)) + "<div class='z'><p>Fixed words below</p></div></body></html>") for i in range(8)]
+    for text in extracted(spark, pages):
+        assert "Roaming words everywhere" in text and "Fixed words below" not in text
+
+
 def test_html_keeps_every_slot_that_varies(spark):
     """An introduction beside the body is kept, and so are pages of another layout."""
     body = " ".join(WORDS[:60])
@@ -328,6 +336,7 @@ def test_html_keeps_every_slot_that_varies(spark):
     assert got[6] == ["Short", f"Other {body}"]
 
 
+@pytest.mark.parametrize("n", [2, 5, 9, 12])
 def test_html_constant_text_of_any_length(spark, n):
     """Unmarked notices go at every host size; copies of one page keep their text."""
     legal = "All that is written here belongs to those who wrote it, " * 5
