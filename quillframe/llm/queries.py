@@ -78,7 +78,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     from .line_runs import dedupe_lines
 
     rows = dedupe_lines(table(spark, folder, "documents", "doc_id", "text"), min_chars=40, min_docs=5)
-    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 @query("op10_quality_rules")

@@ -9,7 +9,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from quillframe.llm import bpe_automaton, html_template, importance, line_runs, near_dedup, phrase_index, quality_rules, token_counts, url_templates, warc_index
+from quillframe.llm import bpe_automaton, html_template, importance, line_runs, near_dedup, phrase_index, quality_rules, queries, token_counts, url_templates, warc_index
 from quillframe.session import fresh_path
 
 from . import brute
@@ -172,6 +172,13 @@ def test_line_dedup(spark, docs, nothing):
     assert line_runs.dedupe_lines(nothing).count() == 0
 
 
+def test_line_dedup_query_of_null_texts(spark, tmp_path):
+    rows = [(1, None), (2, ""), (3, "one\ntwo")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in queries.op9(spark, str(tmp_path)).collect()}
+    assert got == {k: (n, lost, hashlib.sha256(text.encode()).hexdigest()) for k, (n, lost, text) in brute.kept_lines(rows).items()}
+
+
 def test_runs_are_merged_by_level(spark):
     store = line_runs.LineRuns(spark, fresh_path(spark, "runs"), fanout=2, buckets=2)
     fresh = []
