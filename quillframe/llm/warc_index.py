@@ -87,7 +87,8 @@ def url_key(url: str | None) -> str:
 
 
 def _header(raw: bytes) -> dict[str, str]:
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in raw.decode("utf-8", "replace").split("\r\n")[1:])}
+    """Fields by name; only blanks and tabs are no part of a value."""
+    return {k.strip().lower(): v.strip(" \t") for k, _, v in (x.partition(":") for x in raw.decode("utf-8", "replace").split("\r\n")[1:])}
 
 
 def _captures(content: bytes) -> Iterator[tuple[str, int, int]]:

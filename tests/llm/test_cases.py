@@ -277,6 +277,13 @@ def test_warc(spark, monkeypatch):
     assert warc_index.archive_and_read(empty).count() == 0
 
 
+def test_warc_urls_that_end_in_other_white_space(spark):
+    ends = ["\u00a0", "\u0085", "\u3000", "\u2028", "\u1680", " ", "\t", "\x0b", "\x1f", ""]
+    urls = [f"http://a.org/{i}{e}" for i, e in enumerate(ends)] + [f"{e}http://b.org/{i}" for i, e in enumerate(ends)]
+    frame = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id bigint, url string, html string")
+    assert sorted(r.page_id for r in warc_index.archive_and_read(frame).collect()) == list(range(len(urls)))
+
+
 def test_warc_lookup_by_url_and_deep_directory(spark, monkeypatch):
     rows = [(i, f"http://h{i % 5}.org/p/{i}", f"page {i}") for i in range(60)]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
