@@ -58,13 +58,17 @@ class Text:
     def _n_dup_lines(self):
         return len(self.lines) - len(set(self.lines))
 
+    def _ids(self):
+        """A number for each word: equal words have equal ones, counted from 0."""
+        seen: dict[bytes, int] = {}
+        return np.fromiter((seen.setdefault(w, len(seen)) for w in self.words), np.int64, self.n_words)
+
     def _n_repeat_words(self):
         n = self.n_words
         if n < 6:
             return 0
-        seen: dict[bytes, int] = {}
-        one = np.fromiter((seen.setdefault(w, len(seen)) for w in self.words), np.int64, n)
-        if len(seen) == n:
+        one = self.ids
+        if one.max() == n - 1:
             return 0
 
         def paired(a, b):  # ids of pairs; exact, as both sides are below n
@@ -94,8 +98,21 @@ class Rule:
     broken: Callable[[Text], bool]
 
 
-def _distinct_share(t: Text) -> float:
-    return len(set(t.words)) / t.n_words
+#: Words of a window in which distinct ones are counted; shorter texts are one window.
+WINDOW = 1000
+
+
+def _distinct_share(t: Text, window: int = WINDOW) -> float:
+    """Share of distinct words, as the mean over all windows of the text, so that it doesn't fall with its length."""
+    n, at = t.n_words, np.arange(t.n_words)
+    window = min(window, n)
+    by_word = np.argsort(t.ids, kind="stable")
+    again = t.ids[by_word[1:]] == t.ids[by_word[:-1]]
+    before = np.full(n, -1)
+    before[by_word[1:][again]] = by_word[:-1][again]
+    # A word is counted in the windows that hold it and begin after the one before it.
+    counted = np.minimum(at, n - window) - np.maximum(before, at - window)
+    return int(np.maximum(counted, 0).sum()) / ((n - window + 1) * window)
 
 
 #: The base rules decide ``base_failed``; a text that breaks one runs no other rule.

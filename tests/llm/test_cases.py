@@ -201,6 +201,19 @@ def test_quality_rules(spark, docs, nothing):
     assert verdict(one) == verdict(two)
 
 
+def test_distinct_words_do_not_depend_on_length():
+    rng = np.random.default_rng(9)
+    for n, window in ((7, 3), (40, 11), (40, 40), (12, 50)):
+        words = [f"w{i}" for i in rng.integers(0, 9, n)]
+        w = min(n, window)
+        shares = [len(set(words[i : i + w])) / w for i in range(n - w + 1)]
+        assert quality_rules._distinct_share(quality_rules.Text(" ".join(words)), window) == pytest.approx(sum(shares) / len(shares))
+    rule = next(r for r in quality_rules.RULES if r.name == "few_distinct_words")
+    text = lambda n, different: quality_rules.Text(" ".join(f"w{i}" for i in rng.integers(0, different, n)))
+    assert not rule.broken(text(2000, 2000)) and not rule.broken(text(60_000, 2000))
+    assert rule.broken(text(400, 10)) and rule.broken(text(60_000, 10))
+
+
 def test_cascade_puts_the_useful_rule_first(spark):
     frame = spark.createDataFrame([(i, f"### ### {i}") for i in range(50)], "doc_id bigint, text string")
     order = quality_rules.cascade_order(frame, "text")
