@@ -41,7 +41,6 @@ class Rule:
 class TreeSettings:
     max_children: int = 20
     min_share: float = 0.02
-    max_depth: int = 8
     smoothing: float = 5.0
     z: float = 1.96
     block_from: float = 0.7
@@ -75,20 +74,20 @@ def shape(path: Column) -> Column:
 def _generalised(rows: DataFrame, settings: TreeSettings) -> DataFrame:
     """Add ``template`` (array): rare segments below a node with many children are wildcards."""
     segments = F.filter(F.split("shaped", "/", -1), lambda s: s != "")
-    deep = F.size(segments) > settings.max_depth
-    todo = F.when(deep, F.concat(F.slice(segments, 1, settings.max_depth), F.array(F.lit("**")))).otherwise(segments)
-    rows = stored(rows.withColumns({"todo": todo, "template": F.array().cast("array<string>")}), "templates")
-    depth = rows.agg(F.max(F.size("todo"))).first()[0] or 0
-    for _ in range(min(depth, settings.max_depth)):
+    rows = stored(rows.withColumns({"todo": segments, "template": F.array().cast("array<string>")}), "templates")
+    while rows.agg(F.max(F.size("todo"))).first()[0]:
         here = rows.withColumn("seg", F.try_element_at("todo", F.lit(1)))
-        child = here.where("seg IS NOT NULL").groupBy("host", "template", "seg").agg(F.sum("n").alias("c"))
-        node = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("c").alias("total"))
+        child = here.where("seg IS NOT NULL").groupBy("host", "template", "seg").agg(F.sum("n").alias("c"), F.count("*").alias("k"))
+        node = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("c").alias("total"), F.sum("k").alias("paths"))
         few = (F.col("children") <= settings.max_children) | (F.col("c") >= settings.min_share * F.col("total"))
-        literal = child.join(node, ["host", "template"]).where(few).select("host", "template", "seg", F.lit(True).alias("literal"))
+        literal = child.join(node, ["host", "template"]).where(few).select("host", "template", "seg", F.lit(True).alias("literal"), (F.col("paths") == 1).alias("alone"))
         step = F.when(F.col("seg").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.when(F.col("literal"), F.col("seg")).otherwise("*")))
-        grown = here.join(literal, ["host", "template", "seg"], "left").withColumns({"template": F.concat("template", step), "todo": F.slice("todo", 2, 1 << 20)})
-        rows = stored(grown.drop("seg", "literal"), "templates")
-    return rows.withColumn("template", F.concat("template", "todo")).drop("todo")
+        # Below a node with one path every segment is an only child, so the rest is literal, however deep.
+        step = F.when(F.col("alone"), F.col("todo")).otherwise(step)
+        rest = F.when(F.col("alone"), F.array().cast("array<string>")).otherwise(F.slice("todo", 2, 1 << 20))
+        grown = here.join(literal, ["host", "template", "seg"], "left").withColumns({"template": F.concat("template", step), "todo": rest})
+        rows = stored(grown.drop("seg", "literal", "alone"), "templates")
+    return rows.drop("todo")
 
 
 def _merged(leaves: DataFrame, settings: TreeSettings, prior: float) -> DataFrame:
@@ -99,7 +98,9 @@ def _merged(leaves: DataFrame, settings: TreeSettings, prior: float) -> DataFram
     """
     from pyspark.sql import Window
 
-    depth = leaves.agg(F.max(F.size("template"))).first()[0] or 0
+    # Only templates of one length differ in one segment, so deeper than that there is nothing to merge.
+    alike = leaves.groupBy("host", F.size("template").alias("size")).agg(F.min("template").alias("a"), F.max("template").alias("z")).where("a <> z")
+    depth = alike.agg(F.max("size")).first()[0] or 0
     rows = leaves.withColumn("merged", F.col("template"))
     s = settings.smoothing
     share = (F.col("b") + s * prior) / (F.col("l") + s)
@@ -118,7 +119,8 @@ def _merged(leaves: DataFrame, settings: TreeSettings, prior: float) -> DataFram
         rows = rows.join(named, ["host", "rest", "seg"], "left")
         there = F.concat(F.slice("merged", 1, at), F.array("name"), F.slice("merged", at + 2, 1 << 20))
         rows = rows.withColumn("merged", F.when(F.col("name").isNotNull(), there).otherwise(F.col("merged"))).drop("rest", "seg", "name")
-    return stored(rows, "templates")
+        rows = stored(rows, "templates")  # each level reads the one before twice
+    return rows
 
 
 def filter_urls(df: DataFrame, rules: list[Rule], url: str = "url", settings: TreeSettings = TreeSettings()) -> DataFrame:

@@ -276,6 +276,19 @@ def test_url_tree_learns_from_labels(spark):
     assert {(r.template, r.verdict) for r in got if r.path.startswith("/good")} == {("/good/*", "allow")}
 
 
+def test_url_tree_reaches_the_deepest_segment(spark):
+    """Branches that differ at the tenth segment only have templates and verdicts of their own; a lone path of 300 segments takes no rounds of its own."""
+    deep = "/a/b/c/d/e/f/g/h/i"
+    urls = [f"http://s.net{deep}/{kind}/{chr(97 + i % 26)}{chr(97 + i // 26)}" for kind in ("bad", "good") for i in range(60)] + ["http://t.net" + "/x" * 300]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    rules = [url_templates.Rule("block", "s.net", f"{deep}/bad/{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(45)]
+    rules += [url_templates.Rule("allow", "s.net", f"{deep}/good/{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(45)]
+    got = {r.page_id: (r.template, r.verdict) for r in url_templates.filter_urls(frame, rules).collect()}
+    assert {got[i] for i in range(60)} == {(f"{deep}/bad/*", "block")}
+    assert {got[i] for i in range(60, 120)} == {(f"{deep}/good/*", "allow")}
+    assert got[120][0] == "/x" * 300
+
+
 def test_warc(spark, monkeypatch):
     pages = [(3, "http://b.org/x y", "same"), (1, "http://a.org/", "same"), (2, None, None), (4, "http://a.org/", ""), (None, "http://a.org/", "same"), (5, "plain", "a\r\n\r\nWARC/1.1\r\nb\u00e9"), (1, "http://a.org/", "same")]
     frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
