@@ -131,3 +131,35 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 
     rows = extract(table(spark, folder, "pages", "page_id", "url", "html"))
     return rows.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    from .periodic_runs import find_runs
+
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    # A tenth of the texts, told by their id's checksum, repeat their tail with a period of its own.
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.withColumn("g", F.floor(checksum / 10)).withColumn(
+        "words", F.when(checksum % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    )
+    placed = chosen.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), 1, F.col("n") - F.col("a"))
+    altered = F.array_join(F.concat(F.slice("words", 1, F.col("a")), tail), " ")
+    rows = find_runs(placed.select("doc_id", F.when(F.col("a").isNotNull(), altered).otherwise(F.col("text")).alias("text")), min_length=6, min_exponent=4)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    rows = rows.select("doc_id", "runs", "collapsed", longest.alias("longest"))
+    length, start, period = (F.col(f"longest.col{i}") for i in (1, 2, 3))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-start).alias("start"),
+        length.alias("length"),
+        (-period).alias("period"),
+        F.floor(1000 * length / -period).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
