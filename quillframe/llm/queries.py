@@ -163,3 +163,50 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op12_source_mixing",
+    r"""
+    WITH docs AS (
+        SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, 'null')) AS key,
+            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+        FROM documents
+    ), numbered AS (
+        SELECT source, sum(size)::BIGINT AS source_size, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+        FROM docs GROUP BY source
+    ), filled AS (
+        SELECT *, sum(2 * source_size) OVER f - 2 * source_size AS limits, sum(weight) OVER () - sum(weight) OVER f + weight AS left_weight,
+            150 * sum(source_size) OVER () AS budget
+        FROM numbered
+        WINDOW f AS (ORDER BY (2 * source_size)::DOUBLE / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)
+    ), stopped AS (
+        SELECT *, 100 * (limits * weight + 2 * source_size * left_weight) <= budget * weight AS stopped FROM filled
+    ), sources AS (
+        SELECT source, source_size, CASE WHEN stopped THEN (2 * source_size)::DOUBLE
+            ELSE ((budget - 100 * coalesce(sum(2 * source_size) FILTER (WHERE stopped) OVER (), 0)) * weight)::DOUBLE
+                / (100.0 * sum(weight) FILTER (WHERE NOT stopped) OVER ())::DOUBLE END AS target
+        FROM stopped
+    ), placed AS (
+        SELECT d.*, s.source_size, s.target, greatest(1, floor(s.target / 1000)::BIGINT) AS packet,
+            (sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS first
+        FROM docs d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source
+    ), turns AS (
+        SELECT *, first + turn * source_size AS queued, least(size, ceil(target)::BIGINT + 2 * packet - first - turn * source_size) AS reach
+        FROM placed, (VALUES (0), (1)) t(turn)
+    ), packets AS (
+        SELECT *, unnest(range(0, reach, packet)) AS off FROM turns WHERE reach > 0
+    ), sized AS (
+        SELECT *, least(packet, size - off) AS words, (queued + off + least(packet, size - off))::DOUBLE / target AS finish FROM packets
+    ), sorted AS (
+        SELECT *, sum(words) OVER (ORDER BY finish, key, source NULLS LAST, turn, off ROWS UNBOUNDED PRECEDING) - words AS before FROM sized
+    ), taken AS (
+        SELECT doc_id, sum(greatest(0, least(words, (SELECT sum(size) * 150 // 100 FROM docs) - before)))::BIGINT AS taken FROM sorted GROUP BY doc_id
+    )
+    SELECT p.doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM placed p LEFT JOIN taken t ON p.doc_id = t.doc_id
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(table(spark, folder, "documents", "doc_id", "source", "text"))
