@@ -210,3 +210,48 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     from .mixing import mix
 
     return mix(table(spark, folder, "documents", "doc_id", "source", "text"))
+
+
+@query(
+    "op13_phrase_collocations",
+    r"""
+    WITH texts AS (
+        SELECT coalesce(lang, 'und') AS lang,
+            string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+        FROM documents
+    ), pieces AS (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM texts)
+    ), grams AS (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4)) s(k) WHERE len(w) >= k)
+    ), counted AS MATERIALIZED (
+        SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*)::HUGEINT AS f FROM grams GROUP BY lang, k, phrase
+    ), totals AS (
+        SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang
+    ), candidates AS MATERIALIZED (
+        SELECT * FROM counted WHERE k > 1 AND f >= 30
+    ), split AS MATERIALIZED (
+        SELECT lang, phrase, f, cut, array_to_string(w[1:cut], ' ') AS left_part, array_to_string(w[cut + 1:k], ' ') AS right_part
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)
+    ), cuts AS (
+        SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, cut, 2000000 * c.f // (l.f + r.f) AS score
+        FROM split c
+        JOIN counted l ON l.lang = c.lang AND l.phrase = left_part
+        JOIN counted r ON r.lang = c.lang AND r.phrase = right_part
+    ), weakest AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM cuts
+    ), covered AS (
+        SELECT lang, array_to_string(w[i:i + j - 1], ' ') AS phrase, max(f) AS longer
+        FROM (SELECT *, unnest(range(1, k - j + 2)) AS i FROM candidates, (VALUES (2), (3)) s(j) WHERE k > j) GROUP BY ALL
+    ), ranked AS (
+        SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+        FROM weakest w LEFT JOIN covered v ON w.lang = v.lang AND w.phrase = v.phrase
+        WHERE nth = 1 AND (longer IS NULL OR 100 * longer < 80 * a)
+    )
+    SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    from .phrase_mining import top_phrases
+
+    return top_phrases(table(spark, folder, "documents", "lang", "text"))
