@@ -37,6 +37,8 @@ PIECES = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"." * 9 + b" ")
 #: Bits of a length's bitmap: 8 MB whatever the tables hold.
 BITMAP_BITS = 26
 BUCKET_BITS = 40
+#: Bytes of text in a block; a task holds a few blocks' words as Python objects.
+BLOCK_BYTES = 2 << 20
 #: Bytes of candidate phrases in one trie.
 TRIE_BYTES = 32 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -67,7 +69,7 @@ def corpus(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
 
     def number(batches):
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", BLOCK_BYTES):
                 places: dict[str, list[bytes]] = {}
                 for name, value in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                     tokens = places.setdefault(name, [b"."])
@@ -108,7 +110,7 @@ def _phrase_hashes(word: np.ndarray, size: int) -> np.ndarray:
     return (found ^ (found >> np.uint64(32))) * ODD
 
 
-def _possible(hashes: np.ndarray, codes: np.ndarray, size: int, bitmap: np.ndarray | None) -> np.ndarray:
+def _possible(hashes: np.ndarray, codes: np.ndarray, size: int, bitmap: np.ndarray) -> np.ndarray:
     """Places of ``size`` words inside one piece whose two shorter phrases the bitmap lets pass."""
     n = len(codes) - size + 1
     if n <= 0:
@@ -118,10 +120,8 @@ def _possible(hashes: np.ndarray, codes: np.ndarray, size: int, bitmap: np.ndarr
     for j in range(1, size):
         ok &= words[j : j + n]
     at = np.flatnonzero(ok)
-    if bitmap is not None:
-        passing = _in_bitmap(bitmap, _phrase_hashes(hashes, size - 1))
-        at = at[passing[at] & passing[at + 1]]
-    return at
+    passing = _in_bitmap(bitmap, _phrase_hashes(hashes, size - 1))
+    return at[passing[at] & passing[at + 1]]
 
 
 def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -129,23 +129,37 @@ def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
+def _bitmap(spark: SparkSession, buckets: DataFrame):
+    """Broadcast bitmap of the buckets in column ``bucket``; at most 2^(BITMAP_BITS - 6) rows of 64 bits come to the driver."""
+    slots = buckets.select(F.shiftright("bucket", BUCKET_BITS - BITMAP_BITS).alias("slot"))
+    bits = slots.selectExpr("shiftright(slot, 6) AS at", "shiftleft(1L, CAST(slot % 64 AS INT)) AS bit").groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+    bitmap[bits.column("at").to_numpy()] = bits.column("bits").to_numpy().view(np.uint64)
+    return spark.sparkContext.broadcast(bitmap)
+
+
+def word_bitmap(words: DataFrame):
+    """Bitmap of frequent words, from their hashes."""
+
+    def bucket(batches):
+        for batch in batches:
+            hashes = _phrase_hashes(batch.column("hash").to_numpy().view(np.uint64), 1)
+            yield pa.RecordBatch.from_arrays([pa.array((hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))], ["bucket"])
+
+    return _bitmap(words.sparkSession, words.select("hash").mapInArrow(bucket, "bucket bigint"))
+
+
 def bucket_bitmap(texts: DataFrame, size: int, shorter, min_count: int):
-    """Broadcast bitmap of the buckets that hold at least ``min_count`` places with a possible phrase of ``size`` words."""
+    """Bitmap of the buckets that hold at least ``min_count`` places with a possible phrase of ``size`` words."""
 
     def count(batches):
-        known = shorter.value if shorter is not None else None
         for _, _, hashes, codes in _blocks(batches):
-            at = _possible(hashes, codes, size, known)
+            at = _possible(hashes, codes, size, shorter.value)
             buckets, n = np.unique(_phrase_hashes(hashes, size)[at] >> np.uint64(64 - BUCKET_BITS), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int64)), pa.array(n.astype(np.int64))], ["bucket", "n"])
 
-    full = texts.select("lang", "words", "hashes", "codes").mapInArrow(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    slots = full.select(F.shiftright("bucket", BUCKET_BITS - BITMAP_BITS).alias("slot"))
-    # At most 2^(BITMAP_BITS - 6) rows of 64 bits each come to the driver.
-    bits = slots.selectExpr("shiftright(slot, 6) AS at", "shiftleft(1L, CAST(slot % 64 AS INT)) AS bit").groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    bitmap[bits.column("at").to_numpy()] = bits.column("bits").to_numpy().view(np.uint64)
-    return texts.sparkSession.sparkContext.broadcast(bitmap)
+    counted = texts.select("lang", "words", "hashes", "codes").mapInArrow(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return _bitmap(texts.sparkSession, counted.where(F.col("n") >= min_count))
 
 
 def candidates(texts: DataFrame, size: int, shorter, passing, frequent: DataFrame) -> DataFrame:
@@ -281,9 +295,9 @@ def count_phrases(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
 def frequent_phrases(texts: DataFrame, settings: PhraseSettings = PhraseSettings()) -> DataFrame:
     """(lang, phrase, size, n) of all words and phrases found at least ``min_count`` times."""
     words = word_counts(texts).where(F.col("n") >= settings.min_count)
-    found = stored(words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "n"), "phrase-words")
-    shorter = bucket_bitmap(texts, 1, None, settings.min_count)
-    level = found
+    words = stored(words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "n", "hash"), "phrase-words")
+    shorter = word_bitmap(words)
+    level = found = words.drop("hash")
     for size in range(2, settings.longest + 1):
         passing = bucket_bitmap(texts, size, shorter, settings.min_count)
         counted = count_phrases(texts, candidates(texts, size, shorter, passing, level), size)
@@ -295,9 +309,9 @@ def frequent_phrases(texts: DataFrame, settings: PhraseSettings = PhraseSettings
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(lang, word, n) of all words; one row a word and block of texts is shuffled."""
-    each = texts.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).where(F.col("w.words") != ".")
-    return each.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n"))
+    """(lang, word, n, hash) of all words; one row a word and block of texts is shuffled."""
+    each = texts.select("lang", F.explode(F.arrays_zip("words", "counts", "hashes")).alias("w")).where(F.col("w.words") != ".")
+    return each.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n"), F.min("w.hashes").alias("hash"))
 
 
 def _whole(column: Column | str) -> Column:

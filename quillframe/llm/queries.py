@@ -149,9 +149,9 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), 1, F.col("n") - F.col("a"))
     altered = F.array_join(F.concat(F.slice("words", 1, F.col("a")), tail), " ")
     rows = find_runs(placed.select("doc_id", F.when(F.col("a").isNotNull(), altered).otherwise(F.col("text")).alias("text")), min_length=6, min_exponent=4)
-    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
     rows = rows.select("doc_id", "runs", "collapsed", longest.alias("longest"))
-    length, start, period = (F.col(f"longest.col{i}") for i in (1, 2, 3))
+    length, start, period = (F.col(f"longest.{part}") for part in ("length", "start", "period"))
     listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
     return rows.select(
         "doc_id",

@@ -23,7 +23,7 @@ def result(spark, name, key, *columns):
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_op2(spark):
@@ -79,6 +79,18 @@ def test_op10(spark):
     assert sum(v[6] for v in good) >= 0.95 * len(good)
 
 
+def test_op11(spark):
+    want = {k: brute.run_digest(k, t) for k, t in rows("documents", "doc_id", "text")}
+    columns = ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    assert result(spark, "op11_periodic_runs", "doc_id", *columns) == want
+    assert sum(v[0] > 0 for v in want.values()) >= 15
+
+
+@pytest.mark.parametrize("name", ["op12_source_mixing", "op13_phrase_collocations"])
+def test_sql(spark, name):
+    assert difference(entry.queries()[name](spark, FOLDER), FOLDER, entry.oracle_sql()[name]) is None
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage against a plain version on what the stage before it kept."""
     import corpus_pipeline as p
