@@ -20,6 +20,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -33,8 +34,12 @@ SEPARATOR = "\r\n\r\n"
 BLOCK_LINES = 3000
 #: Directory rows that may be sent to every task; beyond, blocks are found by a join.
 DIRECTORY_ROWS = 100_000
-#: Records a file holds at most, which bounds what the index scan reads at once.
+#: Records a file holds at most, so that the index scan has files for all tasks; it streams them, whatever their size.
 FILE_RECORDS = 2000
+#: Payloads that occur more than once and may be sent to every task, a hundred bytes each; beyond, bodies meet them in a shuffle.
+REPEATED_PAYLOADS = 500_000
+#: Bytes the index scan reads at a time.
+CHUNK = 1 << 20
 
 
 def base32(hexed: Column) -> Column:
@@ -52,9 +57,11 @@ def write_archives(df: DataFrame, path: str, id_col: str, url: str, payload: str
     body = F.coalesce(F.col(f"`{payload}`"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{url}`").alias("url"), body.alias("body"), F.sha1(body.cast("binary")).alias("digest"))
     sized = rows.withColumn("bytes", F.octet_length("body").cast("bigint"))
-    # One small row per payload; the hottest payload's pages are split by the adaptive join.
-    first = sized.where(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.min("id").alias("first"))
-    joined = sized.join(first.hint("shuffle_hash"), "digest", "left")
+    # Payloads with one page are responses; only the others are looked up, so bodies are not shuffled for their sake.
+    many = sized.where(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    many = stored(many, "payloads")
+    # The hottest payload's pages are split by the adaptive join where it has to shuffle.
+    joined = sized.join(F.broadcast(many) if many.count() <= REPEATED_PAYLOADS else many.hint("shuffle_hash"), "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     urn = lambda c: F.concat(F.lit("<urn:capture:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
@@ -80,10 +87,10 @@ def write_archives(df: DataFrame, path: str, id_col: str, url: str, payload: str
 
 def url_key(url: str | None) -> str:
     """Reversed host, then the rest: com,example,www)/path?query; control characters and blanks are escaped."""
-    host, _, rest = (url or "").partition("://")[2].partition("/")
+    host, rest = re.match(r"([^/?#]*)(.*)", (url or "").partition("://")[2], re.DOTALL).groups()
     if not host:
         return quote(url or "", safe="!#$&'()*+,/:;=?@[]~%")
-    return ",".join(reversed(host.lower().split("."))) + ")/" + quote(rest, safe="!#$&'()*+,/:;=?@[]~%")
+    return ",".join(reversed(host.lower().split("."))) + ")" + quote(rest if rest.startswith("/") else "/" + rest, safe="!#$&'()*+,/:;=?@[]~%")
 
 
 def _header(raw: bytes) -> dict[str, str]:
@@ -91,17 +98,30 @@ def _header(raw: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip(" \t") for k, _, v in (x.partition(":") for x in raw.decode("utf-8", "replace").split("\r\n")[1:])}
 
 
-def _captures(content: bytes) -> Iterator[tuple[str, int, int]]:
-    """(key, offset, length) of every record of a file."""
-    at = 0
+def _captures(stream) -> Iterator[tuple[str, int, int]]:
+    """(key, offset, length) of every record of a stream; bodies are skipped, a chunk is held at a time."""
     mark = SEPARATOR.encode()
-    while at < len(content):
-        end = content.index(mark, at)
-        head = _header(content[at:end])
+    held, base, at = stream.read(CHUNK), 0, 0
+    while True:
+        if at > len(held):
+            # The body went on beyond the chunk.
+            base += at
+            stream.seek(base)
+            held, at = stream.read(CHUNK), 0
+        while (end := held.find(mark, at)) < 0:
+            more = stream.read(CHUNK)
+            if not more:
+                if held[at:]:
+                    raise ValueError(f"no record header ends after byte {base + at}")
+                return
+            held, base, at = held[at:] + more, base + at, 0
+        head = _header(held[at:end])
         stop = end + len(mark) + int(head["content-length"])
-        if content[stop : stop + len(mark)] != mark:
-            raise ValueError(f"no record ends at byte {stop}")
-        yield url_key(head.get("warc-target-uri")), at, stop - at
+        while stop + len(mark) > len(held) and stop - len(held) < CHUNK and (more := stream.read(CHUNK)):
+            held += more
+        if stop <= len(held) and held[stop : stop + len(mark)] != mark:
+            raise ValueError(f"no record ends at byte {base + stop}")
+        yield url_key(head.get("warc-target-uri")), base + at, stop - at
         at = stop + len(mark)
 
 
@@ -116,13 +136,16 @@ class CaptureIndex:
 def build_index(spark: SparkSession, path: str) -> CaptureIndex:
     """Scan the archives of a folder and write the index to the shared folder."""
     arrow_bounded(spark)
-    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
+    # Without its content column the file source gives names only.
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path")
 
     def scan(batches):
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                rows = list(_captures(content.as_py()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([name] * len(rows)), *(pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2))], ["key", "file", "offset", "length"])
+            for name in batch.column("path").to_pylist():
+                with _open(name) as stream:
+                    records = _captures(stream)
+                    while rows := list(islice(records, 10_000)):
+                        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([name] * len(rows)), *(pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2))], ["key", "file", "offset", "length"])
 
     captures = stored(files.mapInArrow(scan, "key string, file string, offset bigint, length bigint"), "captures")
     # Ranges are cut by place as well, so that the captures of one url may fill several partitions.
@@ -210,18 +233,18 @@ def lookup(index: CaptureIndex, urls: DataFrame, with_payload: bool = False) ->
             yield pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in batch.column(0).to_pylist()], pa.string())], ["key"])
 
     keys = urls.mapInArrow(to_key, "key string").distinct()
-    # A block has at most BLOCK_LINES different keys, so its list of asked keys is bounded.
-    asked = _locate(keys, index.directory).groupBy("block").agg(F.collect_set("key").alias("keys"))
-    blocks = index.blocks.join(asked, "block").select("keys", "lines")
+    asked = _locate(keys, index.directory)
+    blocks = index.blocks.join(asked.select("block").distinct(), "block", "left_semi").select("lines")
 
-    def pick(batches):
+    def unpack(batches):
         for batch in batches:
-            for keys, lines in zip(batch.column("keys").to_pylist(), batch.column("lines").to_pylist()):
-                keys = set(keys)
-                rows = [r for r in (x.split("\t") for x in zlib.decompress(lines).decode().split("\n")) if r[0] in keys]
-                yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows], pa.string()), *(pa.array([int(r[i]) for r in rows], pa.int64()) for i in (2, 3))], ["file", "offset", "length"])
+            for lines in batch.column("lines").to_pylist():
+                rows = [x.split("\t") for x in zlib.decompress(lines).decode().split("\n")]
+                yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)), *(pa.array([int(r[i]) for r in rows], pa.int64()) for i in (2, 3))], ["key", "file", "offset", "length"])
 
-    places = blocks.mapInArrow(pick, "file string, offset bigint, length bigint")
+    # Lines of the opened blocks meet the asked keys as rows: any number of keys may fall into one block.
+    lines = blocks.mapInArrow(unpack, "key string, file string, offset bigint, length bigint")
+    places = lines.join(asked.select("key").distinct(), "key", "left_semi").select("file", "offset", "length")
     ordered = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
 
     def read(batches):
