@@ -19,11 +19,14 @@ from __future__ import annotations
 import json
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from .common import BLANKS, lower_ascii, renamed
+from .common import BLANKS, arrow_bounded, lower_ascii, renamed, slices
 
 KEY = ["h1", "h2"]
 RUN_SCHEMA = "h1 bigint, h2 bigint, n_docs bigint, keeper bigint, known boolean"
@@ -44,13 +47,39 @@ def line_array(text: Column, min_chars: int) -> Column:
     """One struct (h1, h2) per line, null where the key is shorter than ``min_chars`` code points."""
 
     def one(line):
-        trimmed = F.btrim(line, F.lit(BLANKS))
-        h1, h2 = hashes(lower_ascii(trimmed))
-        return F.when(F.char_length(trimmed) >= min_chars, F.struct(h1.alias("h1"), h2.alias("h2")))
+        # A line has at least as many bytes as its key has code points.
+        long = F.when(F.octet_length(line) >= min_chars, F.btrim(line, F.lit(BLANKS)))
+        h1, h2 = hashes(lower_ascii(long))
+        return F.when(F.char_length(long) >= min_chars, F.struct(h1.alias("h1"), h2.alias("h2")))
 
     return F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), one)
 
 
+def document_keys(df: DataFrame, min_chars: int) -> DataFrame:
+    """(doc, keys) of documents with long lines: the distinct hashes that ``line_array`` gives for the lines, worked out on batches of bytes."""
+    blanks = BLANKS.encode()
+    salt = xxhash.xxh64_intdigest(b"line", 42)
+
+    def keys(text: bytes) -> set[bytes]:
+        long = (line.strip(blanks) for line in text.split(b"\n") if len(line) >= min_chars)
+        return {k.lower() for k in long if len(k) >= min_chars and (k.isascii() or len(k.decode()) >= min_chars)}
+
+    def work(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = [keys(t.as_buffer().to_pybytes()) if t.is_valid else () for t in part.column("text")]
+                sizes = np.array([len(f) for f in found], np.int32)
+                flat = [k for f in found for k in f]
+                # Spark's hash of two columns seeds the second with the hash of the first.
+                halves = [np.fromiter((xxhash.xxh64_intdigest(k, seed) for k in flat), np.uint64, len(flat)).view(np.int64) for seed in (42, salt)]
+                pairs = pa.StructArray.from_arrays([pa.array(h) for h in halves], KEY)
+                lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum(sizes)].astype(np.int32), pairs)
+                some = pa.array(sizes > 0)
+                yield pa.RecordBatch.from_arrays([part.column("doc").filter(some), lists.filter(some)], ["doc", "keys"])
+
+    return df.mapInArrow(work, "doc bigint, keys array<struct<h1:bigint,h2:bigint>>")
+
+
 class LineRuns:
     """The runs of one folder. ``buckets`` is the number of files of a run, by default as many as a shuffle has partitions."""
 
@@ -143,8 +172,8 @@ def dedupe_lines(
     spark = df.sparkSession
     full, doc = F.col(f"`{text}`"), F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(NO_DOC))
     lines_path = fresh_path(spark, "line-keys")
-    keyed = df.select(doc.alias("doc"), F.array_compact(F.array_distinct(line_array(full, min_chars))).alias("keys"))
-    keyed.where(F.size("keys") > 0).write.parquet(lines_path)
+    arrow_bounded(spark)
+    document_keys(df.select(doc.alias("doc"), full.alias("text")), min_chars).write.parquet(lines_path)
     lines = spark.read.parquet(lines_path)
     # Cuts of the id range decide the work of a batch, never the result.
     cuts = sorted(set(lines.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01))) if batches > 1 else []
