@@ -134,11 +134,13 @@ RULES = (
 def cascade_order(df: DataFrame, text: str, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2000, seed: int = 7) -> list[Rule]:
     """Rules by rejection per second on a sample, greatest first; equal ones by name.
 
-    The sample is the ``sample_rows`` texts with the smallest hash. A rule's
-    cost is what it takes on a text of which nothing has been worked out yet.
+    Every row is in the sample with the same chance, ``sample_rows`` of them on
+    average, and is measured in the task that reads it: no text is moved. A rule's cost is
+    what it takes on a text of which nothing has been worked out yet.
     """
     full = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    sample = df.select(full.alias("text")).orderBy(F.xxhash64(F.lit(seed), "text")).limit(sample_rows).repartition(8)
+    share = min(1.0, sample_rows / max(1, df.count()))
+    sample = df.select(full.alias("text")).sample(share, seed) if share < 1 else df.select(full.alias("text"))
 
     def measure(batches):
         for batch in batches:
