@@ -178,21 +178,26 @@ def _exact(phrase, size, postings) -> Iterator[tuple[int, int]]:
         yield held[1:]
 
 
-def _near(phrase, slop, postings) -> Iterator[tuple[int, int]]:
-    """(first, last) around an occurrence of the rarest term with every other term at most ``slop`` words away."""
+def _near(phrase, slop, postings, begin) -> Iterator[tuple[int, int]]:
+    """(first, last) around an occurrence of the rarest term with every other term at most ``slop`` words away in its document."""
     terms = sorted(set(phrase), key=lambda w: (len(postings.get(w, ())), w))
     if any(w not in postings for w in terms):
         return
     here = postings[terms[0]]
     low, high = here.copy(), here.copy()
     alive = np.ones(len(here), bool)
+    # What lies in the neighbouring document is out of reach, however close.
+    document = np.searchsorted(begin, here, "right") - 1
+    least = np.maximum(begin[document], here - slop)
+    most = np.minimum(np.append(begin[1:], np.iinfo(np.int64).max)[document] - 1, here + slop)
     for w in terms[1:]:
         other = postings[w]
         place = np.searchsorted(other, here)
-        before = other[np.clip(place - 1, 0, len(other) - 1)]
-        after = other[np.clip(place, 0, len(other) - 1)]
-        closest = np.where(np.abs(here - before) <= np.abs(after - here), before, after)
-        alive &= np.abs(closest - here) <= slop
+        before = np.where(place > 0, other[np.maximum(place - 1, 0)], -1)
+        after = np.where(place < len(other), other[np.minimum(place, len(other) - 1)], np.iinfo(np.int64).max)
+        behind, ahead = before >= least, after <= most
+        closest = np.where(behind & (~ahead | (here - before <= after - here)), before, np.where(ahead, after, here))
+        alive &= behind | ahead
         low, high = np.minimum(low, closest), np.maximum(high, closest)
     for i in np.flatnonzero(alive):
         yield int(low[i]), int(high[i])
@@ -237,7 +242,7 @@ def _search_block(spark, index, block, window, slop):
         begin = np.asarray(right["starts"].iloc[0], np.int64) if len(right) else np.zeros(1, np.int64)
         rows = set()
         for item, phrase in block.items():
-            for first, last in _exact(phrase, window, postings) if slop is None else _near(phrase, slop, postings):
+            for first, last in _exact(phrase, window, postings) if slop is None else _near(phrase, slop, postings, begin):
                 row = int(np.searchsorted(begin, first, "right")) - 1
                 if slop is not None and row != int(np.searchsorted(begin, last, "right")) - 1:
                     continue
