@@ -128,3 +128,84 @@ def test_trie_is_exact():
     names = [None, *words]
     seen = Counter(" ".join(names[c] for c in codes[i : i + 3]) for i in range(4998) if codes[i : i + 3].all())
     assert got.tolist() == [seen[p] if lang == "en" else 0 for lang, p in phrases]
+
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def stage_rows(spark, name, docs, folder="/root/testdata/sf0.001"):
+    import corpus_pipeline as p
+
+    return sorted(((r.doc_id or -1, (r.text or "")[:30]) for r in dict(p.STAGES)[name](spark, docs, folder).collect()))
+
+
+def test_decontamination_drops_rows_not_ids(spark):
+    item = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").first().text
+    texts = [(None, item), (None, "clean one"), (7, item), (7, "clean two"), (8, None), (9, ""), (None, None)]
+    docs = spark.createDataFrame([(*t, "en", None, None) for t in texts], DOCS)
+    assert stage_rows(spark, "decontamination", docs) == [(-1, ""), (-1, "clean one"), (7, "clean two"), (8, ""), (9, "")]
+
+
+@pytest.mark.parametrize("name", ["quality_classifier", "line_dedup", "near_dedup", "decontamination", "bpe_encoding"])
+def test_stages_take_any_rows(spark, name):
+    import corpus_pipeline as p
+
+    stage = dict(p.STAGES)[name]
+    texts = [(None, "one two"), (None, None), (5, "x y z"), (5, "x y z"), (6, "long " * 40_000), (7, ""), (7, "other words here")]
+    docs = spark.createDataFrame([(*t, None, None, None) for t in texts], DOCS).withColumn("kept", F.lit("old")).withColumn("_row", F.lit("old"))
+    rows = stage(spark, docs, "/root/testdata/sf0.001")
+    if name == "bpe_encoding":
+        assert rows.count() == len(texts)
+    else:
+        assert rows.columns == p.COLUMNS
+        assert name == "quality_classifier" or rows.where("text LIKE 'long%'").count() == 1
+    assert stage(spark, docs.where("false"), "/root/testdata/sf0.001").count() == 0
+
+
+def test_proximity_stays_inside_documents(spark):
+    from quillframe.llm import phrase_index
+
+    rng = random.Random(5)
+    docs = ["w", "rare a a w"] + [" ".join(rng.choice("abcdw") for _ in range(rng.randint(0, 6))) for _ in range(200)]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string").coalesce(1)
+    index = phrase_index.build(frame)
+    for phrase in (["rare", "w"], ["a", "b"], ["c", "d", "w"]):
+        for slop in (1, 3):
+            found = {r.row for r in phrase_index.search(index, {"q": [w.encode() for w in phrase]}, 10, slop).collect()}
+            counts = Counter(w for d in docs for w in d.split())
+            rare = min(phrase, key=lambda w: (counts[w], w))
+            want = set()
+            for i, d in enumerate(docs):
+                words = d.split()
+                for at in [k for k, w in enumerate(words) if w == rare]:
+                    if all(w in words[max(0, at - slop) : at + slop + 1] for w in phrase):
+                        want.add(i)
+            assert found == want
+
+
+def test_archives_of_large_pages(spark, monkeypatch):
+    from quillframe.llm import warc_index
+    from quillframe.session import fresh_path
+
+    monkeypatch.setattr(warc_index, "CHUNK", 1000)
+    pages = [(i, f"http://h{i}.org?q={i}", "é" * (i * 700)) for i in range(9)] + [(20, "http://big.org/", "b" * 3_000_000), (21, "http://big.org/", "b" * 3_000_000)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("first", F.lit("old")).coalesce(1)
+    for limit in (500_000, 0):
+        monkeypatch.setattr(warc_index, "REPEATED_PAYLOADS", limit)
+        got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc_index.archive_and_read(frame).collect()}
+        assert got == {k: (len(h.encode()), "revisit" if k == 21 else "response", 20 if k == 21 else None) for k, _, h in pages}
+    path = fresh_path(spark, "warc")
+    warc_index.write_archives(frame, path, "page_id", "url", "html")
+    asked = spark.createDataFrame([(f"http://nothing{i}.org/",) for i in range(5000)] + [("http://h3.org?q=3",)], "url string")
+    assert [r.page_id for r in warc_index.lookup(warc_index.build_index(spark, path), asked).collect()] == [3]
+    assert warc_index.url_key("http://h3.org?q=3") == "org,h3)/?q=3"
+
+
+def test_arrow_line_keys_are_sparks(spark):
+    from quillframe.llm import line_runs
+
+    texts = ["Ab" * 30 + "\n\t  " + "É" * 41 + " \n" + "é" * 30, None, "", "\x0bq" * 30, "x" * 39]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc bigint, text string")
+    plain = frame.select("doc", F.array_compact(F.array_distinct(line_runs.line_array(F.col("text"), 40))).alias("keys")).where("size(keys) > 0")
+    tidy = lambda df: sorted((r.doc, sorted(map(tuple, r["keys"]))) for r in df.collect())
+    assert tidy(line_runs.document_keys(frame, 40)) == tidy(plain)
