@@ -2,7 +2,14 @@
 
 Every stage is written as Parquet to the shared folder and reread as the next
 one's documents. ``documents`` has doc_id, text, lang, source and n_chars; the
-first four stages return these columns, the last one the tokens.
+first four stages return these columns, the last one the tokens. Other columns
+are left out at the first stage.
+
+Nulls, ties and repeated rows, stage by stage: a null text is scored, split and
+tokenized as an empty one and kept where the stage keeps an empty text; rows
+with a null id are kept or dropped by their own text in every stage, and are no near-duplicate of anything.
+Rows that share an id are one document to line dedup and near-duplicate search, and
+rows of their own to the other stages. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -43,10 +50,15 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without ten consecutive words of a benchmark item."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = found.where("contaminated").select(F.col("doc_id").alias("g")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("g")), "left_anti").select(*COLUMNS)
+    """Documents without ten consecutive words of a benchmark item.
+
+    Rows are told apart by a number written beside them, never by doc_id: a contaminated
+    row takes no row along that has the same id or, like it, none.
+    """
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "numbered")
+    found = contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row")
+    gone = found.where("contaminated").select(F.col("doc_id").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
