@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import array_total
 from ..operators.partitions import spread
 from ..operators.udf import config_sweep
-from ..plans import models
+from ..plans import models, monotone
 from ..session import fresh_path, stored
 from .registry import query, table
 
@@ -326,6 +326,29 @@ def isotonic(spark, sf):
     return fitted.predict(lines.select("l_quantity").distinct()).select("l_quantity", F.round("prediction", 4).alias("fitted"))
 
 
+@query(
+    "isotonic_ranges",
+    """
+    WITH points AS (
+        SELECT date_diff('day', DATE '1970-01-01', o_orderdate) // 7 AS week, sum(o_totalprice)::DOUBLE AS y, count(*)::DOUBLE AS w,
+            row_number() OVER (ORDER BY date_diff('day', DATE '1970-01-01', o_orderdate) // 7) AS i
+        FROM orders GROUP BY 1
+    ), sums AS MATERIALIZED (SELECT *, sum(y) OVER (ORDER BY i) AS cy, sum(w) OVER (ORDER BY i) AS cw FROM points
+    ), blocks AS MATERIALIZED (
+        SELECT s.i AS s, t.i AS t, (t.cy - s.cy + s.y) / (t.cw - s.cw + s.w) AS level FROM sums s JOIN sums t ON s.i <= t.i
+    ), least AS (
+        SELECT s, t, min(level) OVER (PARTITION BY s ORDER BY t DESC ROWS UNBOUNDED PRECEDING) AS level FROM blocks
+    )
+    SELECT week, round(max(level), 4) AS fitted FROM sums JOIN least ON i = t GROUP BY week
+    """,
+)
+def isotonic_ranges(spark, sf):
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date"))
+    orders = table(spark, sf, "orders").select(F.floor(days / 7).alias("week"), "o_totalprice")
+    fit = monotone.fit_monotone(orders, "o_totalprice", "week")
+    return fit.fitted().select(F.col("feature").cast("bigint").alias("week"), F.round("fitted", 4).alias("fitted"))
+
+
 @query(
     "survival_aft",
     """
