@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from ..functions.arrays import array_total
 from ..operators.partitions import spread
+from ..operators.sweep import concurrent_sweep
 from ..operators.udf import config_sweep
 from ..plans import models, monotone
 from ..session import fresh_path, stored
@@ -531,3 +533,19 @@ def config_sweep_query(spark, sf):
     )
     whole = spread.agg(F.sum("squares")).first()[0]
     return found.select("k", "start", "seed", (F.col("measure") < whole).alias("below"), F.lit(all(costs)).alias("no_worse"))
+
+
+@query(
+    "concurrent_sweep",
+    """
+    SELECT CAST(penalty AS DOUBLE) AS penalty, round(sum(l_quantity * l_extendedprice) / (sum(l_quantity * l_quantity) + count(*) * penalty / stddev_pop(l_extendedprice)), 6) AS slope, NULL::VARCHAR AS error
+    FROM lineitem, (SELECT unnest([0, 1, 10, 100, 1000, 5000]) AS penalty) GROUP BY penalty
+    """,
+)
+def concurrent_sweep_query(spark, sf):
+    """Slopes through the origin of ridge regressions, which have a closed form; Spark counts the penalty in deviations of the label."""
+    lines = table(spark, sf, "lineitem").select(array_to_vector(F.array(F.col("l_quantity").cast("double"))).alias("features"), F.col("l_extendedprice").cast("double").alias("label"))
+    ridge = LinearRegression(fitIntercept=False, standardization=False, solver="normal", elasticNetParam=0.0)
+    configs = [{"regParam": float(p)} for p in (0, 1, 10, 100, 1000, 5000)]
+    found = concurrent_sweep(lines, ridge, configs, lambda m: float(m.coefficients[0]), "penalty double", {"regParam": "penalty"})
+    return found.select("penalty", F.round("measure", 6).alias("slope"), "error")

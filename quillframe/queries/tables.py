@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import array_total, to_array_column, to_vector_column
 from ..functions.tags import is_tag, make_tag, name_tag, parse_tag
+from ..plans.deltas import DeltaStore
 from ..plans.versions import VersionStore, catalog_names, latest_versions, orphan_tables, sweep_orphans
 from ..session import fresh_name, fresh_path
 from ..sinks.files import write_parquet, write_text
@@ -216,3 +217,28 @@ def version_tags(spark, sf):
         "event_id", F.when(F.col("event_type") == "error", F.col("event_type")).otherwise(make_tag("ts")).alias("tag")
     )
     return tagged.select("event_id", "tag", is_tag("tag").alias("valid"), F.unix_timestamp(parse_tag("tag")).alias("seconds"))
+
+
+@query(
+    "delta_versions",
+    """
+    WITH second AS (
+        SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderpriority
+        FROM orders WHERE o_orderkey % 7 <> 0
+    )
+    SELECT 'second' AS version, * FROM second
+    UNION ALL SELECT 'third', * FROM second WHERE o_orderpriority <> '1-URGENT'
+    UNION ALL SELECT 'third', o_orderkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 7 = 0
+    """,
+)
+def delta_versions(spark, sf):
+    """Three versions of the orders, the later two stored as differences and restored by replay."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    raised = F.when(F.col("o_orderkey") % 10 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    second = orders.where("o_orderkey % 7 <> 0").withColumn("o_totalprice", raised)
+    third = second.where("o_orderpriority <> '1-URGENT'").unionByName(orders.where("o_orderkey % 7 = 0"))
+    store = DeltaStore(spark, fresh_path(spark, "delta-store"))
+    for name, rows in (("first", orders), ("second", second), ("third", third)):
+        store.archive(rows, "orders", name)
+    restored = [store.restore("orders", name).select(F.lit(name).alias("version"), "*") for name in ("second", "third")]
+    return restored[0].unionByName(restored[1])
