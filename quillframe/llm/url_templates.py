@@ -1,7 +1,7 @@
 """URL filter: explicit rules first, then a per-host tree of path templates.
 
-Paths become templates: numbers and hashes by their shape, and, level by level,
-the segments of a node with many rare children by a wildcard. Templates of a
+Paths become templates: numbers and hashes by their shape, and, from the root
+down, the rare segments of a node with many children by a wildcard. Templates of a
 host that differ in one segment are merged where their labelled shares do not
 differ significantly. A template is blocked if its smoothed share of blocked
 labels is high enough; the shares of small templates are drawn to their host's,
@@ -11,13 +11,16 @@ Everything is aggregated per (host, shaped path) with map-side combining before
 the tree is built, so a host with a third of all pages is a few rows by then.
 
 A null url, or one without ``://``, has an empty host and path. Hosts have A-Z lower-cased.
+Repeated rows are counted each and judged alike; long and deep urls are used whole. Empty
+tables give empty tables, and input columns named like the results are replaced.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -71,23 +74,63 @@ def shape(path: Column) -> Column:
     return path
 
 
+def _chain(start: Column, segments: Column) -> Column:
+    """Digests of all beginnings of a segment array, the empty one first; each is made from the one before."""
+    return F.aggregate(segments, F.array(start), lambda made, s: F.concat(made, F.array(F.md5(F.concat(F.element_at(made, -1), s).cast("binary")))))
+
+
 def _generalised(rows: DataFrame, settings: TreeSettings) -> DataFrame:
-    """Add ``template`` (array): rare segments below a node with many children are wildcards."""
+    """Add ``template`` (array): rare segments below a node with many children are wildcards.
+
+    A node is known by the digest of the template that leads to it. Up to its first
+    rare segment a path's template is the path itself, so one aggregation over all
+    beginnings of all paths settles every path as far as that segment; the paths
+    with one go on below their wildcard. Rounds follow the greatest number of
+    wildcards in a template, not its length.
+    """
     segments = F.filter(F.split("shaped", "/", -1), lambda s: s != "")
-    rows = stored(rows.withColumns({"todo": segments, "template": F.array().cast("array<string>")}), "templates")
-    while rows.agg(F.max(F.size("todo"))).first()[0]:
-        here = rows.withColumn("seg", F.try_element_at("todo", F.lit(1)))
-        child = here.where("seg IS NOT NULL").groupBy("host", "template", "seg").agg(F.sum("n").alias("c"), F.count("*").alias("k"))
-        node = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("c").alias("total"), F.sum("k").alias("paths"))
-        few = (F.col("children") <= settings.max_children) | (F.col("c") >= settings.min_share * F.col("total"))
-        literal = child.join(node, ["host", "template"]).where(few).select("host", "template", "seg", F.lit(True).alias("literal"), (F.col("paths") == 1).alias("alone"))
-        step = F.when(F.col("seg").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.when(F.col("literal"), F.col("seg")).otherwise("*")))
-        # Below a node with one path every segment is an only child, so the rest is literal, however deep.
-        step = F.when(F.col("alone"), F.col("todo")).otherwise(step)
-        rest = F.when(F.col("alone"), F.array().cast("array<string>")).otherwise(F.slice("todo", 2, 1 << 20))
-        grown = here.join(literal, ["host", "template", "seg"], "left").withColumns({"template": F.concat("template", step), "todo": rest})
-        rows = stored(grown.drop("seg", "literal", "alone"), "templates")
-    return rows.drop("todo")
+    none = F.array().cast("array<string>")
+    rows = rows.withColumns({"_id": F.monotonically_increasing_id(), "todo": segments, "template": none, "_from": F.md5(F.lit("").cast("binary"))})
+    rows, settled = stored(rows, "templates"), []
+    columns = [c for c in rows.columns if c not in ("_id", "todo", "_from")]
+    while True:
+        nodes = rows.withColumn("nodes", _chain(F.col("_from"), F.col("todo")))
+        steps = nodes.select("_id", "host", "n", F.posexplode(F.arrays_zip(F.slice("nodes", 1, F.size("todo")).alias("node"), F.col("todo").alias("seg"))).alias("pos", "at"))
+        steps = steps.select("_id", "host", "n", "pos", "at.node", "at.seg")
+        child = steps.groupBy("host", "node", "seg").agg(F.sum("n").alias("c"))
+        wide = child.groupBy("host", "node").agg(F.count("*").alias("children"), F.sum("c").alias("total")).where(F.col("children") > settings.max_children)
+        rare = child.join(wide, ["host", "node"]).where(F.col("c") < settings.min_share * F.col("total")).select("host", "node", "seg")
+        first = steps.join(rare, ["host", "node", "seg"], "left_semi").groupBy("_id").agg(F.min("pos").alias("pos"))
+        grown = nodes.join(first, "_id", "left")
+        there = F.col("pos").isNotNull()
+        grown = grown.withColumns(
+            {
+                "template": F.concat("template", F.when(there, F.concat(F.slice("todo", F.lit(1), F.col("pos")), F.array(F.lit("*")))).otherwise(F.col("todo"))),
+                "todo": F.when(there, F.slice("todo", F.col("pos") + 2, F.lit(1 << 20))).otherwise(none),
+                # A wildcard is no segment that a url could hold, so it has a digest of its own.
+                "_from": F.when(there, F.md5(F.concat(F.get("nodes", "pos"), F.lit("\n*")).cast("binary"))).otherwise(F.col("_from")),
+            }
+        )
+        rows = stored(grown.drop("nodes", "pos"), "templates")
+        settled.append(rows.where(F.size("todo") == 0).select(*columns))
+        rows = rows.where(F.size("todo") > 0)
+        if rows.isEmpty():
+            break
+    return reduce(DataFrame.unionAll, settled)
+
+
+def _forks(rows: DataFrame) -> list[int]:
+    """Places at which templates of a host differ and are alike before and behind.
+
+    Merging joins names at one place only, of templates that all stay, so it makes no new such place.
+    """
+    start = F.md5(F.lit("").cast("binary"))
+    before, behind = _chain(start, F.col("template")), F.reverse(_chain(start, F.reverse("template")))
+    size = F.size("template")
+    each = F.arrays_zip(F.slice(before, F.lit(1), size).alias("before"), F.slice(behind, F.lit(2), size).alias("behind"), F.col("template").alias("seg"))
+    steps = rows.select("host", F.posexplode(each).alias("at", "step"))
+    forks = steps.groupBy("host", "at", "step.before", "step.behind").agg(F.min("step.seg").alias("low"), F.max("step.seg").alias("high")).where("low <> high")
+    return sorted(r["at"] for r in forks.select("at").distinct().collect())
 
 
 def _merged(leaves: DataFrame, settings: TreeSettings, prior: float) -> DataFrame:
@@ -95,16 +138,12 @@ def _merged(leaves: DataFrame, settings: TreeSettings, prior: float) -> DataFram
 
     Segments of a group are sorted by share and chained while neighbours do not
     differ at ``z``; a node has at most ``max_children`` + 1 / ``min_share`` + 1 of them.
+    Only places where templates fork are visited, so chains cost nothing.
     """
-    from pyspark.sql import Window
-
-    # Only templates of one length differ in one segment, so deeper than that there is nothing to merge.
-    alike = leaves.groupBy("host", F.size("template").alias("size")).agg(F.min("template").alias("a"), F.max("template").alias("z")).where("a <> z")
-    depth = alike.agg(F.max("size")).first()[0] or 0
     rows = leaves.withColumn("merged", F.col("template"))
     s = settings.smoothing
     share = (F.col("b") + s * prior) / (F.col("l") + s)
-    for at in range(depth):
+    for at in _forks(leaves):
         long = F.size("merged") > at
         rest = F.concat(F.slice("merged", 1, at), F.array(F.lit("\u0000")), F.slice("merged", at + 2, 1 << 20))
         rows = rows.withColumns({"rest": F.when(long, rest), "seg": F.when(long, F.get("merged", F.lit(at)))})
@@ -119,7 +158,7 @@ def _merged(leaves: DataFrame, settings: TreeSettings, prior: float) -> DataFram
         rows = rows.join(named, ["host", "rest", "seg"], "left")
         there = F.concat(F.slice("merged", 1, at), F.array("name"), F.slice("merged", at + 2, 1 << 20))
         rows = rows.withColumn("merged", F.when(F.col("name").isNotNull(), there).otherwise(F.col("merged"))).drop("rest", "seg", "name")
-        rows = stored(rows, "templates")  # each level reads the one before twice
+        rows = stored(rows, "templates")  # each place reads the one before twice
     return rows
 
 

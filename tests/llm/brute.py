@@ -218,3 +218,69 @@ def run_digest(key, text):
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     top = (*longest, 1000 * longest[1] // longest[2]) if longest else (None,) * 4
     return (len(found), *top, sha("".join(f"{s},{n},{q}\n" for s, n, q in found)), sha(" ".join(w for i, w in enumerate(words) if i not in gone)))
+
+
+def url_tree(pages, max_children=20, min_share=0.02, smoothing=5.0, z=1.96, block_from=0.7):
+    """page -> (template, verdict): per host a tree that is grown segment by segment, then merged place by place."""
+    hosts, asked = defaultdict(lambda: defaultdict(list)), {}
+    for key, url in pages:
+        host, path, rule = rule_of(url)
+        shaped = re.sub(r"(?<![0-9A-Za-z])[0-9a-fA-F-]*(?:[0-9][a-fA-F]|[a-fA-F][0-9])[0-9a-fA-F-]{6,}(?![0-9A-Za-z])", "<x>", path)
+        shaped = re.sub(r"[0-9]+", "<d>", shaped)
+        said = RULES[rule] if rule else None
+        hosts[host][shaped].append(said)
+        asked[key] = (host, shaped, said)
+    labels = [v for paths in hosts.values() for vs in paths.values() for v in vs if v]
+    prior = labels.count("block") / len(labels) if labels else 0.0
+
+    def grow(items):  # (segments, count, path) below one node
+        out, below = {}, defaultdict(list)
+        for segments, n, path in items:
+            if segments:
+                below[segments[0]].append((segments[1:], n, path))
+            else:
+                out[path] = []
+        total = sum(n for part in below.values() for _, n, _ in part)
+        nodes = defaultdict(list)
+        for seg, part in below.items():
+            literal = len(below) <= max_children or sum(n for _, n, _ in part) >= min_share * total
+            nodes[seg if literal else "*"] += part
+        for seg, part in nodes.items():
+            out.update((path, [seg, *rest]) for path, rest in grow(part).items())
+        return out
+
+    judged = {}
+    for host, paths in hosts.items():
+        template = grow([([s for s in p.split("/") if s], len(v), p) for p, v in paths.items()])
+        labelled = {p: sum(x is not None for x in v) for p, v in paths.items()}
+        blocked = {p: v.count("block") for p, v in paths.items()}
+        for at in range(max(map(len, template.values()))):
+            groups = defaultdict(lambda: defaultdict(list))
+            for p, t in template.items():
+                if len(t) > at:
+                    groups[*t[:at], None, *t[at + 1 :]][t[at]].append(p)
+            for segs in groups.values():
+                sums = []
+                for seg, ps in segs.items():
+                    n = sum(labelled[p] for p in ps)
+                    sums.append(((sum(blocked[p] for p in ps) + smoothing * prior) / (n + smoothing), seg, n))
+                chains = []
+                for share, seg, n in sorted(sums):
+                    if chains:
+                        p0, _, n0 = chains[-1][-1]
+                        spread = (share * (1 - share) / (n + smoothing) + p0 * (1 - p0) / (n0 + smoothing)) ** 0.5
+                    if chains and share - p0 <= z * spread:
+                        chains[-1].append((share, seg, n))
+                    else:
+                        chains.append([(share, seg, n)])
+                for chain in chains:
+                    name = "|".join(sorted(seg for _, seg, _ in chain))
+                    for _, seg, _ in chain:
+                        for p in segs[seg]:
+                            template[p] = [*template[p][:at], name, *template[p][at + 1 :]]
+        share = (sum(blocked.values()) + smoothing * prior) / (sum(labelled.values()) + smoothing)
+        for p, t in template.items():
+            same = [q for q, u in template.items() if u == t]
+            purity = (sum(blocked[q] for q in same) + smoothing * share) / (sum(labelled[q] for q in same) + smoothing)
+            judged[host, p] = ("/" + "/".join(t), "block" if purity >= block_from else "allow")
+    return {key: (judged[h, s][0], said or judged[h, s][1]) for key, (h, s, said) in asked.items()}

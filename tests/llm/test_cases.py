@@ -289,6 +289,39 @@ def test_url_tree_reaches_the_deepest_segment(spark):
     assert got[120][0] == "/x" * 300
 
 
+def test_url_tree_is_the_plain_one(spark):
+    """Wide nodes below wide nodes, literal stars, ends inside branches, repeated rows and nulls, on labelled hosts of their own."""
+    pages = [None, "", "http://example.org/*/x", "http://example.org/en/1*"] * 2
+    for i in range(90):
+        name = chr(97 + i % 26) + chr(97 + i // 26)
+        pages += [f"http://u.example.org/en/1{name}/posts/{name}{k}/{name[::-1]}{'/' * (i % 3)}" for k in "pqr"[: i % 4]]
+        pages += [f"http://shop.com/{('de', 'fr', 'it')[i % 3]}/{name}/{'item' if i % 2 else 'list'}", f"http://shop.com/{('de', 'fr')[i % 2]}/top/{name}", "http://shop.com/de/top"]
+    pages = list(enumerate(pages))
+    frame = spark.createDataFrame(pages, "page_id bigint, url string")
+    rules = [url_templates.Rule(v, r.split("/", 1)[0], "/" + r.split("/", 1)[1]) for r, v in brute.RULES.items()]
+    got = {r.page_id: (r.template, r.verdict) for r in url_templates.filter_urls(frame, rules).collect()}
+    assert got == brute.url_tree(pages)
+    assert any("*" in t for t, _ in got.values()) and any("|" in t for t, _ in got.values())
+
+
+def test_url_tree_needs_no_jobs_for_chains(spark):
+    """Urls that share their segments take as many jobs whether these are 2 or 200."""
+
+    def jobs(depth):
+        group = f"chain-{depth}"
+        frame = spark.createDataFrame([(i, f"http://t.net{'/x' * depth}/{end}") for i, end in enumerate("ab")], "page_id bigint, url string")
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            url_templates.filter_urls(frame, []).collect()
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    jobs(1)
+    few = jobs(2)
+    assert few <= 40 and jobs(200) <= few + 2
+
+
 def test_warc(spark, monkeypatch):
     pages = [(3, "http://b.org/x y", "same"), (1, "http://a.org/", "same"), (2, None, None), (4, "http://a.org/", ""), (None, "http://a.org/", "same"), (5, "plain", "a\r\n\r\nWARC/1.1\r\nb\u00e9"), (1, "http://a.org/", "same")]
     frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")

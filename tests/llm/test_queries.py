@@ -31,11 +31,10 @@ def test_op2(spark):
 
 
 def test_op3(spark):
-    got = result(spark, "op3_url_filters", "page_id", "host", "path", "rule", "verdict")
-    for key, url in rows("pages", "page_id", "url"):
-        host, path, rule = brute.rule_of(url)
-        assert got[key][:3] == (host, path, rule)
-        assert got[key][3] == brute.RULES[rule] if rule else got[key][3] in ("allow", "block")
+    pages = rows("pages", "page_id", "url")
+    tree = brute.url_tree(pages)
+    want = {key: (*brute.rule_of(url), *tree[key]) for key, url in pages}
+    assert result(spark, "op3_url_filters", "page_id", "host", "path", "rule", "template", "verdict") == want
 
 
 def test_op4(spark):
