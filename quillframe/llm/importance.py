@@ -2,9 +2,11 @@
 
 Two generative models over hashed word and punctuation n-grams are counted: one
 of target texts (documents labelled good), one of all texts. A document's log
-weight is the sum over its n-grams of the log ratio of the two. Resampling
-without replacement adds Gumbel noise to the log weights and keeps the k that
-are greatest per n-gram; k is how many documents weigh at least the cut per n-gram.
+weight is the sum over its n-grams of the log ratio of the two. Sums grow with
+the text, so the draw goes by the mean per n-gram times ``sharpness``, one number
+for all texts. Resampling without replacement adds Gumbel noise to that and keeps
+the k greatest; k is how many documents weigh at least the cut per n-gram. The
+chance that one of two texts is drawn first is thus the softmax of the two.
 
 A few words can make a text unfit that otherwise reads like a target (abuse in
 sound prose), which no mean shows. So a text's ``doubt`` is the greatest log
@@ -52,6 +54,7 @@ class ImportanceSettings:
     labelled: int = 20_000
     worth: float = 10.0
     lose: float = 0.001
+    sharpness: float = 100.0
     seed: int = 11
 
 
@@ -118,7 +121,7 @@ def fit(labelled: DataFrame, text: str, settings: ImportanceSettings) -> tuple[n
 
 
 def weigh(df: DataFrame, ratio: np.ndarray, doubts: np.ndarray, text: str, id_col: str, settings: ImportanceSettings) -> DataFrame:
-    """Add ``n_features``, ``log_weight``, ``doubt``, ``per_feature`` (the mean weight) and ``perturbed`` (with Gumbel noise) to every row."""
+    """Add ``n_features``, ``log_weight``, ``doubt``, ``per_feature`` (the mean weight) and ``perturbed`` (that, sharpened, with Gumbel noise) to every row."""
     rows = renamed(df, ["n_features", "log_weight", "doubt", "per_feature", "perturbed"])
     columns = rows.columns
 
@@ -134,9 +137,9 @@ def weigh(df: DataFrame, ratio: np.ndarray, doubts: np.ndarray, text: str, id_co
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*columns, "n_features", "log_weight", "doubt"])
 
     noise = -F.log(-F.log(row_uniform(settings.seed + 2, F.col(f"`{id_col}`").cast("bigint"))))
-    size = F.greatest("n_features", F.lit(1))
+    mean = F.col("log_weight") / F.greatest("n_features", F.lit(1))
     weighed = rows.mapInArrow(run, f"{ddl(rows)}, n_features bigint, log_weight double, doubt double")
-    return weighed.withColumns({"per_feature": F.col("log_weight") / size, "perturbed": (F.col("log_weight") + noise) / size})
+    return weighed.withColumns({"per_feature": mean, "perturbed": settings.sharpness * mean + noise})
 
 
 def best_cut(targets: np.ndarray, others: np.ndarray, worth: float) -> float:
