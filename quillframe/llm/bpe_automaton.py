@@ -29,7 +29,8 @@ from .common import arrow_bounded, ddl, renamed, slices
 
 #: Pairs of tokens whose transition a worker remembers; the table starts anew when full.
 MEMORY = 400_000
-#: The same for words and for runs between blanks, with their encoding.
+#: Words, and runs between blanks, of which a worker remembers the encoding; when full, they become
+#: the older half, from which those met again come back.
 WORDS = 1 << 17
 NEVER = float("inf")
 END = "\n"
@@ -184,13 +185,15 @@ class WordTokenizer:
         self._letters = {i: c for i, c in enumerate(byte_letters())}
         self._words: dict[str, list[int]] = {}
         self._chunks: dict[str, tuple[bytes, str]] = {}
+        self._older_words, self._older_chunks = {}, {}
 
     def _word(self, word: str) -> list[int]:
         found = self._words.get(word)
         if found is None:
-            found = self.automaton.encode(word.encode().decode("latin-1").translate(self._letters))
+            found = self._older_words.get(word) or self.automaton.encode(word.encode().decode("latin-1").translate(self._letters))
             if len(word) < 64:
                 if len(self._words) >= WORDS:
+                    self._older_words = self._words.copy()
                     self._words.clear()
                 self._words[word] = found
         return found
@@ -201,19 +204,23 @@ class WordTokenizer:
         return self._pattern.findall(text)
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Packed ids and joined labels of a piece without white space."""
-        text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)
-        # Every character is lower-cased for itself; a whole word would get a final sigma.
-        text = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
-        words = [text] if text.isascii() and text.isalpha() else self._split(text)
-        ids = [i for w in words for i in self._word(w)]
-        found = struct.pack(f"<{len(ids)}I", *ids), " ".join(self.automaton.decode(ids))
+        """Packed ids and joined labels of a piece without white space that is not among the newer ones."""
+        found = self._older_chunks.get(chunk) or self._made(chunk)
         if len(chunk) < 64:
             if len(self._chunks) >= WORDS:
+                self._older_chunks = self._chunks.copy()
                 self._chunks.clear()
             self._chunks[chunk] = found
         return found
 
+    def _made(self, chunk: str) -> tuple[bytes, str]:
+        text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)
+        # Every character is lower-cased for itself; a whole word would get a final sigma.
+        text = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
+        words = [text] if text.isascii() and text.isalpha() else self._split(text)
+        ids = [i for w in words for i in self._word(w)]
+        return struct.pack(f"<{len(ids)}I", *ids), " ".join(self.automaton.decode(ids))
+
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian unsigned 32-bit integers, and the decoded text: labels joined by blanks."""
         try:

@@ -257,6 +257,18 @@ def test_kth_greatest(spark, values):
     assert importance.kth_greatest(frame, "v", 0) is None
 
 
+def test_bpe_memory_keeps_nothing_wrong(monkeypatch):
+    """With room for three words only, every text still has the library's ids, the second time too."""
+    monkeypatch.setattr(bpe_automaton, "WORDS", 3)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ours, library = bpe_automaton.WordTokenizer(path), tokenizers.Tokenizer.from_file(path)
+    texts = ["the cat sat on the mat the cat", "Mat's cat, 42 cats! the", "the " * 9 + "dog", "naïve CAFÉ the x1y2"]
+    for text in texts * 2:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert ours.encode(text)[0] == struct.pack(f"<{len(ids)}I", *ids)
+    assert len(ours._chunks) <= 3 and len(ours._older_chunks) <= 3
+
+
 def test_url_rules(spark):
     urls = [None, "", "no scheme", "http://EXAMPLE.org", "http://example.org/es/1", "http://a.example.org/en/12?x=/y", "x://y.com/fr/", "http://com/de/#a", "http://notexample.org/es/1", "a://b://c.org/d", "http://h.net/%00/é"]
     frame = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").withColumn("Host", F.lit("old"))
