@@ -14,15 +14,20 @@ What lies between is slots: the elements that hold blocks, lists and tables
 counted to the element around them. A slot all of whose blocks are constant is
 template; every other slot varies, and a page gives the blocks of all of those
 in page order, without the parts that are marked as navigation, notices,
-adverts, forms, comments and the like. Pages that mark their article or main
-elements give those, whatever the host's other pages look like.
+adverts, forms, comments and the like. That a slot lies in an article or main
+element is one of its features: where a page has such slots, only they are
+looked at.
+
+A page is parsed once. Its tokens and blocks are written, and vectors, nesting
+and text are read from there.
 
 Vectors are never gathered: each is kept as its number of pages and two
 commutative hashes, combined before the shuffle, so a host with a third of all
 pages is a few rows per task. Classes in half of the pages bound a template by
-the size of two pages. Hosts with one page have no template, and a page without
-anything that varies (a copy of most others) gives all its blocks. Null and
-empty pages have an empty text.
+the size of two pages. Hosts with one page have no template, so all their slots
+count as varying, and a page without any slot that varies (a copy of most
+others) gives all its blocks. Null and empty pages have an empty text. Repeated
+rows are pages of their own. Pages of any length are read whole, one row a page.
 """
 
 from __future__ import annotations
@@ -197,30 +202,61 @@ def _slot(path: tuple[str, ...]) -> tuple[str, ...]:
     return path
 
 
-def main_text(source: str | None, constant: frozenset[int]) -> str:
-    """Blocks of the page's article and main elements, else of its slots that vary, joined by an empty line."""
-    here = [b for b in parse(source or "").blocks if not b.aside]
-    marked = [b for b in here if any(map(_is_main, b.path))]
-    if not marked:
-        varying = {_slot(b.path) for b in here if _text_token(b) not in constant} if constant else ()
-        marked = [b for b in here if _slot(b.path) in varying] or here
-    return "\n\n".join(b.text for b in marked)
+def main_text(texts: list[str], tokens: list[int], slots: list[int], marked: list[bool], constant: frozenset[int]) -> str:
+    """Blocks of the slots that vary, of those in article and main elements where the page has any, joined by an empty line."""
+    pool = [i for i, m in enumerate(marked) if m] or range(len(texts))
+    varying = {slots[i] for i in pool if tokens[i] not in constant}
+    return "\n\n".join(texts[i] for i in [i for i in pool if slots[i] in varying] or pool)
 
 
-def sequence(page: Page) -> list[tuple[int, int, bool]]:
-    """(token, size, whether it is text) of a page in its order; text counts by its words. Text of articles is no token."""
+def sequence(page: Page) -> list[tuple[int, int]]:
+    """(token, number of words) of a page in its order; elements have no words."""
     out, blocks = [], iter(page.blocks)
     block = next(blocks, None)
     for i in range(len(page.nodes) + 1):
         while block is not None and block.at <= i:
-            if not block.aside and not any(map(_is_main, block.path)):
-                out.append((_text_token(block), block.text.count(" ") + 1, True))
+            if not block.aside:
+                out.append((_text_token(block), block.text.count(" ") + 1))
             block = next(blocks, None)
         if i < len(page.nodes):
-            out.append((_hash("node", "/".join(page.nodes[i][0])), 1, False))
+            out.append((_hash("node", "/".join(page.nodes[i][0])), 0))
     return out
 
 
+#: What is kept of a page: its tokens with their numbers of words, and its blocks with their tokens, slots and whether they are in an article.
+PARSED = "_tokens array<bigint>, _words array<int>, _texts array<string>, _blocks array<bigint>, _slots array<bigint>, _marked array<boolean>"
+PARSED_TYPES = [pa.list_(kind) for kind in (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.bool_())]
+PARSED_NAMES = [part.split()[0] for part in PARSED.split(", ")]
+
+
+def parsed(source: str | None) -> tuple[list, ...]:
+    """The values of ``PARSED`` for a page."""
+    page = parse(source or "")
+    tokens = sequence(page)
+    here = [b for b in page.blocks if not b.aside]
+    return (
+        [t for t, _ in tokens],
+        [w for _, w in tokens],
+        [b.text for b in here],
+        [_text_token(b) for b in here],
+        [_hash("slot", "/".join(_slot(b.path))) for b in here],
+        [any(map(_is_main, b.path)) for b in here],
+    )
+
+
+def parse_pages(pages: DataFrame, source: str, keep: list[str]) -> DataFrame:
+    """The written table of what is kept of every page, with the columns ``keep``."""
+    schema = ", ".join([ddl(pages.select(*[F.col(f"`{c}`") for c in keep])), PARSED])
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, source):
+                columns = zip(*(parsed(t) for t in part.column(source).to_pylist()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(list(c), k) for c, k in zip(columns, PARSED_TYPES))], [*keep, *PARSED_NAMES])
+
+    return stored(pages.mapInArrow(run, schema), "pages-parsed")
+
+
 TOKEN_SCHEMA = "host string, token bigint, size bigint, text boolean, times bigint, place double, one bigint, two bigint"
 NESTED_SCHEMA = "host string, token bigint, gap bigint, pages bigint"
 
@@ -233,22 +269,21 @@ def _record_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """Tokens of every page of (host, html, uid); one and two are hashes of the page and of how often the token stands in it."""
+    """Tokens of every parsed page of (_host, _uid); one and two are hashes of the page and of how often the token stands in it."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "html"):
-                rows = []
-                for host, source, uid in zip(*(part.column(c).to_pylist() for c in ("host", "html", "uid"))):
-                    counts: dict[int, list] = {}
-                    for place, (token, size, text) in enumerate(sequence(parse(source or ""))):
-                        counts.setdefault(token, [0, place, size, text])[0] += 1
-                    for token, (n, place, size, text) in counts.items():
-                        mixed = xxhash.xxh3_64_intdigest(f"{uid}:{n}")
-                        rows.append((host, token, size, text, n, float(place), mixed >> 33, mixed & 0x7FFFFFFF))
-                yield _record_batch(rows, TOKEN_SCHEMA)
+            rows = []
+            for host, uid, tokens, words in zip(*(batch.column(c).to_pylist() for c in ("_host", "_uid", "_tokens", "_words"))):
+                counts: dict[int, list] = {}
+                for place, (token, n) in enumerate(zip(tokens, words)):
+                    counts.setdefault(token, [0, place, max(n, 1), n > 0])[0] += 1
+                for token, (n, place, size, text) in counts.items():
+                    mixed = xxhash.xxh3_64_intdigest(f"{uid}:{n}")
+                    rows.append((host, token, size, text, n, float(place), mixed >> 33, mixed & 0x7FFFFFFF))
+            yield _record_batch(rows, TOKEN_SCHEMA)
 
-    return pages.select("host", "html", "uid").mapInArrow(run, TOKEN_SCHEMA)
+    return pages.select("_host", "_uid", "_tokens", "_words").mapInArrow(run, TOKEN_SCHEMA)
 
 
 def _rising(values: list[int]) -> set[int]:
@@ -296,27 +331,25 @@ def gaps(tokens: list[int], classes: dict[int, tuple[int, int]]) -> dict[int, in
 
 
 def nested(pages: DataFrame, classes: DataFrame) -> DataFrame:
-    """In how many pages of (host, html) a token is in order and in a gap; ``classes`` is (host, token, class, rank)."""
+    """In how many parsed pages a token is in order and in a gap; ``classes`` is (host, token, class, rank)."""
     each = stored(classes.groupBy("host").agg(F.collect_list(F.struct("token", "class", "rank")).alias("classes")), "page-classes")
-    joined = pages.select("host", "html").join(_few(each), "host")
+    joined = pages.select(F.col("_host").alias("host"), F.col("_tokens").alias("tokens")).join(_few(each, "classes"), "host")
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "html"):
-                found: Counter[tuple] = Counter()
-                for host, source, known in zip(*(part.column(c).to_pylist() for c in ("host", "html", "classes"))):
-                    tokens = [t for t, _, _ in sequence(parse(source or ""))]
-                    for token, gap in gaps(tokens, {k["token"]: (k["class"], k["rank"]) for k in known}).items():
-                        if gap >= 0:
-                            found[host, token, gap] += 1
-                yield _record_batch([(*k, n) for k, n in found.items()], NESTED_SCHEMA)
-
-    counts = joined.select("host", "html", "classes").mapInArrow(run, NESTED_SCHEMA).groupBy("host", "token", "gap").agg(F.sum("pages").alias("held"))
+            found: Counter[tuple] = Counter()
+            for host, tokens, known in zip(*(batch.column(c).to_pylist() for c in ("host", "tokens", "classes"))):
+                for token, gap in gaps(tokens, {k["token"]: (k["class"], k["rank"]) for k in known}).items():
+                    if gap >= 0:
+                        found[host, token, gap] += 1
+            yield _record_batch([(*k, n) for k, n in found.items()], NESTED_SCHEMA)
+
+    counts = joined.select("host", "tokens", "classes").mapInArrow(run, NESTED_SCHEMA).groupBy("host", "token", "gap").agg(F.sum("pages").alias("held"))
     return counts.groupBy("host", "token").agg(F.max("held").alias("held"))
 
 
 def deduce(pages: DataFrame, share: float = 0.5, text_share: float = 0.8, size: int = 2) -> DataFrame:
-    """(host, constant): the hashes of the text blocks of each host's template.
+    """(host, constant): the tokens of the text blocks of each host's template, from parsed pages.
 
     ``share`` of a host's pages must hold a class's tokens, in order and nested,
     and ``text_share`` of them a text block; a class has ``size`` elements or words.
@@ -324,7 +357,7 @@ def deduce(pages: DataFrame, share: float = 0.5, text_share: float = 0.8, size:
     tokens = page_tokens(pages).groupBy("host", "token").agg(
         F.count("*").alias("n"), F.sum("one").alias("one"), F.sum("two").alias("two"), F.max("size").alias("size"), F.max("text").alias("text"), F.max("times").alias("times"), F.avg("place").alias("place")
     )
-    number = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    number = pages.groupBy(F.col("_host").alias("host")).agg(F.count("*").alias("pages"))
     often = stored(tokens.where("n > 1").join(number, "host").where(F.col("n") >= share * F.col("pages")), "page-tokens")
     vector = Window.partitionBy("host", "n", "one", "two")
     large = often.withColumn("members", F.sum("size").over(vector)).where(F.col("members") >= size)
@@ -337,29 +370,35 @@ def deduce(pages: DataFrame, share: float = 0.5, text_share: float = 0.8, size:
     return valid.where(F.col("text") & (F.col("held") >= text_share * F.col("pages"))).groupBy("host").agg(F.collect_list("token").alias("constant"))
 
 
-#: Hosts whose templates may be sent to every task; beyond, pages are joined to them by host.
-TEMPLATE_HOSTS = 10_000
+#: Tokens of templates that may be sent to every task; beyond, pages are joined to them by host.
+TEMPLATE_TOKENS = 1_000_000
 
 
-def _few(templates: DataFrame) -> DataFrame:
-    return F.broadcast(templates) if templates.count() <= TEMPLATE_HOSTS else templates
+def _few(templates: DataFrame, tokens: str) -> DataFrame:
+    total = templates.agg(F.coalesce(F.sum(F.size(tokens) + 8), F.lit(0))).first()[0]
+    return F.broadcast(templates) if total <= TEMPLATE_TOKENS else templates
 
 
-def extract(df: DataFrame, id_col: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
-    """Add ``text`` to every row; an existing column of that name is replaced."""
+def extract(df: DataFrame, id_col: str = "page_id", url: str = "url", source: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """Add ``text`` to every row; columns of that name, or of those used on the way (``_host``, ``_tokens`` and so on), are replaced. ``keep`` are the columns to return beside it, all by default."""
     arrow_bounded(df.sparkSession)
     host, _ = host_and_path(F.col(f"`{url}`"))
-    keyed = df.select(host.alias("host"), F.col(f"`{source}`").alias("html"), F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{url}`"), F.col(f"`{source}`")).alias("uid"))
-    templates = stored(deduce(keyed), "page-templates")
+    uid = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{url}`"), F.col(f"`{source}`"))
+    own = ["text", "_html", "_host", "_uid", "_constant", *PARSED_NAMES]
+    rows = renamed(df, own)
+    kept = [c for c in rows.columns if keep is None or c in keep]
+    plain = {"_html": F.col(f"`{source}`"), "_host": host, "_uid": uid}
+    before = df.select(*[F.col(f"`{c}`") for c in kept], *[c.alias(n) for n, c in plain.items()])
+    pages = parse_pages(before, "_html", [*kept, "_host", "_uid"])
+    templates = stored(deduce(pages), "page-templates")
     side = templates.select(F.col("host").alias("_host"), F.col("constant").alias("_constant"))
-    rows = renamed(df, ["text", "_host", "_constant"]).withColumn("_host", host)
-    rows = rows.join(_few(side), "_host", "left")
-    columns = rows.columns
+    joined = pages.join(_few(side, "_constant"), "_host", "left").select(*[F.col(f"`{c}`") for c in kept], *PARSED_NAMES[2:], "_constant")
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in before.schema.fields[: len(kept)]] + ["text string"])
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, source):
-                texts = [main_text(t, frozenset(c or ())) for t, c in zip(*(part.column(n).to_pylist() for n in (source, "_constant")))]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*columns, "text"])
+            known = [frozenset(c or ()) for c in batch.column("_constant").to_pylist()]
+            texts = [main_text(*page) for page in zip(*(batch.column(n).to_pylist() for n in PARSED_NAMES[2:]), known)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, "text"])
 
-    return rows.mapInArrow(run, f"{ddl(rows)}, text string").drop("_host", "_constant")
+    return joined.mapInArrow(run, schema)

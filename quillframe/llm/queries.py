@@ -129,7 +129,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     from .html_template import extract
 
-    rows = extract(table(spark, folder, "pages", "page_id", "url", "html"))
+    rows = extract(table(spark, folder, "pages", "page_id", "url", "html"), keep=["page_id", "url"])
     return rows.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
