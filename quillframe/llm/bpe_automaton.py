@@ -53,6 +53,15 @@ def byte_letters() -> list[str]:
     return letters
 
 
+class Letters(dict):
+    """The letters that may follow here, and the token that ends here, or -1."""
+
+    __slots__ = ("token",)
+
+    def __init__(self):
+        self.token = -1
+
+
 class Automaton:
     """The automaton of a vocabulary (token -> id) and its ranked merges.
 
@@ -80,16 +89,24 @@ class Automaton:
             # The state behind u is replaced by its copy without the arc v.
             self.lost[u, v] = time
         self._table: dict[int, bool] = {}
-        # Letters to arcs: a token's id, or -1 for what only begins one. The word's end is a letter of its own.
-        self.arcs: dict[str, int] = {}
+        # The letters of all arcs as a tree; the word's end is a letter of its own.
         names = {t: n[: -len(suffix)] + END if suffix and n.endswith(suffix) else n for n, t in self.ids.items()}
-        for name in names.values():
-            for size in range(1, len(name)):
-                self.arcs.setdefault(name[:size], -1)
-        self.arcs.update((name, token) for token, name in names.items())
+        self.arcs = Letters()
+        for token, name in names.items():
+            node = self.arcs
+            for letter in name:
+                node = node.get(letter) or node.setdefault(letter, Letters())
+            node.token = token
         self.length = {t: len(name) for t, name in names.items()}
+        self.longest = max(self.length.values(), default=1)
         # The longest token that a token begins with, or -1.
-        self.shorter = {t: next((a for k in range(len(name) - 1, 0, -1) if (a := self.arcs[name[:k]]) >= 0), -1) for t, name in names.items()}
+        self.shorter = {}
+        for token, name in names.items():
+            node, self.shorter[token] = self.arcs, -1
+            for letter in name[:-1]:
+                node = node[letter]
+                if node.token >= 0:
+                    self.shorter[token] = node.token
 
     def has(self, before: int, token: int) -> bool:
         """Whether the state behind ``before`` has an arc for ``token``.
@@ -116,7 +133,7 @@ class Automaton:
 
     def encode(self, word: str) -> list[int]:
         """Ids of one pre-split word of byte letters."""
-        arc, shorter, length, table = self.arcs.get, self.shorter, self.length, self._table
+        root, longest, shorter, length, table = self.arcs, self.longest, self.shorter, self.length, self._table
         n = len(word)
         if self.suffix:
             word += END
@@ -124,15 +141,13 @@ class Automaton:
         path: list[int] = []
         dead: set[int] = {n} if self.suffix else set()
         while True:
-            token, end = -1, at + 1
-            found = arc(word[at:end])
-            while found is not None:
-                if found >= 0:
-                    token = found
-                if end == full:
+            token, node = -1, root
+            for letter in word[at : at + longest]:
+                node = node.get(letter)
+                if node is None:
                     break
-                end += 1
-                found = arc(word[at:end])
+                if node.token >= 0:
+                    token = node.token
             while True:
                 while token >= 0:
                     end = at + length[token]
@@ -186,11 +201,16 @@ class WordTokenizer:
         self._words: dict[str, list[int]] = {}
         self._chunks: dict[str, tuple[bytes, str]] = {}
         self._older_words, self._older_chunks = {}, {}
+        self._known: set[str] = set()  # characters met that are in the Unicode tables
+
+    def _spelled(self, word: str) -> str:
+        """The byte letters of a word; ASCII letters and digits stand for themselves."""
+        return word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self._letters)
 
     def _word(self, word: str) -> list[int]:
         found = self._words.get(word)
         if found is None:
-            found = self._older_words.get(word) or self.automaton.encode(word.encode().decode("latin-1").translate(self._letters))
+            found = self._older_words.get(word) or self.automaton.encode(self._spelled(word))
             if len(word) < 64:
                 if len(self._words) >= WORDS:
                     self._older_words = self._words.copy()
@@ -199,8 +219,11 @@ class WordTokenizer:
         return found
 
     def _split(self, text: str) -> list[str]:
-        if not text.isascii() and any(unicodedata.category(c) == "Cn" for c in text):
-            raise UnknownCharacter
+        if not text.isascii():
+            new = set(text) - self._known
+            if any(unicodedata.category(c) == "Cn" for c in new):
+                raise UnknownCharacter
+            self._known |= new
         return self._pattern.findall(text)
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
