@@ -31,7 +31,7 @@ from .common import arrow_bounded, ddl, renamed, slices
 MEMORY = 400_000
 #: Words, and runs between blanks, of which a worker remembers the encoding; when full, they become
 #: the older half, from which those met again come back.
-WORDS = 1 << 17
+WORDS = 1 << 18
 NEVER = float("inf")
 END = "\n"
 
