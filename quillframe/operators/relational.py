@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import row_maximum
+from ..session import stored
 from .partitions import explode_once
 
 
@@ -66,29 +67,56 @@ def set_difference(df: DataFrame, other: DataFrame) -> DataFrame:
     return df.subtract(other.select(df.columns))
 
 
-def limit_rows(df: DataFrame, n: int, *keys: str) -> DataFrame:
+def limit_rows(df: DataFrame, n: int, *keys: str, direct: int = 10_000) -> DataFrame:
     """The first ``n`` rows by ``keys``, or all rows when ``n`` is not positive.
 
     Rows with equal keys go by a hash of their whole content, so the choice does
     not depend on the partitions. Only keys and hashes are compared to find the
     cut; the rows stay where they are, so what follows still runs on all partitions.
+    Up to ``direct`` rows the first keys meet in one task; beyond, the cut is found
+    by the sizes of ranges, and one range is sorted.
     """
     if n <= 0:
         return df
     place = F.struct(*[F.col(k) for k in keys], F.xxhash64(*df.columns).alias("_content"))
     placed = df.withColumn("_place", place)
-    first = placed.select("_place").orderBy("_place").limit(n)
-    per_place = first.groupBy("_place").agg(F.count(F.lit(1)).alias("n"))
-    found, cut = per_place.agg(F.sum("n"), F.max(F.struct("_place", "n"))).first()
-    if found is None or found < n:
+    found = _first_cut(placed, n) if n <= direct else _range_cut(placed, n)
+    if found is None:
         return df
+    cut, taken = found
     kinds = placed.schema["_place"].dataType.fields
-    at = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut["_place"], kinds)])
+    at = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, kinds)])
     same = placed.where(F.col("_place") == at)
-    if same.count() == cut.n:
+    if same.count() == taken:
         return placed.where(F.col("_place") <= at).drop("_place")
     # Rows at the cut are alike in every column, so it does not matter which of them are taken.
-    return placed.where(F.col("_place") < at).unionByName(same.limit(cut.n)).drop("_place")
+    return placed.where(F.col("_place") < at).unionByName(same.limit(taken)).drop("_place")
+
+
+def _first_cut(placed: DataFrame, n: int):
+    """The last place of the first ``n`` rows and how many of them have it; None if there are fewer rows."""
+    first = placed.select("_place").orderBy("_place").limit(n)
+    per_place = first.groupBy("_place").agg(F.count(F.lit(1)).alias("n"))
+    found, cut = per_place.agg(F.sum("n"), F.max(F.struct("_place", "n"))).first()
+    return None if found is None or found < n else (cut["_place"], cut.n)
+
+
+def _range_cut(placed: DataFrame, n: int):
+    """As ``_first_cut``; places are counted, dealt out in ranges, and only the range of the cut is gone through.
+
+    Equal places are one row before they are dealt out, so repeated rows make no range large.
+    """
+    counted = placed.groupBy("_place").agg(F.count(F.lit(1)).alias("n"))
+    ranged = stored(counted.repartitionByRange("_place").withColumn("_range", F.spark_partition_id()), "limit-ranges")
+    before = 0
+    for part in ranged.groupBy("_range").agg(F.sum("n").alias("n")).orderBy("_range").toLocalIterator():
+        if before + part.n >= n:
+            upto = F.sum("n").over(Window.orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)) + before
+            placed_upto = ranged.where(F.col("_range") == part["_range"]).withColumn("upto", upto)
+            cut = placed_upto.where(F.col("upto") >= n).orderBy("_place").first()
+            return cut["_place"], n - (cut.upto - cut.n)
+        before += part.n
+    return None
 
 
 def rows_at_max(df: DataFrame, by: str) -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions import text as words
 from ..functions.stopwords import STOP_WORDS
 from ..operators.partitions import explode_once, spread
 from ..operators.relational import sum_of_row_maxima
+from ..plans.heavy_hitters import heavy_hitters
 from ..plans.topics import TopicSettings, annotate, count_vector_stage, count_vectors, stem_vocabulary, vocabulary
 from ..session import stored
 from .registry import query, table
@@ -201,6 +202,17 @@ def vocabulary_query(spark, sf):
     return stem_vocabulary(annotate(documents(spark, sf), "text", stems=False), 500)
 
 
+@query(
+    "vocabulary_heavy_hitters",
+    """SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[^ \\t\\n\\v\\f\\r]+')) AS word FROM documents)
+       GROUP BY word ORDER BY n DESC, word LIMIT 300""",
+)
+def vocabulary_heavy_hitters(spark, sf):
+    runs = F.regexp_extract_all(F.lower("text"), F.lit(r"[^ \t\n\x0B\f\r]+"), F.lit(0))
+    tokens = stored(documents(spark, sf).select(runs.alias("tokens")), "runs")
+    return heavy_hitters(tokens, 300, counters=4096).words
+
+
 @query("count_vectors", WORDS_SQL + "SELECT doc_id, index, stem AS word, value FROM vectors JOIN vocab USING (index)")
 def count_vectors_query(spark, sf):
     tokens = stored(words_of(spark, sf), "words")

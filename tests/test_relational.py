@@ -64,6 +64,15 @@ def test_limit_on_only_nulls_and_no_rows(spark):
     assert ops.limit_rows(nulls.limit(0), 3, "k").count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 40, 333, 700, 999, 1000, 1200])
+def test_limit_by_ranges_takes_the_same_rows(spark, n):
+    """A third of the rows are alike in every column; the cut falls before, within and behind them."""
+    df = spark.range(1000).selectExpr("IF(id % 3 = 0, 500, id) AS k", "IF(id % 3 = 0, NULL, id) AS v").repartition(5)
+    direct, ranges = ops.limit_rows(df, n, "k"), ops.limit_rows(df, n, "k", direct=0)
+    assert values(ranges) == values(direct) and ranges.count() == min(n, 1000)
+    assert ops.limit_rows(df.where("false"), n, "k", direct=0).count() == 0
+
+
 def test_rows_at_max(spark):
     df = spark.createDataFrame([(1, "a"), (3, "b"), (3, "c"), (None, "d")], "t int, v string")
     assert values(ops.rows_at_max(df, "t")) == [(3, "b"), (3, "c")]
