@@ -9,12 +9,16 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
+
 #: ASCII white space, as the words and line keys of these operators know it.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Bytes of UTF-8 text that a task holds as Python objects at a time.
 SLICE_BYTES = 4 << 20
+#: Bytes of a row group of wide rows; a reader decodes a row group at a time.
+WIDE_GROUP_BYTES = 8 << 20
 
 
 def lower_ascii(col: Column) -> Column:
@@ -41,6 +45,17 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         yield batch.slice(start)
 
 
+def stored_wide(df: DataFrame, label: str) -> DataFrame:
+    """As ``stored``, for rows of a megabyte and more: pages and row groups end by their bytes.
+
+    The writer's default looks at sizes every 100 rows only, so that a page of wide
+    rows, its compression buffers and the batch a reader decodes grow with the rows of a file.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.option("parquet.page.size.row.check.min", 1).option("parquet.block.size", WIDE_GROUP_BYTES).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def row_uniform(seed: int, *cols: Column) -> Column:
     """A number in (0, 1) that depends on the values only, so that retried tasks and other partitionings agree."""
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11).cast("double")

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import arrow_bounded, slices
+from .common import arrow_bounded, slices, stored_wide
 
 #: Piece ends become "." (itself one), tabs blanks; the other characters that Python's bytes split at are piece ends.
 PIECES = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"." * 9 + b" ")
@@ -88,7 +88,7 @@ def corpus(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
                         ["lang", "words", "counts", "hashes", "codes"],
                     )
 
-    return stored(rows.mapInArrow(number, CORPUS), "phrase-corpus")
+    return stored_wide(rows.mapInArrow(number, CORPUS), "phrase-corpus")
 
 
 def _blocks(batches):
