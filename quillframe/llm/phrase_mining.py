@@ -188,17 +188,24 @@ def candidates(texts: DataFrame, size: int, shorter, passing, frequent: DataFram
 class DoubleArrayTrie:
     """Phrases of ``size`` words as a double array; state 0 is the root, word numbers start at 1 in every language's alphabet."""
 
-    def __init__(self, phrases: list[tuple[str, str]], size: int):
+    def __init__(self, phrases: pa.Table | list[tuple[str, str]], size: int):
+        """``phrases`` are rows of language and phrase; a table stays in Arrow and numpy arrays."""
         self.size = size
-        self.langs = [p[0] for p in phrases]
-        self.phrases = pa.array([p[1] for p in phrases], pa.string())
-        numbers: dict[tuple[str, str], int] = {}
-        paths = np.array([[numbers.setdefault((lang, w), len(numbers) + 1) for w in phrase.split(" ")] for lang, phrase in phrases], np.int64).reshape(len(phrases), size)
+        if not isinstance(phrases, pa.Table):
+            phrases = pa.table([pa.array([p[i] for p in phrases], pa.string()) for i in (0, 1)], ["lang", "phrase"])
+        phrases = phrases.sort_by([("lang", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        self.langs, self.phrases = (pa.concat_arrays([pa.array([], pa.string()), *phrases.column(c).chunks]) for c in ("lang", "phrase"))
+        langs = self.langs.dictionary_encode()
+        words = pc.split_pattern(self.phrases, " ").flatten().dictionary_encode()
+        many = max(1, len(words.dictionary))
+        pairs = np.repeat(langs.indices.to_numpy().astype(np.int64), size) * many + words.indices.to_numpy()
+        pairs, numbers = np.unique(pairs, return_inverse=True)
+        paths = numbers.astype(np.int64).reshape(len(self.phrases), size) + 1
         self.alphabet: dict[str, tuple[pa.Array, np.ndarray]] = {}
-        for lang in set(self.langs):
-            own = [(w, n) for (name, w), n in numbers.items() if name == lang]
-            self.alphabet[lang] = pa.array([w for w, _ in own], pa.string()), np.array([0, *(n for _, n in own)], np.int64)
-        self._letters = len(numbers)
+        for code, lang in enumerate(langs.dictionary.to_pylist()):
+            own = np.flatnonzero(pairs // many == code)
+            self.alphabet[lang] = words.dictionary.take(pa.array(pairs[own] % many)), np.r_[0, own + 1]
+        self._letters = len(pairs)
         self._build(paths)
 
     def _build(self, paths: np.ndarray) -> None:
@@ -274,7 +281,7 @@ def count_phrases(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
         blocks *= 2
     counted = None
     for i in range(blocks if rows else 0):
-        trie = spark.sparkContext.broadcast(DoubleArrayTrie(sorted(tuple(r) for r in found.where(block() == i).select("lang", "phrase").collect()), size))
+        trie = spark.sparkContext.broadcast(DoubleArrayTrie(found.where(block() == i).select("lang", "phrase").toArrow(), size))
 
         def count(batches, trie=trie):
             own, totals = trie.value, None
@@ -283,7 +290,7 @@ def count_phrases(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
                 totals = more if totals is None else totals + more
             if totals is not None:
                 seen = np.flatnonzero(totals)
-                yield pa.RecordBatch.from_arrays([pa.array([own.langs[s] for s in seen.tolist()], pa.string()), own.phrases.take(pa.array(seen)), pa.array(totals[seen])], ["lang", "phrase", "n"])
+                yield pa.RecordBatch.from_arrays([own.langs.take(pa.array(seen)), own.phrases.take(pa.array(seen)), pa.array(totals[seen])], ["lang", "phrase", "n"])
 
         shards = texts.select("lang", "words", "hashes", "codes").mapInArrow(count, "lang string, phrase string, n bigint")
         part = stored(shards.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "phrase-counts")
