@@ -21,6 +21,7 @@ no words. Repeated rows and ids count each time. Ties are broken by count, then
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ BUCKET_BITS = 40
 BLOCK_BYTES = 2 << 20
 #: Bytes of candidate phrases in one trie.
 TRIE_BYTES = 32 << 20
+#: Places of a trie's array that are looked at for free ones at a time.
+SEARCHED = 256
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -186,7 +189,12 @@ def candidates(texts: DataFrame, size: int, shorter, passing, frequent: DataFram
 
 
 class DoubleArrayTrie:
-    """Phrases of ``size`` words as a double array; state 0 is the root, word numbers start at 1 in every language's alphabet."""
+    """Phrases of ``size`` words as a double array; state 0 is the root.
+
+    A word is a letter of two digits, numbered from 1 over all languages' alphabets, each
+    digit at most the root of the number of letters. So the children of a state lie close together,
+    and the array grows with the phrases and not with the phrases times the letters.
+    """
 
     def __init__(self, phrases: pa.Table | list[tuple[str, str]], size: int):
         """``phrases`` are rows of language and phrase; a table stays in Arrow and numpy arrays."""
@@ -205,52 +213,60 @@ class DoubleArrayTrie:
         for code, lang in enumerate(langs.dictionary.to_pylist()):
             own = np.flatnonzero(pairs // many == code)
             self.alphabet[lang] = words.dictionary.take(pa.array(pairs[own] % many)), np.r_[0, own + 1]
-        self._letters = len(pairs)
-        self._build(paths)
+        self.digits = isqrt(max(0, len(pairs) - 1)) + 1
+        self._build(np.stack([(paths - 1) // self.digits + 1, (paths - 1) % self.digits + 1], axis=2).reshape(len(paths), 2 * size))
 
     def _build(self, paths: np.ndarray) -> None:
-        letters = self._letters
-        space = letters + 2
-        base, check = np.zeros(space, np.int64), np.full(space, -1, np.int64)
-        state, hint, used = np.zeros(len(paths), np.int64), letters + 1, letters + 1
-        for depth in range(self.size):
-            # Children of every parent: distinct pairs of parent state and word.
-            keys, child_of = np.unique(state * (letters + 1) + paths[:, depth], return_inverse=True)
-            parents, words = keys // (letters + 1), keys % (letters + 1)
-            cuts = np.flatnonzero(np.r_[True, parents[1:] != parents[:-1]]) if len(parents) else np.empty(0, np.int64)
-            child = np.empty(len(keys), np.int64)
-            for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(parents)]):
-                parent, own = int(parents[begin]), words[begin:end]
-                while hint < len(check) and check[hint] != -1:
-                    hint += 1
-                offset = 0 if depth == 0 else self._fit(check, own, hint, used)
-                top = offset + int(own[-1]) + 1
-                used = max(used, top)
-                if top > len(check):
-                    more = max(top, 2 * len(check)) - len(check)
-                    check, base = np.r_[check, np.full(more, -1, np.int64)], np.r_[base, np.zeros(more, np.int64)]
-                base[parent] = offset
-                child[begin:end] = offset + own
-                check[offset + own] = parent
-            state = child[child_of]
-        # Room for the largest word number beyond any base, so that a step never leaves the array.
-        room = used + letters + 1
-        pad = lambda a, v: np.r_[a[:room], np.full(max(0, room - len(a)), v, np.int64)].astype(np.int32)
+        most = self.digits
+        used, room = most, 4 * most + SEARCHED
+        base, check = np.zeros(room, np.int32), np.full(room, -1, np.int32)
+        state = np.zeros(len(paths), np.int64)
+        for depth in range(paths.shape[1]):
+            # Children of every parent: distinct pairs of parent state and digit.
+            keys, child_of = np.unique(state * (most + 1) + paths[:, depth], return_inverse=True)
+            parents, digits = keys // (most + 1), keys % (most + 1)
+            begins = np.flatnonzero(np.r_[True, parents[1:] != parents[:-1]][: len(keys)])
+            widths = np.diff(np.r_[begins, len(keys)])
+            offsets = np.zeros(len(begins), np.int64)
+            # Parents with most children first; those with one child then fill the gaps.
+            wide = np.flatnonzero(widths > 1) if depth else np.arange(len(begins))
+            hint = most + 1
+            for g in wide[np.argsort(-widths[wide], kind="stable")].tolist():
+                own = digits[begins[g] : begins[g] + widths[g]]
+                if used + 2 * most + SEARCHED >= len(check):
+                    base, check = np.r_[base, np.zeros(len(base), np.int32)], np.r_[check, np.full(len(check), -1, np.int32)]
+                if depth:
+                    while hint < used and np.count_nonzero(check[hint : hint + SEARCHED] == -1) < SEARCHED // 16:
+                        hint += SEARCHED
+                    offsets[g] = self._fit(check, own, hint, used, most)
+                check[offsets[g] + own] = parents[begins[g]]
+                used = max(used, int(offsets[g] + own[-1]))
+            single = np.flatnonzero(widths == 1) if depth else begins[:0]
+            free = np.flatnonzero(check[most + 1 : used + 1] == -1)[: len(single)] + most + 1
+            free = np.r_[free, used + 1 + np.arange(len(single) - len(free))]
+            used = max(used, int(free[-1]) if len(free) else 0)
+            if used >= len(check):
+                more = used + 2 * most + SEARCHED - len(check)
+                base, check = np.r_[base, np.zeros(more, np.int32)], np.r_[check, np.full(more, -1, np.int32)]
+            offsets[single] = free - digits[begins[single]]
+            check[free] = parents[begins[single]]
+            base[parents[begins]] = offsets
+            state = (np.repeat(offsets, widths) + digits)[child_of]
+        # Room for the largest digit beyond any base, so that a step never leaves the array.
+        room = used + most + 1
+        pad = lambda a, v: np.r_[a[:room], np.full(max(0, room - len(a)), v, np.int32)]
         self.base, self.check = pad(base, 0), pad(check, -1)
         self.accept = np.full(room, -1, np.int32)
         self.accept[state] = np.arange(len(paths))
 
     @staticmethod
-    def _fit(check: np.ndarray, words: np.ndarray, hint: int, used: int) -> int:
-        """A base at which all children's places are free: the first free places are tried, then those after the last taken one."""
-        least = int(words[0])
-        free = np.flatnonzero(check[hint : hint + 64] == -1) + hint
-        for place in free.tolist():
-            offset = place - least
-            spots = offset + words
-            if offset > 0 and (check[spots[spots < len(check)]] == -1).all():
-                return offset
-        return max(used, least + 1) - least
+    def _fit(check: np.ndarray, digits: np.ndarray, hint: int, used: int, most: int) -> int:
+        """A base at which all children's places are free: some free places at the hint and near the end are tried, then those after the last taken one."""
+        tail = max(hint, used - 2 * most)
+        free = np.r_[np.flatnonzero(check[hint : hint + SEARCHED] == -1)[:64] + hint, np.flatnonzero(check[tail : used + 1] == -1)[:64] + tail]
+        tried = free[free <= used] - digits[0]
+        fits = (check[tried[:, None] + digits] == -1).all(axis=1)
+        return int(tried[fits.argmax()]) if fits.any() else used + 1 - int(digits[0])
 
     def count(self, lang: str, words: pa.Array, codes: np.ndarray) -> np.ndarray:
         """How often each phrase occurs: all places go down the trie together, a word a step."""
@@ -260,13 +276,16 @@ class DoubleArrayTrie:
         own, numbers = self.alphabet[lang]
         letter = numbers[pc.fill_null(pc.index_in(words, own), -1).to_numpy() + 1]
         letter[0] = 0
-        places = letter[codes]
-        at = np.flatnonzero(places[:n])
+        places = letter[codes] - 1
+        at = np.flatnonzero(places[:n] >= 0)
         state = np.zeros(len(at), np.int64)
         for j in range(self.size):
-            onward = self.base[state] + places[at + j]
-            alive = (self.check[onward] == state) & (places[at + j] > 0)
-            at, state = at[alive], onward[alive]
+            known = places[at + j] >= 0
+            at, state = at[known], state[known]
+            for digit_of in (np.floor_divide, np.remainder):
+                onward = self.base[state] + digit_of(places[at + j], self.digits) + 1
+                alive = self.check[onward] == state
+                at, state = at[alive], onward[alive]
         return np.bincount(self.accept[state], minlength=len(self.phrases))
 
 
