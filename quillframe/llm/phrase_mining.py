@@ -42,6 +42,8 @@ BUCKET_BITS = 40
 BLOCK_BYTES = 2 << 20
 #: Bytes of candidate phrases in one trie.
 TRIE_BYTES = 32 << 20
+#: Phrases whose counts a task sends as one packed row.
+COUNTED = 4096
 #: Places of a trie's array that are looked at for free ones at a time.
 SEARCHED = 256
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -142,14 +144,15 @@ def _bitmap(spark: SparkSession, buckets: DataFrame):
 
 
 def word_bitmap(words: DataFrame):
-    """Bitmap of frequent words, from their hashes."""
+    """Bitmap of frequent words (lang, phrase)."""
 
     def bucket(batches):
         for batch in batches:
-            hashes = _phrase_hashes(batch.column("hash").to_numpy().view(np.uint64), 1)
+            pairs = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
+            hashes = _phrase_hashes(np.array([_word_hash(lang, word.encode()) for lang, word in pairs], np.int64).view(np.uint64), 1)
             yield pa.RecordBatch.from_arrays([pa.array((hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))], ["bucket"])
 
-    return _bitmap(words.sparkSession, words.select("hash").mapInArrow(bucket, "bucket bigint"))
+    return _bitmap(words.sparkSession, words.select("lang", "phrase").mapInArrow(bucket, "bucket bigint"))
 
 
 def bucket_bitmap(texts: DataFrame, size: int, shorter, min_count: int):
@@ -289,6 +292,14 @@ class DoubleArrayTrie:
         return np.bincount(self.accept[state], minlength=len(self.phrases))
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def _unpacked(data: bytes, length: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // length}").astype(np.int64)
+
+
 def count_phrases(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
     """(lang, phrase, n) of the candidates that occur, a trie of bounded size at a time."""
     spark = texts.sparkSession
@@ -307,12 +318,24 @@ def count_phrases(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
             for lang, words, _, codes in _blocks(batches):
                 more = own.count(lang, words, codes)
                 totals = more if totals is None else totals + more
-            if totals is not None:
-                seen = np.flatnonzero(totals)
-                yield pa.RecordBatch.from_arrays([own.langs.take(pa.array(seen)), own.phrases.take(pa.array(seen)), pa.array(totals[seen])], ["lang", "phrase", "n"])
-
-        shards = texts.select("lang", "words", "hashes", "codes").mapInArrow(count, "lang string, phrase string, n bigint")
-        part = stored(shards.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "phrase-counts")
+            if totals is not None and totals.any():
+                starts = [s for s in range(0, len(totals), COUNTED) if totals[s : s + COUNTED].any()]
+                yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int64()), pa.array([_packed(totals[s : s + COUNTED]) for s in starts], pa.binary())], ["start", "counts"])
+
+        def add(batches, trie=trie):
+            # At most the counts of one trie, however many tasks sent theirs.
+            own, totals = trie.value, {}
+            for batch in batches:
+                for start, counts in zip(batch.column("start").to_pylist(), batch.column("counts").to_pylist()):
+                    more = _unpacked(counts, min(COUNTED, len(own.phrases) - start))
+                    totals[start] = totals[start] + more if start in totals else more
+            for start, counts in totals.items():
+                seen = np.flatnonzero(counts)
+                at = pa.array(seen + start)
+                yield pa.RecordBatch.from_arrays([own.langs.take(at), own.phrases.take(at), pa.array(counts[seen])], ["lang", "phrase", "n"])
+
+        shards = texts.select("lang", "words", "hashes", "codes").mapInArrow(count, "start bigint, counts binary")
+        part = stored(shards.repartition("start").mapInArrow(add, "lang string, phrase string, n bigint"), "phrase-counts")
         trie.destroy()
         counted = part if counted is None else counted.unionByName(part)
     return counted if counted is not None else spark.createDataFrame([], "lang string, phrase string, n bigint")
@@ -321,9 +344,9 @@ def count_phrases(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
 def frequent_phrases(texts: DataFrame, settings: PhraseSettings = PhraseSettings()) -> DataFrame:
     """(lang, phrase, size, n) of all words and phrases found at least ``min_count`` times."""
     words = word_counts(texts).where(F.col("n") >= settings.min_count)
-    words = stored(words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "n", "hash"), "phrase-words")
+    words = stored(words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "n"), "phrase-words")
     shorter = word_bitmap(words)
-    level = found = words.drop("hash")
+    level = found = words
     for size in range(2, settings.longest + 1):
         passing = bucket_bitmap(texts, size, shorter, settings.min_count)
         counted = count_phrases(texts, candidates(texts, size, shorter, passing, level), size)
@@ -335,9 +358,9 @@ def frequent_phrases(texts: DataFrame, settings: PhraseSettings = PhraseSettings
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(lang, word, n, hash) of all words; one row a word and block of texts is shuffled."""
-    each = texts.select("lang", F.explode(F.arrays_zip("words", "counts", "hashes")).alias("w")).where(F.col("w.words") != ".")
-    return each.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n"), F.min("w.hashes").alias("hash"))
+    """(lang, word, n) of all words; at most one row a word and block of texts is shuffled."""
+    each = texts.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).where(F.col("w.words") != ".")
+    return each.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n"))
 
 
 def _whole(column: Column | str) -> Column:
