@@ -49,19 +49,26 @@ def remove_stop_words(
     return F.filter(tokens, lambda t: ~(t if lowered else F.lower(t)).isin(stop))
 
 
-# Stems seen by this task; emptied when it has grown large.
+# Stems seen lately by this task; emptied when it holds so many.
 _SEEN: dict[str, str] = {}
-_SEEN_LIMIT = 500_000
+_SEEN_LIMIT = 1 << 18
+#: Words that are looked up at a time, so that the Python objects made for them do not grow with the batch.
+_SLICE = 1 << 20
 
 
 def _stems(words: pa.Array) -> pa.Array:
-    """Stem of every word of a flat column, computed once per distinct word."""
+    """Stem of every word of a flat column, computed once per distinct word of a slice, unless it was seen lately."""
+    parts = [_slice_stems(words.slice(at, _SLICE)) for at in range(0, len(words), _SLICE)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+
+def _slice_stems(words: pa.Array) -> pa.Array:
     coded = words.dictionary_encode()
-    if len(_SEEN) > _SEEN_LIMIT:
-        _SEEN.clear()
     stems = []
     for word in coded.dictionary.to_pylist():
         if word not in _SEEN:
+            if len(_SEEN) >= _SEEN_LIMIT:
+                _SEEN.clear()
             _SEEN[word] = porter.stem(word)
         stems.append(_SEEN[word])
     return pa.array(stems, type=pa.string()).take(coded.indices)

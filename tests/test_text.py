@@ -1,5 +1,6 @@
 """Text steps."""
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
@@ -121,3 +122,15 @@ def test_sparse_vectors_stay_sparse(spark):
     assert [[tuple(p) for p in r.e] for r in rows] == [[(1, 2.0), (3, -1.0)], [(1, 4.0)], [], [(0, -3.0), (1, -2.0)], [(0, -3.0)], []]
     parts = to_parts_column(df, "v", "p").orderBy("i").select(F.col("p.size"), F.col("p.indices"), F.col("p.values")).collect()
     assert [tuple(p) for p in parts[:2]] == [(5, [1, 3], [2.0, -1.0]), (3, [1], [4.0])]
+
+
+def test_stems_are_cut_into_slices_and_forgotten(monkeypatch):
+    monkeypatch.setattr(text, "_SLICE", 3)
+    monkeypatch.setattr(text, "_SEEN_LIMIT", 4)
+    monkeypatch.setattr(text, "_SEEN", {})
+    words = ["cats", None, "running", "cats", *(f"dogs{chr(97 + i)}s" for i in range(20)), "agreed"]
+    for column in (pa.array(words), pa.array([*words, "x"]).slice(0, len(words))):
+        assert text._stems(column).to_pylist() == [stem(w) for w in words]
+        # However many words there are, no more are remembered.
+        assert len(text._SEEN) <= 4
+    assert text._stems(pa.array([], pa.string())).to_pylist() == []
