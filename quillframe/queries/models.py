@@ -27,8 +27,12 @@ def _embeddings(spark, sf):
     )
 
 
+#: Rows of a fit's partition: some 50 MB in the form a tree keeps them in.
+_FIT_ROWS = 1 << 18
+
+
 def _lines(spark, sf):
-    return spread(table(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", "l_discount", "l_tax"))
+    return spread(table(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", "l_discount", "l_tax"), _FIT_ROWS)
 
 
 def _labelled(spark, sf):

@@ -140,3 +140,16 @@ def test_sweep(spark):
     for wrong in ({"k": 3}, {"k": 3, "seed": 1, "maxIter": 2}):
         with pytest.raises(ValueError):
             config_sweep(df, KMeans(), [wrong], lambda m: 0.0, "k int, seed int")
+
+
+def test_partitions_of_a_fit_grow_with_the_rows(spark):
+    from quillframe.operators.partitions import spread
+
+    rows = spark.range(0, 40_000, 1, 20)
+    assert spread(rows).rdd.getNumPartitions() == 20
+    dealt = spread(rows, 1000)
+    sizes = dealt.rdd.glom().map(len).collect()
+    assert len(sizes) == 40 and max(sizes) <= 1100 and sum(sizes) == 40_000
+    assert spread(rows, 5000).rdd.getNumPartitions() == 20
+    # A few large row groups: however many parts the files are cut into, the rows are dealt out.
+    assert spread(spark.range(0, 40_000, 1, 1), 1000).rdd.getNumPartitions() == 40
