@@ -289,7 +289,8 @@ def mlp_classify(spark, sf):
 def mlp_separable(spark, sf):
     # Classes that one column tells apart: the network has to get every row right.
     amount = F.when(F.col("l_quantity") <= 10, "few").when(F.col("l_quantity") <= 35, "some").otherwise("many")
-    rows = table(spark, sf, "lineitem").select(amount.alias("amount"), ((F.col("l_quantity") - 25) / 10).cast("double").alias("scaled"))
+    lines = spread(table(spark, sf, "lineitem").select("l_quantity"), _FIT_ROWS)
+    rows = lines.select(amount.alias("amount"), ((F.col("l_quantity") - 25) / 10).cast("double").alias("scaled"))
     scored = models.mlp(rows, "amount ~ scaled", [1, 6, 3], iterations=400).predict(rows)
     right = F.count_if(F.col("predicted_label") == F.col("amount"))
     return scored.groupBy("amount").agg(F.count(F.lit(1)).alias("n"), right.alias("n_right"))
