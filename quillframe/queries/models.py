@@ -480,17 +480,25 @@ def als(spark, sf):
     core = fitted.model.stages[-1]
     users = core.userFactors.select(F.col("id").alias("o_custkey"), F.col("features").alias("u"))
     items = core.itemFactors.select(F.col("id").alias("l_partkey"), F.col("features").alias("v"))
-    both = ratings.join(users, "o_custkey").join(items, "l_partkey")
+    # Users are joined last, so that a user's rows lie together when they are added up.
+    both = ratings.join(items, "l_partkey").join(users, "o_custkey")
     dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda t, x: t + x)
     # Factors are stored as floats, so the gap is measured against the size of what is added up.
     reach = F.aggregate(F.zip_with("u", "v", lambda a, b: F.abs(a.cast("double") * b)), F.lit(0.0), lambda t, x: t + x)
-    terms = both.select("o_custkey", "u", "quantity", (F.col("quantity") - dot).alias("error"), reach.alias("reach"), F.posexplode("v").alias("at", "x"))
-    pull = terms.groupBy("o_custkey", "at").agg(
-        F.sum(F.col("error") * F.col("x")).alias("pull"), F.sum((F.abs("quantity") + F.col("reach")) * F.abs("x")).alias("size"),
-        F.count(F.lit(1)).alias("n"), F.max(F.element_at("u", F.col("at") + 1)).alias("own"),
+    terms = both.select("o_custkey", "u", "v", "quantity", (F.col("quantity") - dot).alias("error"), reach.alias("reach"))
+    places = range(core.rank)
+    pull = terms.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.col("error") * F.col("v")[k]).alias(f"pull{k}") for k in places],
+        *[F.sum((F.abs("quantity") + F.col("reach")) * F.abs(F.col("v")[k])).alias(f"size{k}") for k in places],
+        *[F.max(F.col("u")[k]).alias(f"own{k}") for k in places],
     )
-    gap = F.abs(F.col("pull") - 0.01 * F.col("n") * F.col("own")) / (F.col("size") + 0.01 * F.col("n") * F.abs("own") + 1e-9)
-    solved = pull.groupBy("o_custkey").agg(F.max(gap).alias("gap")).where("gap < 1e-3").count()
+
+    def gap(k):
+        own = F.col(f"own{k}")
+        return F.abs(F.col(f"pull{k}") - 0.01 * F.col("n") * own) / (F.col(f"size{k}") + 0.01 * F.col("n") * F.abs(own) + 1e-9)
+
+    solved = pull.where(F.greatest(*[gap(k) for k in places]) < 1e-3).count()
     return fitted.predict(ratings).agg(
         F.lit(solved).cast("bigint").alias("n_solved"),
         F.count(F.lit(1)).alias("n"),
