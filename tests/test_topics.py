@@ -1,12 +1,15 @@
 """Count vectors, topics, word vectors and the staged run."""
 
+import random
+import uuid
+
 import pytest
 
 from quillframe.functions.arrays import vector_total
 from quillframe.operators.partitions import spread
 from quillframe.operators.relational import limit_rows, sum_of_row_maxima
 from quillframe.operators.udf import config_sweep
-from quillframe.plans import jobs
+from quillframe.plans import jobs, word_vectors
 from quillframe.plans.topics import (
     TopicSettings,
     annotate,
@@ -18,6 +21,7 @@ from quillframe.plans.topics import (
 )
 from quillframe.plans.versions import VersionStore
 from quillframe.plans.word_vectors import fit_word_vectors, synonyms, word_vector
+from quillframe.session import shared_dir
 
 ROWS = [(1, ["a", "a", "a", "b"]), (2, ["b", "b", "b", "c"]), (3, ["c"]), (4, [])]
 SETTINGS = TopicSettings(topics=2, iterations=5)
@@ -202,3 +206,47 @@ def test_job_line(spark, tmp_path, capsys):
     assert capsys.readouterr().out
     with pytest.raises(SystemExit):
         jobs.main(["unknown", *base])
+
+
+def _themes():
+    rng = random.Random(3)
+    themes = [[f"{t}{i}" for i in range(12)] for t in "abcde"]
+    return [([rng.choice(theme) if rng.random() < 0.8 else f"z{rng.randrange(30)}" for _ in range(rng.randint(0, 40))],) for theme in themes for _ in range(300)]
+
+
+def test_word_vectors_in_blocks(spark, monkeypatch):
+    # No task holds all words, and the same partitions give the same vectors; Spark's own fit does neither.
+    monkeypatch.setattr(word_vectors, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(word_vectors, "COUNTED_WORDS", 1000)
+    rows = _themes() + [(None,), ([],), (["a0", None, "b1"],), (["rare", "a1"],)]
+    df = spark.createDataFrame(rows, "tokens array<string>").repartition(3)
+    df.write.parquet(path := f"{shared_dir(spark)}/themes-{uuid.uuid4().hex}")
+    df = spark.read.parquet(path)
+    model = fit_word_vectors(df, size=16, iterations=3)
+    found = {r.word: r.vector.toArray().tolist() for r in model.getVectors().collect()}
+    assert len(found) == model.getVectors().count() == 90 and "rare" not in found
+    again = fit_word_vectors(df, size=16, iterations=3)
+    assert {r.word: r.vector.toArray().tolist() for r in again.getVectors().collect()} == found
+    near = [r.word for word in ("a3", "d1") for r in synonyms(model, word, 6).collect()]
+    assert sum(w[0] == t for w, t in zip(near, "a" * 6 + "d" * 6)) >= 10
+
+
+def test_every_block_is_in_one_cell_a_round():
+    for blocks in (1, 2, 5, 8):
+        met = set()
+        for turn in range(word_vectors._rounds(blocks)):
+            cells = word_vectors._cells(blocks, turn)
+            for cell in set(cells):
+                members = [b for b in range(blocks) if cells[b] == cell]
+                assert len(members) <= 2
+                if word_vectors._round_of(members[0], members[-1], blocks) == turn:
+                    met.add((members[0], members[-1]))
+        assert met == {(i, j) for i in range(blocks) for j in range(i, blocks)}
+
+
+def test_pairs_are_weighed_by_distance(spark):
+    texts = spark.createDataFrame([(["a", "x", "b", "a"],)], "tokens array<string>")
+    places = spark.createDataFrame([("a", 0, 0), ("b", 0, 1)], "word string, block int, at int")
+    rows = spark.read.parquet(word_vectors._stored_pairs(texts, places, 1, 2)).collect()
+    # Without x, b stands beside the first a, and both a are two words apart.
+    assert [(list(r.l), list(r.r), list(r.w)) for r in rows] == [([0, 0], [0, 1], [1, 4])]
