@@ -38,6 +38,9 @@ PIECES = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"." * 9 + b" ")
 #: Bits of a length's bitmap: 8 MB whatever the tables hold.
 BITMAP_BITS = 26
 BUCKET_BITS = 40
+#: Buckets are sent and added up by ranges of the same first bits; a task sends or adds up so many at a time.
+RANGE_BITS = 12
+BUCKETS = 1 << 20
 #: Bytes of text in a block; a task holds a few blocks' words as Python objects.
 BLOCK_BYTES = 2 << 20
 #: Bytes of candidate phrases in one trie.
@@ -158,14 +161,78 @@ def word_bitmap(words: DataFrame):
 def bucket_bitmap(texts: DataFrame, size: int, shorter, min_count: int):
     """Bitmap of the buckets that hold at least ``min_count`` places with a possible phrase of ``size`` words."""
 
+    low_bits = BUCKET_BITS - RANGE_BITS
+
     def count(batches):
+        found, held = [], 0
         for _, _, hashes, codes in _blocks(batches):
             at = _possible(hashes, codes, size, shorter.value)
-            buckets, n = np.unique(_phrase_hashes(hashes, size)[at] >> np.uint64(64 - BUCKET_BITS), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int64)), pa.array(n.astype(np.int64))], ["bucket", "n"])
+            found.append(np.unique(_phrase_hashes(hashes, size)[at] >> np.uint64(64 - BUCKET_BITS), return_counts=True))
+            held += len(found[-1][0])
+            if held >= BUCKETS:
+                yield _bucket_rows(*_summed(found), low_bits)
+                found, held = [], 0
+        if held:
+            yield _bucket_rows(*_summed(found), low_bits)
+
+    def enough(first, found):
+        offsets, n = _summed(found)
+        return pa.RecordBatch.from_arrays([pa.array((first << low_bits) + offsets[n >= min_count].astype(np.int64))], ["bucket"])
+
+    def add(batches):
+        first, found, held, merged = None, [], 0, 0
+        for batch in batches:
+            for at, length, offsets, counts in zip(*(batch.column(c).to_pylist() for c in ("first", "size", "offsets", "counts"))):
+                if at != first and found:
+                    yield enough(first, found)
+                    found, held, merged = [], 0, 0
+                first = at
+                found.append((_offsets(offsets, length), _unpacked(counts, length)))
+                held += length
+                if held > max(2 * merged, BUCKETS):
+                    found = [_summed(found)]
+                    held = merged = len(found[0][0])
+        if found:
+            yield enough(first, found)
+
+    packed = texts.select("lang", "words", "hashes", "codes").mapInArrow(count, "first bigint, size int, offsets binary, counts binary")
+    return _bitmap(texts.sparkSession, packed.repartition("first").sortWithinPartitions("first").mapInArrow(add, "bucket bigint"))
+
+
+def _summed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order with the sums of their counts."""
+    if len(found) == 1:
+        return found[0]
+    keys = np.concatenate([k for k, _ in found])
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(np.concatenate([n for _, n in found])[order], first)
+
+
+def _bucket_rows(buckets: np.ndarray, n: np.ndarray, low_bits: int) -> pa.RecordBatch:
+    """Buckets in order as a row a range: the steps from one to the next, and their counts, in as few bytes as the largest needs."""
+    first, offsets = (buckets >> np.uint64(low_bits)).astype(np.int64), (buckets & np.uint64((1 << low_bits) - 1)).astype(np.int64)
+    begins = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
+    ends = np.r_[begins[1:], len(first)]
+    steps = [_steps(offsets[a:b]) for a, b in zip(begins, ends)]
+    counts = [_packed(n[a:b]) for a, b in zip(begins, ends)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(first[begins]), pa.array((ends - begins).astype(np.int32)), pa.array(steps, pa.binary()), pa.array(counts, pa.binary())],
+        ["first", "size", "offsets", "counts"],
+    )
+
+
+def _steps(offsets: np.ndarray) -> bytes:
+    steps = np.diff(offsets, prepend=0).astype("<u4")
+    width = max(1, -(-int(steps.max()).bit_length() // 8))
+    return steps.view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
 
-    counted = texts.select("lang", "words", "hashes", "codes").mapInArrow(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    return _bitmap(texts.sparkSession, counted.where(F.col("n") >= min_count))
+def _offsets(data: bytes, length: int) -> np.ndarray:
+    steps = np.zeros((length, 4), np.uint8)
+    steps[:, : len(data) // length] = np.frombuffer(data, np.uint8).reshape(length, -1)
+    return np.cumsum(steps.view("<u4").ravel(), dtype=np.int64)
 
 
 def candidates(texts: DataFrame, size: int, shorter, passing, frequent: DataFrame) -> DataFrame:

@@ -34,3 +34,37 @@ def test_packed_counts(most):
 def test_no_phrases():
     trie = phrase_mining.DoubleArrayTrie([], 2)
     assert trie.count("en", pa.array(["."]), np.zeros(5, np.int32)).tolist() == []
+
+
+def test_buckets_are_packed_by_ranges(spark, monkeypatch):
+    from quillframe.llm import phrase_mining as p
+
+    rng = np.random.default_rng(5)
+    found = [np.unique(rng.integers(0, 1 << p.BUCKET_BITS, n, np.uint64) >> np.uint64(shift), return_counts=True) for n, shift in ((5000, 0), (3000, 28), (1, 0))]
+    want = {}
+    for keys, counts in found:
+        for k, n in zip(keys.tolist(), counts.tolist()):
+            want[k] = want.get(k, 0) + n
+    low = p.BUCKET_BITS - p.RANGE_BITS
+    keys, counts = p._summed(found)
+    assert dict(zip(keys.tolist(), counts.tolist())) == want
+    rows = p._bucket_rows(keys, counts, low)
+    got = {}
+    for first, size, offsets, n in zip(*(rows.column(c).to_pylist() for c in rows.schema.names)):
+        got |= dict(zip(((first << low) + p._offsets(offsets, size)).tolist(), p._unpacked(n, size).tolist()))
+    assert got == want
+    # A step between buckets takes at most four bytes; a row of two whole numbers a bucket took sixteen.
+    many = p._bucket_rows(*np.unique(rng.integers(0, 1 << p.BUCKET_BITS, 1 << 20, np.uint64), return_counts=True), low)
+    assert many.nbytes < 5 * (1 << 20)
+
+    # The same bitmap however few buckets are held at a time.
+    df = spark.createDataFrame([("de", f"a{i % 7} b{i % 5} c{i % 3}, a{i % 7} b{i % 5}") for i in range(400)], "lang string, text string").repartition(3)
+
+    def bitmap():
+        texts = p.corpus(df)
+        words = p.word_counts(texts).where("n >= 30").withColumnRenamed("word", "phrase")
+        return p.bucket_bitmap(texts, 2, p.word_bitmap(words), 12).value
+
+    whole = bitmap()
+    monkeypatch.setattr(p, "BUCKETS", 2)
+    assert whole.any() and np.array_equal(whole, bitmap())
