@@ -49,8 +49,10 @@ def remove_stop_words(
     return F.filter(tokens, lambda t: ~(t if lowered else F.lower(t)).isin(stop))
 
 
-# Stems seen lately by this task; emptied when it holds so many.
+# Stems seen lately by this task. When the first holds half of the limit, it takes the place of the second,
+# whose words come back as they are seen again; so frequent words stay and rare ones go.
 _SEEN: dict[str, str] = {}
+_SEEN_BEFORE: dict[str, str] = {}
 _SEEN_LIMIT = 1 << 18
 #: Words that are looked up at a time, so that the Python objects made for them do not grow with the batch.
 _SLICE = 1 << 20
@@ -65,12 +67,16 @@ def _stems(words: pa.Array) -> pa.Array:
 def _slice_stems(words: pa.Array) -> pa.Array:
     coded = words.dictionary_encode()
     stems = []
-    for word in coded.dictionary.to_pylist():
-        if word not in _SEEN:
-            if len(_SEEN) >= _SEEN_LIMIT:
+    for word in coded.dictionary.to_numpy(zero_copy_only=False).tolist():
+        stem = _SEEN.get(word)
+        if stem is None:
+            if 2 * len(_SEEN) >= _SEEN_LIMIT:
+                _SEEN_BEFORE.clear()
+                _SEEN_BEFORE.update(_SEEN)
                 _SEEN.clear()
-            _SEEN[word] = porter.stem(word)
-        stems.append(_SEEN[word])
+            stem = _SEEN_BEFORE.get(word)
+            _SEEN[word] = stem = porter.stem(word) if stem is None else stem
+        stems.append(stem)
     return pa.array(stems, type=pa.string()).take(coded.indices)
 
 

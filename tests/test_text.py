@@ -134,3 +134,32 @@ def test_stems_are_cut_into_slices_and_forgotten(monkeypatch):
         # However many words there are, no more are remembered.
         assert len(text._SEEN) <= 4
     assert text._stems(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_words_without_a_listed_ending_take_no_step(monkeypatch):
+    from quillframe.functions import porter
+
+    calls = []
+    monkeypatch.setattr(porter, "_plural", lambda word: calls.append(word) or word)
+    assert [porter.stem(w) for w in ("garten", "haut", "zah", "schön", "tag")] == ["garten", "haut", "zah", "schön", "tag"]
+    assert not calls
+    # Every listed ending is still looked at.
+    for ending in (*porter.STEP_2, *porter.STEP_3, *porter.STEP_4, "s", "eed", "ed", "ing", "y", "e", "ll"):
+        porter.stem("xx" + ending)
+    assert len(calls) == len(porter.STEP_2) + len(porter.STEP_3) + len(porter.STEP_4) + 7
+
+
+def test_frequent_words_stay_remembered(monkeypatch):
+    from quillframe.functions import porter, text
+
+    for name in ("_SEEN", "_SEEN_BEFORE"):
+        monkeypatch.setattr(text, name, {})
+    monkeypatch.setattr(text, "_SEEN_LIMIT", 6)
+    calls = []
+    real = porter.stem
+    monkeypatch.setattr(porter, "stem", lambda word: calls.append(word) or real(word))
+    for i in range(20):
+        found = text._stems(pa.array(["running", f"rare{i}s", None, "running"]))
+        assert found.to_pylist() == ["run", f"rare{i}", None, "run"]
+        assert len(text._SEEN) + len(text._SEEN_BEFORE) <= 6
+    assert calls.count("running") == 1
