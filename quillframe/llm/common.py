@@ -46,13 +46,13 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
 
 
 def stored_wide(df: DataFrame, label: str) -> DataFrame:
-    """As ``stored``, for rows of a megabyte and more: pages and row groups end by their bytes.
+    """As ``stored``, for rows of a megabyte and more: pages and row groups end by their bytes and are compressed by zstd.
 
     The writer's default looks at sizes every 100 rows only, so that a page of wide
     rows, its compression buffers and the batch a reader decodes grow with the rows of a file.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.option("parquet.page.size.row.check.min", 1).option("parquet.block.size", WIDE_GROUP_BYTES).parquet(path)
+    df.write.option("parquet.page.size.row.check.min", 1).option("parquet.block.size", WIDE_GROUP_BYTES).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -1,7 +1,8 @@
 """Phrase collocations: frequent phrases counted by broadcast double-array tries of Apriori-safe candidates.
 
 The texts are split into pieces and words once and written as numbered words with a
-dictionary per block of texts. Then, for phrases of two, three and four words:
+dictionary per block of texts; words' hashes are made anew at each reading, since they are
+larger than the numbers. Then, for phrases of two, three and four words:
 
 1. Candidates. Every place whose two shorter phrases can be frequent adds one to the bucket
    its phrase's hash falls in. Only phrases of buckets with at least ``min_count`` can be
@@ -41,8 +42,11 @@ BUCKET_BITS = 40
 #: Buckets are sent and added up by ranges of the same first bits; a task sends or adds up so many at a time.
 RANGE_BITS = 12
 BUCKETS = 1 << 20
-#: Bytes of text in a block; a task holds a few blocks' words as Python objects.
+#: Bytes of a language's text in a block. A task holds so much as Python objects, and numbered words of so many blocks until they are full.
 BLOCK_BYTES = 2 << 20
+HELD_BLOCKS = 4
+#: Bytes of a word that are hashed for all words at once; longer words are hashed one by one.
+SHORT_WORD = 64
 #: Bytes of candidate phrases in one trie.
 TRIE_BYTES = 32 << 20
 #: Phrases whose counts a task sends as one packed row.
@@ -63,48 +67,99 @@ class PhraseSettings:
     top: int = 2000
 
 
-CORPUS = "lang string, words array<string>, counts array<bigint>, hashes array<bigint>, codes binary"
+CORPUS = "lang string, words array<string>, counts array<bigint>, codes binary"
 
 
-def _word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(lang.encode() + b" " + word) - (1 << 63)
+def _word_hashes(lang: str, words: pa.Array) -> np.ndarray:
+    """A hash of each word and its language: all words together, a byte a step."""
+    words = words.cast(pa.string())
+    if not len(words):
+        return np.empty(0, np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    letters = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    starts, lengths = offsets[:-1], np.diff(offsets)
+    seed = xxhash.xxh64_intdigest(lang.encode())
+    hashes = np.full(len(words), seed, np.uint64)
+    left = np.flatnonzero(lengths <= SHORT_WORD)
+    for j in range(SHORT_WORD):
+        left = left[lengths[left] > j]
+        if not len(left):
+            break
+        hashes[left] = (hashes[left] ^ letters[starts[left] + j]) * ODD
+    for i in np.flatnonzero(lengths > SHORT_WORD).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(letters[starts[i] : offsets[i + 1]].tobytes(), seed)
+    return (hashes ^ (hashes >> np.uint64(32))) * ODD
 
 
 def corpus(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Blocks of texts of one language: their words, how often each occurs, its hash, and all places as numbers of words, 0 between pieces."""
+    """Blocks of texts of one language: their words, how often each occurs, and all places as numbers of words, 0 between pieces."""
     arrow_bounded(df.sparkSession)
     rows = df.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
     def number(batches):
+        held: dict[str, list[pa.DictionaryArray]] = {}
+        sizes: dict[str, int] = {}
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
                 places: dict[str, list[bytes]] = {}
                 for name, value in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                     tokens = places.setdefault(name, [b"."])
-                    tokens += value.encode().lower().translate(PIECES).replace(b".", b" . ").split()
+                    value = value.encode()
+                    tokens += value.lower().translate(PIECES).replace(b".", b" . ").split()
                     tokens.append(b".")
+                    sizes[name] = sizes.get(name, 0) + len(value) + 1
                 del part
                 for name, tokens in places.items():
-                    coded = pa.array(tokens, pa.binary()).dictionary_encode()
-                    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-                    words = coded.dictionary
-                    hashes = np.array([_word_hash(name, w) for w in words.to_pylist()], np.int64)
-                    counts = np.bincount(codes, minlength=len(words))
-                    one = np.array([0, len(words)], np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name]), pa.ListArray.from_arrays(one, words.cast(pa.string())), pa.ListArray.from_arrays(one, pa.array(counts, pa.int64())), pa.ListArray.from_arrays(one, pa.array(hashes)), pa.array([codes.tobytes()], pa.binary())],
-                        ["lang", "words", "counts", "hashes", "codes"],
-                    )
+                    held.setdefault(name, []).append(pa.array(tokens, pa.binary()).dictionary_encode())
+                del places
+                for name in list(held):
+                    if sizes[name] >= BLOCK_BYTES or sum(sizes.values()) >= HELD_BLOCKS * BLOCK_BYTES:
+                        yield _block_row(name, held.pop(name))
+                        del sizes[name]
+        for name in list(held):
+            yield _block_row(name, held.pop(name))
 
     return stored_wide(rows.mapInArrow(number, CORPUS), "phrase-corpus")
 
 
+def _block_row(lang: str, held: list[pa.DictionaryArray]) -> pa.RecordBatch:
+    """A block's row. Words are numbered by how often they occur, after the piece end, so that most numbers are small."""
+    coded = pa.chunked_array(held).unify_dictionaries()
+    words = coded.chunk(0).dictionary
+    codes = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in coded.chunks])
+    counts = np.bincount(codes, minlength=len(words))
+    order = np.r_[0, np.argsort(-counts[1:], kind="stable") + 1]
+    number = np.empty(len(order), np.min_scalar_type(len(order)))
+    number[order] = np.arange(len(order))
+    one = np.array([0, len(words)], np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang]), pa.ListArray.from_arrays(one, words.take(pa.array(order)).cast(pa.string())), pa.ListArray.from_arrays(one, pa.array(counts[order], pa.int64())), pa.array([_planes(number[codes])], pa.binary())],
+        ["lang", "words", "counts", "codes"],
+    )
+
+
+def _planes(codes: np.ndarray) -> bytes:
+    """All numbers' first bytes, then all their second bytes and so on, which compress better than numbers."""
+    return codes.view(np.uint8).reshape(len(codes), -1).T.tobytes()
+
+
+def _numbers(data: bytes, length: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(-1, length)
+    return np.ascontiguousarray(planes.T).view(f"u{len(planes)}").ravel().astype(np.int32)
+
+
 def _blocks(batches):
-    """(language, words, hash of every place, number of every place) of each block of texts."""
+    """(language, words, number of every place) of each block of texts."""
     for batch in batches:
         for i in range(batch.num_rows):
-            codes = np.frombuffer(batch.column("codes")[i].as_py(), np.int32)
-            yield batch.column("lang")[i].as_py(), batch.column("words")[i].values, batch.column("hashes")[i].values.to_numpy().view(np.uint64)[codes], codes
+            length = int(batch.column("counts")[i].values.to_numpy().sum())
+            yield batch.column("lang")[i].as_py(), batch.column("words")[i].values, _numbers(batch.column("codes")[i].as_py(), length)
+
+
+def _hashed_blocks(batches):
+    """The same with the hash of every place."""
+    for lang, words, codes in _blocks(batches):
+        yield lang, words, _word_hashes(lang, words)[codes], codes
 
 
 def _phrase_hashes(word: np.ndarray, size: int) -> np.ndarray:
@@ -151,9 +206,10 @@ def word_bitmap(words: DataFrame):
 
     def bucket(batches):
         for batch in batches:
-            pairs = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
-            hashes = _phrase_hashes(np.array([_word_hash(lang, word.encode()) for lang, word in pairs], np.int64).view(np.uint64), 1)
-            yield pa.RecordBatch.from_arrays([pa.array((hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))], ["bucket"])
+            for lang in batch.column("lang").unique().to_pylist():
+                own = batch.column("phrase").filter(pc.equal(batch.column("lang"), lang))
+                hashes = _phrase_hashes(_word_hashes(lang, own), 1)
+                yield pa.RecordBatch.from_arrays([pa.array((hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))], ["bucket"])
 
     return _bitmap(words.sparkSession, words.select("lang", "phrase").mapInArrow(bucket, "bucket bigint"))
 
@@ -165,7 +221,7 @@ def bucket_bitmap(texts: DataFrame, size: int, shorter, min_count: int):
 
     def count(batches):
         found, held = [], 0
-        for _, _, hashes, codes in _blocks(batches):
+        for _, _, hashes, codes in _hashed_blocks(batches):
             at = _possible(hashes, codes, size, shorter.value)
             found.append(np.unique(_phrase_hashes(hashes, size)[at] >> np.uint64(64 - BUCKET_BITS), return_counts=True))
             held += len(found[-1][0])
@@ -195,7 +251,7 @@ def bucket_bitmap(texts: DataFrame, size: int, shorter, min_count: int):
         if found:
             yield enough(first, found)
 
-    packed = texts.select("lang", "words", "hashes", "codes").mapInArrow(count, "first bigint, size int, offsets binary, counts binary")
+    packed = texts.select("lang", "words", "counts", "codes").mapInArrow(count, "first bigint, size int, offsets binary, counts binary")
     return _bitmap(texts.sparkSession, packed.repartition("first").sortWithinPartitions("first").mapInArrow(add, "bucket bigint"))
 
 
@@ -239,7 +295,7 @@ def candidates(texts: DataFrame, size: int, shorter, passing, frequent: DataFram
     """(lang, phrase) of all phrases that can be frequent: their bucket is, and their two shorter phrases are by count."""
 
     def listed(batches):
-        for lang, words, hashes, codes in _blocks(batches):
+        for lang, words, hashes, codes in _hashed_blocks(batches):
             at = _possible(hashes, codes, size, shorter.value)
             at = at[_in_bitmap(passing.value, _phrase_hashes(hashes, size)[at])]
             number = codes[at].astype(np.int64)
@@ -250,7 +306,7 @@ def candidates(texts: DataFrame, size: int, shorter, passing, frequent: DataFram
             parts = [words.take(pa.array(codes[at[first] + j])) for j in range(size)]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first), pa.string()), pc.binary_join_element_wise(*parts, " ")], ["lang", "phrase"])
 
-    found = texts.select("lang", "words", "hashes", "codes").mapInArrow(listed, "lang string, phrase string").distinct()
+    found = texts.select("lang", "words", "counts", "codes").mapInArrow(listed, "lang string, phrase string").distinct()
     split = F.split("phrase", " ")
     known = frequent.select("lang", F.col("phrase").alias("part"))
     for start in (1, 2):
@@ -382,7 +438,7 @@ def count_phrases(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
 
         def count(batches, trie=trie):
             own, totals = trie.value, None
-            for lang, words, _, codes in _blocks(batches):
+            for lang, words, codes in _blocks(batches):
                 more = own.count(lang, words, codes)
                 totals = more if totals is None else totals + more
             if totals is not None and totals.any():
@@ -401,7 +457,7 @@ def count_phrases(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
                 at = pa.array(seen + start)
                 yield pa.RecordBatch.from_arrays([own.langs.take(at), own.phrases.take(at), pa.array(counts[seen])], ["lang", "phrase", "n"])
 
-        shards = texts.select("lang", "words", "hashes", "codes").mapInArrow(count, "start bigint, counts binary")
+        shards = texts.select("lang", "words", "counts", "codes").mapInArrow(count, "start bigint, counts binary")
         part = stored(shards.repartition("start").mapInArrow(add, "lang string, phrase string, n bigint"), "phrase-counts")
         trie.destroy()
         counted = part if counted is None else counted.unionByName(part)

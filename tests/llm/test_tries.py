@@ -68,3 +68,46 @@ def test_buckets_are_packed_by_ranges(spark, monkeypatch):
     whole = bitmap()
     monkeypatch.setattr(p, "BUCKETS", 2)
     assert whole.any() and np.array_equal(whole, bitmap())
+
+
+@pytest.mark.parametrize("vocabulary", [50, 3000, 90_000])
+def test_numbered_texts_are_small(spark, tmp_path, vocabulary, monkeypatch):
+    from pathlib import Path
+
+    rng = np.random.default_rng(vocabulary)
+    made = [[f"Word{n}é" for n in np.minimum(rng.zipf(1.3, 400), vocabulary)] for _ in range(600)]
+    texts = [" ".join(words) + "." for words in made] + ["", None]
+    if vocabulary == 50:
+        monkeypatch.setattr(phrase_mining, "BLOCK_BYTES", 20_000)  # many blocks, and some languages written before others
+    df = spark.createDataFrame([(["de", "en", "fr", None][i % 4], t) for i, t in enumerate(texts)], "lang string, text string").coalesce(2)
+    stored = phrase_mining.corpus(df)
+    total = sum(len(words) for words in made)
+    written = sum(Path(f.removeprefix("file:")).stat().st_size for f in stored.inputFiles())
+    # Four bytes a place and eight bytes a word of a block for its hash went to disk.
+    assert written < 3 * total
+    want = {}
+    for i, words in enumerate(made):
+        for w in words:
+            key = (["de", "en", "fr", "und"][i % 4], w.replace("W", "w"))
+            want[key] = want.get(key, 0) + 1
+    assert {(r.lang, r.word): r.n for r in phrase_mining.word_counts(stored).collect()} == want
+    placed = {}
+    for lang, words, codes in phrase_mining._blocks(stored.toArrow().to_batches()):
+        assert words[0].as_py() == "." and codes[0] == 0
+        names = words.to_pylist()
+        placed.setdefault(lang, []).extend(" ".join(names[c] for c in codes).split(" . "))
+    tokens = lambda parts: sorted(p for p in (p.strip(" .") for p in parts) if p)
+    for k, lang in enumerate(("de", "en", "fr", "und")):
+        assert tokens(placed[lang]) == sorted(" ".join(words).replace("W", "w") for words in made[k::4])
+
+
+def test_word_hashes_depend_on_word_and_language():
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("abé") for _ in range(rng.choice([1, 2, 3, 7, 63, 64, 65, 200]))) for _ in range(3000)})
+    every = phrase_mining._word_hashes("en", pa.array(words))
+    assert len(set(every.tolist())) == len(words)
+    assert not set(every.tolist()) & set(phrase_mining._word_hashes("de", pa.array(words)).tolist())
+    part = rng.sample(range(len(words)), 200)
+    assert phrase_mining._word_hashes("en", pa.array([words[i] for i in part])).tolist() == every[part].tolist()
+    assert phrase_mining._word_hashes("en", pa.array(words).slice(100, 50)).tolist() == every[100:150].tolist()
+    assert len(phrase_mining._word_hashes("en", pa.array([], pa.string()))) == 0
