@@ -42,6 +42,9 @@ BUCKET_BITS = 40
 #: Buckets are sent and added up by ranges of the same first bits; a task sends or adds up so many at a time.
 RANGE_BITS = 12
 BUCKETS = 1 << 20
+#: Listed phrases are sent by ranges of their hashes' first bits; a task holds so many bytes of them before it sends them or drops the repeated ones.
+PHRASE_RANGE_BITS = 8
+LISTED_BYTES = 24 << 20
 #: Bytes of a language's text in a block. A task holds so much as Python objects, and numbered words of so many blocks until they are full.
 BLOCK_BYTES = 2 << 20
 HELD_BLOCKS = 4
@@ -295,6 +298,7 @@ def candidates(texts: DataFrame, size: int, shorter, passing, frequent: DataFram
     """(lang, phrase) of all phrases that can be frequent: their bucket is, and their two shorter phrases are by count."""
 
     def listed(batches):
+        held, size_held = {}, 0
         for lang, words, hashes, codes in _hashed_blocks(batches):
             at = _possible(hashes, codes, size, shorter.value)
             at = at[_in_bitmap(passing.value, _phrase_hashes(hashes, size)[at])]
@@ -304,9 +308,31 @@ def candidates(texts: DataFrame, size: int, shorter, passing, frequent: DataFram
                 _, number = np.unique(number * len(words) + codes[at + j], return_inverse=True)
             _, first = np.unique(number, return_index=True)
             parts = [words.take(pa.array(codes[at[first] + j])) for j in range(size)]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first), pa.string()), pc.binary_join_element_wise(*parts, " ")], ["lang", "phrase"])
+            held.setdefault(lang, []).append(pc.binary_join_element_wise(*parts, " "))
+            size_held += held[lang][-1].nbytes
+            if size_held >= LISTED_BYTES:
+                yield from (_phrase_rows(k, _distinct(v)) for k, v in held.items())
+                held, size_held = {}, 0
+        yield from (_phrase_rows(k, _distinct(v)) for k, v in held.items())
 
-    found = texts.select("lang", "words", "counts", "codes").mapInArrow(listed, "lang string, phrase string").distinct()
+    def add(batches):
+        key, found, held, merged = None, [], 0, 0
+        for batch in batches:
+            for lang, at, length, phrases in zip(*(batch.column(c).to_pylist() for c in ("lang", "first", "size", "phrases"))):
+                if key != (lang, at) and found:
+                    yield _named(key[0], _distinct(found))
+                    found, held, merged = [], 0, 0
+                key = lang, at
+                found.append(_phrases(phrases, length))
+                held += found[-1].nbytes
+                if held > max(2 * merged, LISTED_BYTES):
+                    found = [_distinct(found)]
+                    held = merged = found[0].nbytes
+        if found:
+            yield _named(key[0], _distinct(found))
+
+    packed = texts.select("lang", "words", "counts", "codes").mapInArrow(listed, "lang string, first int, size int, phrases binary")
+    found = packed.repartition("lang", "first").sortWithinPartitions("lang", "first").mapInArrow(add, "lang string, phrase string")
     split = F.split("phrase", " ")
     known = frequent.select("lang", F.col("phrase").alias("part"))
     for start in (1, 2):
@@ -314,6 +340,33 @@ def candidates(texts: DataFrame, size: int, shorter, passing, frequent: DataFram
     return stored(found, "phrase-candidates")
 
 
+def _distinct(phrases: list[pa.Array]) -> pa.Array:
+    return pc.unique(pa.chunked_array(phrases, pa.string()))
+
+
+def _named(lang: str, phrases: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(phrases)), phrases], ["lang", "phrase"])
+
+
+def _phrase_rows(lang: str, phrases: pa.Array) -> pa.RecordBatch:
+    """Phrases of a language as a row a range of hashes: in order, which share their beginnings, a line each, compressed."""
+    phrases = phrases.take(pc.sort_indices(phrases))
+    first = (_word_hashes(lang, phrases) >> np.uint64(64 - PHRASE_RANGE_BITS)).astype(np.int32)
+    order = np.argsort(first, kind="stable")
+    begins = np.flatnonzero(np.diff(first[order], prepend=-1))
+    lines = pc.binary_join(pa.ListArray.from_arrays(np.r_[begins, len(first)].astype(np.int32), phrases.take(pa.array(order))), "\n").cast(pa.binary())
+    zstd = pa.Codec("zstd")
+    return pa.RecordBatch.from_arrays(
+        [pa.repeat(pa.scalar(lang), len(begins)), pa.array(first[order][begins]), pc.binary_length(lines), pa.array([zstd.compress(r.as_buffer(), asbytes=True) for r in lines], pa.binary())],
+        ["lang", "first", "size", "phrases"],
+    )
+
+
+def _phrases(data: bytes, length: int) -> pa.Array:
+    lines = pa.Codec("zstd").decompress(data, decompressed_size=length, asbytes=True)
+    return pc.split_pattern(pa.array([lines], pa.binary()).cast(pa.string()), "\n").flatten()
+
+
 class DoubleArrayTrie:
     """Phrases of ``size`` words as a double array; state 0 is the root.
 

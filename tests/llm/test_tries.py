@@ -111,3 +111,43 @@ def test_word_hashes_depend_on_word_and_language():
     assert phrase_mining._word_hashes("en", pa.array([words[i] for i in part])).tolist() == every[part].tolist()
     assert phrase_mining._word_hashes("en", pa.array(words).slice(100, 50)).tolist() == every[100:150].tolist()
     assert len(phrase_mining._word_hashes("en", pa.array([], pa.string()))) == 0
+
+
+def test_listed_phrases_are_packed_by_ranges(spark, monkeypatch):
+    p = phrase_mining
+    rng = random.Random(7)
+    phrases = sorted({f"word{int(3000 * rng.random() ** 3)} é{int(3000 * rng.random() ** 3)}" for _ in range(60_000)})
+    rng.shuffle(phrases)
+    rows = p._phrase_rows("en", pa.array(phrases))
+    ranges = [p._phrases(data, size).to_pylist() for data, size in zip(rows.column("phrases").to_pylist(), rows.column("size").to_pylist())]
+    assert sorted(x for part in ranges for x in part) == sorted(phrases) and len(ranges) == 1 << p.PHRASE_RANGE_BITS
+    assert rows.nbytes < sum(len(x.encode()) for x in phrases) / 2
+    # Any task deals a phrase to the same range.
+    again = p._phrase_rows("en", pa.array(ranges[5]))
+    assert again.column("first").to_pylist() == [rows.column("first")[5].as_py()]
+    assert p._phrase_rows("en", pa.array([], pa.string())).num_rows == 0
+
+    # The same phrases once each however few are held at a time, and as many rows as ranges leave a task.
+    monkeypatch.setattr(p, "BLOCK_BYTES", 2000)
+    texts = [(["de", None][i % 2], f"a{i % 7} b{i % 5} c{i % 3}, a{i % 7} b{i % 5} {rng.choice('xyz')}{i}") for i in range(400)]
+    df = spark.createDataFrame(texts, "lang string, text string").repartition(3)
+
+    def listed(size):
+        numbered = p.corpus(df)
+        words = p.word_counts(numbered).where("n >= 12").withColumnRenamed("word", "phrase")
+        shorter = p.word_bitmap(words)
+        passing = p.bucket_bitmap(numbered, size, shorter, 3)
+        return sorted(map(tuple, p.candidates(numbered, size, shorter, passing, words).collect()))
+
+    whole = listed(2)
+    want = {}
+    for lang, text in texts:
+        for piece in text.split(","):
+            words = piece.split()
+            for pair in zip(words, words[1:]):
+                key = (lang or "und", " ".join(pair))
+                want[key] = want.get(key, 0) + 1
+    frequent = {k for k, n in want.items() if n >= 3}
+    assert frequent and frequent <= set(whole) and len(whole) == len(set(whole))
+    monkeypatch.setattr(p, "LISTED_BYTES", 2)
+    assert listed(2) == whole
