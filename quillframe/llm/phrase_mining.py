@@ -102,6 +102,7 @@ def corpus(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     def number(batches):
         held: dict[str, list[pa.DictionaryArray]] = {}
         sizes: dict[str, int] = {}
+        total = 0
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
                 places: dict[str, list[bytes]] = {}
@@ -111,14 +112,15 @@ def corpus(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
                     tokens += value.lower().translate(PIECES).replace(b".", b" . ").split()
                     tokens.append(b".")
                     sizes[name] = sizes.get(name, 0) + len(value) + 1
+                    total += len(value) + 1
                 del part
                 for name, tokens in places.items():
                     held.setdefault(name, []).append(pa.array(tokens, pa.binary()).dictionary_encode())
                 del places
                 for name in list(held):
-                    if sizes[name] >= BLOCK_BYTES or sum(sizes.values()) >= HELD_BLOCKS * BLOCK_BYTES:
+                    if sizes[name] >= BLOCK_BYTES or total >= HELD_BLOCKS * BLOCK_BYTES:
+                        total -= sizes.pop(name)
                         yield _block_row(name, held.pop(name))
-                        del sizes[name]
         for name in list(held):
             yield _block_row(name, held.pop(name))
 
