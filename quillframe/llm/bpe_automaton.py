@@ -16,6 +16,7 @@ entered again. Arc tests are kept in a table. Decoding emits the arcs' labels.
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import re
 import struct
@@ -198,8 +199,9 @@ class WordTokenizer:
         self._marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._pattern = regex.compile(split["pattern"]["Regex"].replace(r"[^\s\p{L}\p{N}]", rf"[^{_SPACE}\p{{L}}\p{{N}}]"))
         self._letters = {i: c for i, c in enumerate(byte_letters())}
-        self._words: dict[str, list[int]] = {}
-        self._chunks: dict[str, tuple[bytes, str]] = {}
+        # Tuples of numbers: small, and unlike lists, Python's collector stops walking them.
+        self._words: dict[str, tuple[int, ...]] = {}
+        self._chunks: dict[str, tuple[int, ...]] = {}
         self._older_words, self._older_chunks = {}, {}
         self._known: set[str] = set()  # characters met that are in the Unicode tables
 
@@ -207,10 +209,10 @@ class WordTokenizer:
         """The byte letters of a word; ASCII letters and digits stand for themselves."""
         return word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self._letters)
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> tuple[int, ...]:
         found = self._words.get(word)
         if found is None:
-            found = self._older_words.get(word) or self.automaton.encode(self._spelled(word))
+            found = self._older_words.get(word) or tuple(self.automaton.encode(self._spelled(word)))
             if len(word) < 64:
                 if len(self._words) >= WORDS:
                     self._older_words = self._words.copy()
@@ -226,8 +228,8 @@ class WordTokenizer:
             self._known |= new
         return self._pattern.findall(text)
 
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Packed ids and joined labels of a piece without white space that is not among the newer ones."""
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
+        """Ids of a piece without white space that is not among the newer ones."""
         found = self._older_chunks.get(chunk) or self._made(chunk)
         if len(chunk) < 64:
             if len(self._chunks) >= WORDS:
@@ -236,13 +238,15 @@ class WordTokenizer:
             self._chunks[chunk] = found
         return found
 
-    def _made(self, chunk: str) -> tuple[bytes, str]:
+    def _made(self, chunk: str) -> tuple[int, ...]:
         text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)
         # Every character is lower-cased for itself; a whole word would get a final sigma.
         text = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
         words = [text] if text.isascii() and text.isalpha() else self._split(text)
-        ids = [i for w in words for i in self._word(w)]
-        return struct.pack(f"<{len(ids)}I", *ids), " ".join(self.automaton.decode(ids))
+        return self._word(words[0]) if len(words) == 1 else tuple(i for w in words for i in self._word(w))
+
+    def _written(self, ids: list[int]) -> tuple[bytes, str]:
+        return struct.pack(f"<{len(ids)}I", *ids), " ".join(map(self.automaton.labels.__getitem__, ids))
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian unsigned 32-bit integers, and the decoded text: labels joined by blanks."""
@@ -250,8 +254,7 @@ class WordTokenizer:
             return self._encode(text)
         except UnknownCharacter:
             # Only texts with such characters go to the file's own library.
-            ids = self._library.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids), " ".join(self.automaton.decode(ids))
+            return self._written(self._library.encode(text, add_special_tokens=False).ids)
 
     @functools.cached_property
     def _library(self):
@@ -263,25 +266,28 @@ class WordTokenizer:
         return library
 
     def _encode(self, text: str) -> tuple[bytes, str]:
-        packed, labels = [], []
+        ids: list[int] = []
         known = self._chunks.get
         for part in self._marks.split(text) if self._marks and "<" in text else (text,):
             if part in self.special:
-                packed.append(struct.pack("<I", self.special[part]))
-                labels.append(part)
+                ids.append(self.special[part])
                 continue
             for chunk in part.split() if not _NOT_SPACE.search(part) else _SPACES.split(part):
-                ids, said = known(chunk) or self._chunk(chunk)
-                if ids:
-                    packed.append(ids)
-                    labels.append(said)
-        return b"".join(packed), " ".join(labels)
+                ids += known(chunk) or self._chunk(chunk)
+        return self._written(ids)
 
 
 @functools.lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
-    """One automaton per worker process and file."""
-    return WordTokenizer(path)
+    """One automaton per worker process and file.
+
+    A worker collects its garbage after each task, of whatever query. The automaton is
+    hundreds of thousands of objects that stay, so they are taken out of the collector's reach.
+    """
+    made = WordTokenizer(path)
+    gc.collect()
+    gc.freeze()
+    return made
 
 
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:

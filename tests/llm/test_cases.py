@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing names."""
 
+import gc
 import hashlib
 import struct
 
@@ -269,6 +270,23 @@ def test_bpe_memory_keeps_nothing_wrong(monkeypatch):
     assert len(ours._chunks) <= 3 and len(ours._older_chunks) <= 3
 
 
+def test_bpe_memory_is_not_walked_by_the_collector(monkeypatch):
+    """A worker collects after each task; what the tokenizer keeps must not be gone through each time."""
+    monkeypatch.setattr(bpe_automaton, "WORDS", 500)
+    bpe_automaton.tokenizer.cache_clear()
+    ours = bpe_automaton.tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    before, letters = len(gc.get_objects()), str.maketrans("0123456789", "abcdefghij")
+    for i in range(3):
+        ours.encode(" ".join("word" + str(n).translate(letters) for n in range(400 * i, 400 * i + 400)))
+    gc.collect()
+    assert len(ours._words) + len(ours._older_words) > 500
+    assert not any(gc.is_tracked(ids) for known in (ours._words, ours._older_words) for ids in known.values())
+    assert not any(isinstance(x, bpe_automaton.Letters) for x in gc.get_objects())
+    assert len(gc.get_objects()) < before + 1000
+    bpe_automaton.tokenizer.cache_clear()
+    gc.unfreeze()
+
+
 def test_url_rules(spark):
     urls = [None, "", "no scheme", "http://EXAMPLE.org", "http://example.org/es/1", "http://a.example.org/en/12?x=/y", "x://y.com/fr/", "http://com/de/#a", "http://notexample.org/es/1", "a://b://c.org/d", "http://h.net/%00/é"]
     frame = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").withColumn("Host", F.lit("old"))
