@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Estimator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,10 +57,11 @@ def config_sweep(
     measure: Callable[[object], float],
     schema: str,
     names: Mapping[str, str] | None = None,
+    level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
 ) -> DataFrame:
     """Fit once per configuration on the same input and tabulate a measure.
 
-    Each fit is a distributed job; the input is stored once for all of them.
+    Each fit is a distributed job; the input is stored once for all of them, where ``level`` says.
     ``schema`` declares the configuration columns; ``measure`` is added. Values
     go to the columns of their names, or of what ``names`` calls a parameter.
     """
@@ -68,7 +70,7 @@ def config_sweep(
         if sorted(names.get(n, n) for n in config) != sorted(columns):
             raise ValueError(f"{sorted(config)} does not fill the columns {columns}")
     rows = []
-    with kept(df) as data:
+    with kept(df, level) as data:
         for config in configs:
             model = estimator.copy({estimator.getParam(name): v for name, v in config.items()}).fit(data)
             by_column = {names.get(n, n): v for n, v in config.items()}

@@ -10,6 +10,7 @@ import argparse
 from collections.abc import Sequence
 from dataclasses import asdict, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,7 +69,7 @@ def cv1(store: VersionStore, settings: TopicSettings, *, run_id: str | None = No
         return None
     try:
         return store.archive(
-            stage.vectors,
+            stage.counted,
             COUNTED,
             found.run_id,
             key=key,
@@ -85,14 +86,16 @@ def lda2(store: VersionStore, settings: TopicSettings | None = None, *, run_id:
     found = _require(store, COUNTED, run_id)
     details = store.details(COUNTED, found.run_id)
     settings = settings or TopicSettings(**details["settings"])
-    vectors = store.restore(COUNTED, found.run_id).persist()
+    counted = store.restore(COUNTED, found.run_id)
+    # The passes of the fit need the vectors only.
+    vectors = counted.select("features").persist(StorageLevel.DISK_ONLY)
     try:
         fitted = fit_topics(CountStage(vectors, details["vocabulary"], details["row_maxima"]), settings)
         path = store.attempt("model", found.run_id)
         fitted.model.write().save(path)
         likelihood, perplexity, counted = fitted.bounds(vectors).first()
         return store.archive(
-            fitted.distribution(vectors),
+            fitted.distribution(counted),
             SCORED,
             found.run_id,
             key=details["key"],

@@ -19,7 +19,7 @@ from ..functions import text as words
 from ..functions.arrays import vector_total
 from ..operators.partitions import explode_once
 from ..operators.relational import limit_rows, sum_of_row_maxima
-from ..session import stored
+from ..session import small_batches, stored
 
 
 @dataclass(frozen=True)
@@ -92,11 +92,15 @@ def count_vectors(df: DataFrame, vocab: list[str], min_tf: float) -> DataFrame:
 
 @dataclass
 class CountStage:
-    """Count vectors, stored for the passes to come, and the words of their entries."""
+    """Count vectors by key, stored for the passes to come, and the words of their entries.
+
+    ``counted`` has the tokens beside them; it is read from where the tokens lie.
+    """
 
     vectors: DataFrame
     vocabulary: list[str]
     row_maxima: float
+    counted: DataFrame | None = None
 
     def release(self) -> None:
         self.vectors.unpersist()
@@ -110,17 +114,20 @@ def count_vector_stage(
     ``df`` has ``tokens``; they are read twice, so they are written to the
     shared folder unless they already come from a stored table
     (``store_tokens=False``). Returns None when all vectors are empty.
+    The vectors are kept on the executors' disks without the tokens, so no memory fills up with the input.
     """
     chosen = limit_rows(df.select(key, "tokens"), settings.documents, key)
     if store_tokens:
-        chosen = stored(chosen, "tokens")
+        with small_batches(df.sparkSession):
+            chosen = stored(chosen, "tokens")
     vocab = [row.word for row in vocabulary(chosen, settings.vocabulary_size).collect()]
     if not vocab:
         return None
-    vectors = count_vectors(chosen, vocab, settings.min_tf).persist(StorageLevel.MEMORY_AND_DISK)
+    counted = count_vectors(chosen, vocab, settings.min_tf)
+    vectors = counted.select(key, "features").persist(StorageLevel.DISK_ONLY)
     total = sum_of_row_maxima(vectors).first()["total"]
     if total > 0:
-        return CountStage(vectors, vocab, total)
+        return CountStage(vectors, vocab, total, counted)
     vectors.unpersist()
     return None
 

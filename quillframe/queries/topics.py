@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -154,7 +155,7 @@ def topic_sweep(spark, sf):
     held_out, fitted = stage.vectors.where("doc_id % 5 = 0"), stage.vectors.where("doc_id % 5 <> 0")
     words = [df.agg(F.sum(vector_total("features"))).first()[0] for df in (fitted, held_out)]
     estimator = LDA(maxIter=SETTINGS.iterations, seed=SETTINGS.seed, subsamplingRate=1.0)
-    found = config_sweep(fitted, estimator, [{"k": k} for k in (2, 5, 10)], lambda m: m.logPerplexity(held_out), "k int")
+    found = config_sweep(fitted.select("features"), estimator, [{"k": k} for k in (2, 5, 10)], lambda m: m.logPerplexity(held_out), "k int", level=StorageLevel.DISK_ONLY)
     stage.release()
     return found.select("k", F.lit(words[0]).alias("fitted_words"), F.lit(words[1]).alias("held_out_words"), (F.col("measure") > 0).alias("positive"))
 

@@ -52,15 +52,34 @@ def fresh_name(label: str) -> str:
 
 
 @contextmanager
-def kept(df: DataFrame):
+def kept(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """A frame that is read several times inside the block and let go after it."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = df.persist(level)
     try:
         yield df
     finally:
         df.unpersist()
 
 
+#: Bytes of rows that a Python worker gets at a time within ``small_batches``.
+BATCH_BYTES = 8 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Rows that are computed inside the block go to Python workers in small batches.
+
+    A batch of Spark's own size, of long texts, is held several times over: by Spark on both ways, and by the worker as words.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and return the written table."""
     path = fresh_path(df.sparkSession, label)
