@@ -86,16 +86,16 @@ def lda2(store: VersionStore, settings: TopicSettings | None = None, *, run_id:
     found = _require(store, COUNTED, run_id)
     details = store.details(COUNTED, found.run_id)
     settings = settings or TopicSettings(**details["settings"])
-    counted = store.restore(COUNTED, found.run_id)
+    rows = store.restore(COUNTED, found.run_id)
     # The passes of the fit need the vectors only.
-    vectors = counted.select("features").persist(StorageLevel.DISK_ONLY)
+    vectors = rows.select("features").persist(StorageLevel.DISK_ONLY)
     try:
         fitted = fit_topics(CountStage(vectors, details["vocabulary"], details["row_maxima"]), settings)
         path = store.attempt("model", found.run_id)
         fitted.model.write().save(path)
         likelihood, perplexity, counted = fitted.bounds(vectors).first()
         return store.archive(
-            fitted.distribution(counted),
+            fitted.distribution(rows),
             SCORED,
             found.run_id,
             key=details["key"],
